@@ -69,7 +69,9 @@ def read_raw(
     if bad_rows == "pad":
         reader = _csv_reader(spark, DATASETS[kind].text_schema, client_id)
         rows = reader.option("pathGlobFilter", dataset_glob(kind, months)).csv(root)
-        return rows if client_id is None else with_client(rows, client_id)
+        if client_id is not None:
+            rows = with_client(rows, client_id)
+        return rows.select(*names, CLIENT)  # no column for further folder levels
     if bad_rows != "flag":
         raise ValueError("bad_rows must be 'pad' or 'flag'")
     lines = read_lines(spark, root, dataset_glob(kind, months), client_id)
@@ -91,7 +93,9 @@ def read_lines(
     schema = T.StructType([T.StructField("line", T.StringType())])
     reader = _csv_reader(spark, schema, client_id).option("sep", _NO_SEPARATOR)
     rows = reader.option("pathGlobFilter", glob).csv(root)
-    return rows if client_id is None else with_client(rows, client_id)
+    if client_id is not None:
+        rows = with_client(rows, client_id)
+    return rows.select("line", CLIENT)
 
 
 def with_dataset_kind(rows: DataFrame, name_column: str | Column = "_metadata.file_name") -> DataFrame:
