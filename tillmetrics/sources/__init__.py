@@ -10,14 +10,13 @@ from tillmetrics.sources.csv_files import (
     with_client,
     with_dataset_kind,
 )
-from tillmetrics.sources.landing import land, landed_rows, read_landed
+from tillmetrics.sources.landing import land, read_landed
 from tillmetrics.sources.results import clear_result, preview, read_result, write_result
 
 __all__ = [
     "clear_result",
     "dataset_glob",
     "land",
-    "landed_rows",
     "preview",
     "read_dataset",
     "read_dimension",

@@ -7,7 +7,7 @@ parquet columns of the year and month folders it needs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,20 +15,29 @@ from pyspark.sql import types as T
 
 from tillmetrics.schemas import CLIENT, DATASETS
 
-PARTITIONS = (CLIENT, "year", "month")
+#: Folder levels of a landing copy made in one go.
+BY_MONTH = (CLIENT, "year", "month")
+#: Folder levels where many small deliveries arrive: fewer, larger files.
+BY_YEAR = (CLIENT, "year")
 
+_PARTS = {"year": F.year, "month": F.month}
 
-def landed_rows(rows: DataFrame) -> DataFrame:
-    """Add the partition columns. Rows without a valid date land in the null folder."""
-    return rows.withColumns({"year": F.year("created_at"), "month": F.month("created_at")})
 
+def landing_schema(kind: str, partitions: Sequence[str]) -> T.StructType:
+    """Typed columns of a dataset followed by its folder levels."""
+    levels = {CLIENT: T.StringType(), "epoch": T.LongType()}
+    folders = [T.StructField(name, levels.get(name, T.IntegerType())) for name in partitions]
+    return T.StructType([*DATASETS[kind].typed_schema.fields, *folders])
 
-def land(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+
+def land(rows: DataFrame, path: str, partitions: Sequence[str] = BY_MONTH) -> None:
     """Write typed rows of one dataset. No shuffle: monthly files mostly map to one folder.
 
-    A client with most of the rows is written by all tasks that read it.
+    A client with most of the rows is written by all tasks that read it. Rows without
+    a valid date are kept too, in the folder for a null year.
     """
-    landed_rows(rows).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    added = {name: _PARTS[name]("created_at") for name in partitions if name in _PARTS}
+    rows.withColumns(added).write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
 def read_landed(
@@ -43,15 +52,7 @@ def read_landed(
     The folder filter comes on top of the timestamp predicates of the plans, it
     never replaces them.
     """
-    schema = T.StructType(
-        [
-            *DATASETS[kind].typed_schema.fields,
-            T.StructField(CLIENT, T.StringType()),
-            T.StructField("year", T.IntegerType()),
-            T.StructField("month", T.IntegerType()),
-        ]
-    )
-    rows = spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(landing_schema(kind, BY_MONTH)).parquet(path)
     if years is not None:
         rows = rows.filter(F.col("year").isin(*years))
     if months is not None:

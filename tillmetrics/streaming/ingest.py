@@ -25,10 +25,12 @@ from tillmetrics.functions import batch_fingerprint
 from tillmetrics.operators import drop_closed
 from tillmetrics.schemas import CLIENT, DATASETS, TRANSACTION_ITEMS, TRANSACTIONS
 from tillmetrics.sources.csv_files import dataset_glob, split_lines, typed, with_dataset_kind
-from tillmetrics.sources.landing import land
+from tillmetrics.sources.landing import BY_YEAR, land, landing_schema
+from tillmetrics.streaming.running import EPOCH
 
 BATCH_KEY = (CLIENT, "sender", "batch_id")
 NO_SENDER = "unknown"
+_FOLDERS = (EPOCH, *BY_YEAR)
 
 _FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
@@ -108,7 +110,7 @@ def land_stream(
             rows = read_batch_files(spark, paths, kind)
             if closed is not None:
                 rows = drop_closed(rows, closed)
-            land(rows, f"{landing}/{kind}/epoch={epoch}")
+            land(rows, f"{landing}/{kind}/{EPOCH}={epoch}", BY_YEAR)
 
     query = (
         fresh_batches(announced_files(spark, root, max_files))
@@ -120,28 +122,16 @@ def land_stream(
     query.awaitTermination()
 
 
-def _landing_schema(kind: str) -> T.StructType:
-    return T.StructType(
-        [
-            *DATASETS[kind].typed_schema.fields,
-            T.StructField("epoch", T.LongType()),
-            T.StructField(CLIENT, T.StringType()),
-            T.StructField("year", T.IntegerType()),
-            T.StructField("month", T.IntegerType()),
-        ]
-    )
-
-
 def _prepare_landing(spark: SparkSession, landing: str, kind: str) -> None:
     """The folder must exist even when no file of this dataset ever arrives."""
-    empty = spark.createDataFrame([], _landing_schema(kind))
-    empty.write.mode("ignore").partitionBy("epoch", CLIENT, "year", "month").parquet(f"{landing}/{kind}")
+    empty = spark.createDataFrame([], landing_schema(kind, _FOLDERS))
+    empty.write.mode("ignore").partitionBy(*_FOLDERS).parquet(f"{landing}/{kind}")
 
 
 def stream_landed(spark: SparkSession, landing: str, kind: str, max_files: int = 1000) -> DataFrame:
     """Typed rows of the landing area as a stream, in parquet files."""
-    reader = spark.readStream.schema(_landing_schema(kind)).option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{landing}/{kind}").drop("epoch", "year", "month")
+    reader = spark.readStream.schema(landing_schema(kind, _FOLDERS)).option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{landing}/{kind}").drop(EPOCH, "year")
 
 
 def stream_dataset(
