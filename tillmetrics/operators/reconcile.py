@@ -74,6 +74,8 @@ def diff_sample(left: DataFrame, right: DataFrame, n: int = 10) -> DataFrame:
 
 def _client_counts(rows: DataFrame, clients: Sequence[Any], client: str) -> tuple[DataFrame, list[str]]:
     """One row per distinct row content with the number of copies each client has."""
+    if len(set(clients)) < 2:
+        raise ValueError("a comparison needs at least two clients")
     columns = [name for name in rows.columns if name != client]
     names = [f"_n{i}" for i in range(len(clients))]
     counters = [
@@ -91,7 +93,7 @@ def pairwise_diff(rows: DataFrame, clients: Sequence[Any], client: str = CLIENT)
     """
     columns = [name for name in rows.columns if name != client]
     counted, names = _client_counts(rows, clients, client)
-    unequal = counted.filter(F.least(*names) != F.greatest(*names)) if len(names) > 1 else counted.limit(0)
+    unequal = counted.filter(F.least(*names) != F.greatest(*names))
     pairs = [
         F.struct(
             F.lit(clients[i]).alias("left_client"),
