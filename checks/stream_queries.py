@@ -11,6 +11,7 @@ from checks.files import copy_delivery, new_root, transaction_text, write_contra
 from checks.registry import query
 from checks.tables import (
     ORDER_PARAMS,
+    SCHEMAS,
     event_client,
     event_store,
     events_as_transactions,
@@ -52,8 +53,7 @@ from tillmetrics.streaming.session import aggregate, final_answers, ingest
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table as a file stream."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
 from tillmetrics import operators as op
+from tillmetrics.plans import yearly_best_month
 
 
 @pytest.fixture(scope="module")
@@ -63,13 +64,19 @@ def test_leader_prefers_lowest_id(sales):
     assert got == sorted(want, key=repr)
 
 
-def test_best_period_prefers_the_earliest(spark):
-    df = spark.createDataFrame(
-        [("a", 2024, 3, 5.0, "x"), ("a", 2024, 1, 5.0, "y"), ("a", 2025, 2, 1.0, "z")],
-        "client_id string, year int, month int, value double, name string",
+def test_best_month_prefers_the_earliest(spark):
+    leaders = spark.createDataFrame(
+        [("a", 2024, 3, "x", 5, "p", 1.0), ("a", 2024, 1, "y", 5, "q", 0.5), ("a", 2025, 2, "z", 1, "r", -1.0)],
+        "client_id string, year int, month int, top_count_item_name string, top_count bigint, "
+        "top_sum_item_name string, top_sum double",
     )
-    best = op.best_period(df, ["client_id", "year"], "month", "value", "name")
-    assert rows(best, "year", "month", "name", "value") == [(2024, 1, "y", 5.0), (2025, 2, "z", 1.0)]
+    got = rows(yearly_best_month(leaders), "report", "year", "month", "item_name", "value")
+    assert got == [
+        ("top_profit", 2024, 3, "p", 1.0),
+        ("top_profit", 2025, 2, "r", -1.0),
+        ("top_selling", 2024, 1, "y", 5.0),
+        ("top_selling", 2025, 2, "z", 1.0),
+    ]
 
 
 def brute_top(data, n):

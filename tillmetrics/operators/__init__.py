@@ -1,7 +1,7 @@
 """Relational building blocks of the plans. All take and return DataFrames."""
 
 from tillmetrics.operators.aggregates import count_and_total, count_by, total_by, union_all
-from tillmetrics.operators.leaders import best_period, leader_of, sort_all, top_n_per_group
+from tillmetrics.operators.leaders import leader_of, sort_all, top_n_per_group
 from tillmetrics.operators.lookups import drop_closed, enrich, keep_referenced, last_wins, lookup_name
 from tillmetrics.operators.reconcile import (
     agreement,
@@ -15,7 +15,6 @@ from tillmetrics.operators.reconcile import (
 
 __all__ = [
     "agreement",
-    "best_period",
     "count_and_total",
     "count_by",
     "diff_rows",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def leader_of(measure: str, tie_break: str, *carry: str) -> Column:
-    """A4: aggregate giving the row with the highest measure, lowest ``tie_break`` on a tie.
+    """A4, A5: aggregate giving the row with the highest measure, lowest ``tie_break`` on a tie.
 
     Returns a struct with ``measure``, ``tie_break`` and the carried columns.
     Several leaders can be taken in one ``agg``; each task sends one row per group,
@@ -20,12 +20,6 @@ def leader_of(measure: str, tie_break: str, *carry: str) -> Column:
     return F.max_by(value, ranked)
 
 
-def best_period(rows: DataFrame, keys: Sequence[str], period: str, measure: str, *carry: str) -> DataFrame:
-    """A5: per key the period with the highest measure, the earliest one on a tie."""
-    best = rows.groupBy(*keys).agg(leader_of(measure, period, *carry).alias("best"))
-    return best.select(*keys, "best.*")
-
-
 def top_n_per_group(
     rows: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int, rank_name: str = "rank"
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmetrics.functions import in_years, is_number, units, year_month_label
-from tillmetrics.operators import best_period, count_and_total, leader_of, lookup_name, union_all
+from tillmetrics.operators import count_and_total, leader_of, lookup_name
 from tillmetrics.params import Params
 from tillmetrics.schemas import CLIENT
 
@@ -61,22 +61,29 @@ def monthly_item_leaders(
 
 
 def yearly_best_month(leaders: DataFrame) -> DataFrame:
-    """Q2b from the result of Q2, one row per client, year and report.
+    """Q2b (A5) from the result of Q2, one row per client, year and report.
 
     ``report`` is ``top_selling`` (by count) or ``top_profit`` (by revenue); the
     earliest month wins a tie.
     """
-    reports = []
-    for report, name, value in (
-        ("top_selling", "top_count_item_name", "top_count"),
-        ("top_profit", "top_sum_item_name", "top_sum"),
+    best = leaders.groupBy(CLIENT, "year").agg(
+        leader_of("top_count", "month", "top_count_item_name").alias("selling"),
+        leader_of("top_sum", "month", "top_sum_item_name").alias("profit"),
+    )
+    lines = []
+    for report, leader, name, value in (
+        ("top_selling", "selling", "top_count_item_name", "top_count"),
+        ("top_profit", "profit", "top_sum_item_name", "top_sum"),
     ):
-        monthly = leaders.select(
-            CLIENT, "year", "month", F.col(name).alias("item_name"), F.col(value).cast("double").alias("value")
+        month = F.col(f"{leader}.month")
+        lines.append(
+            F.struct(
+                F.lit(report).alias("report"),
+                month.alias("month"),
+                year_month_label(F.col("year"), month).alias("year_month"),
+                F.col(f"{leader}.{name}").alias("item_name"),
+                F.col(f"{leader}.{value}").cast("double").alias("value"),
+            )
         )
-        best = best_period(monthly, [CLIENT, "year"], "month", "value", "item_name")
-        reports.append(best.withColumn("report", F.lit(report)))
-    label = year_month_label(F.col("year"), F.col("month"))
-    return union_all(*reports).select(
-        CLIENT, "report", "year", "month", label.alias("year_month"), "item_name", "value"
-    )
+    flat = best.select(CLIENT, "year", F.inline(F.array(*lines)))
+    return flat.select(CLIENT, "report", "year", "month", "year_month", "item_name", "value")
