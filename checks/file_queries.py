@@ -30,6 +30,7 @@ from tillmetrics.sources import (
     read_lines,
     read_raw,
     read_result,
+    rejected,
     with_client,
     with_dataset_kind,
     write_result,
@@ -189,6 +190,27 @@ def csv_padded_rows(spark, sf_dir):
     return read_raw(spark, root, TRANSACTION_ITEMS).select("transaction_id", "item_id", "created_at")
 
 
+@query(
+    "csv_rejected",
+    """SELECT CAST(event_id AS VARCHAR) AS transaction_id,
+           CASE WHEN event_type = 'error' THEN 'created_at' ELSE 'final_amount' END AS reason
+    FROM events WHERE event_type IN ('error', 'signup')""",
+)
+def csv_rejected(spark, sf_dir):
+    """rows with a spoiled date (errors) or amount (signups), as a side table."""
+    text = transaction_text(events_as_transactions(table(spark, sf_dir, "events"), store=F.col("event_type")))
+    spoiled = text.withColumns(
+        {
+            "created_at": F.when(F.col("store_id") == "error", F.lit("yesterday")).otherwise(F.col("created_at")),
+            "final_amount": F.when(F.col("store_id") == "signup", F.lit("free")).otherwise(F.col("final_amount")),
+        }
+    )
+    root = new_root(spark, "csv-rejected")
+    write_contract_files(spoiled, TRANSACTIONS, root)
+    raw = read_raw(spark, root, TRANSACTIONS)
+    return rejected(raw, TRANSACTIONS, ["created_at", "final_amount"]).select("transaction_id", "reason")
+
+
 @query("landed_tpv", TPV_SQL.format(client="o_orderpriority AS client_id,", semesters=""))
 def landed_tpv(spark, sf_dir):
     """Q3 over the columnar landing copy, folders pruned to the years."""

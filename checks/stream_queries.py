@@ -15,12 +15,11 @@ from checks.tables import (
     event_client,
     event_store,
     events_as_transactions,
-    lineitem_as_items,
     part_as_menu,
     table,
 )
 from tillmetrics.functions import in_hours
-from tillmetrics.operators import count_by, drop_closed
+from tillmetrics.operators import keep_referenced
 from tillmetrics.plans import (
     buyer_counts,
     high_value_transactions,
@@ -34,11 +33,12 @@ from tillmetrics.plans import (
 from tillmetrics.plans.buyers import BUYER
 from tillmetrics.plans.items import ITEM_MONTH
 from tillmetrics.plans.stores import SEMESTER_STORE
-from tillmetrics.schemas import CLIENT, MENU_ITEMS, TRANSACTION_ITEMS, TRANSACTIONS
+from tillmetrics.schemas import CLIENT, MENU_ITEMS, TRANSACTIONS
 from tillmetrics.sources import read_dimension
 from tillmetrics.streaming import (
     Session,
     append_epochs,
+    batch_counts,
     close_clients,
     latest_totals,
     observed,
@@ -48,7 +48,7 @@ from tillmetrics.streaming import (
     stream_dataset,
     stream_messages,
 )
-from tillmetrics.streaming.session import aggregate, final_answers, ingest
+from tillmetrics.streaming.session import ingest
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,6 +135,24 @@ def stream_files(spark, sf_dir):
     return store_volume(_totals(totals, "stream-files-out", SEMESTER_STORE))
 
 
+@query(
+    "stream_batches",
+    f"""SELECT {CLIENT_SQL} 'transactions' AS dataset, CAST(sum(value) > 0 AS BOOLEAN) AS any_rows
+    FROM events GROUP BY ALL""",
+)
+def stream_batches(spark, sf_dir):
+    """Accepted batches per client; the second delivery adds none."""
+    root = event_files(spark, sf_dir, "stream-batches")
+    session = Session(new_root(spark, "stream-batches-work"))
+    ingest(spark, root, session)
+    before = batch_counts(spark, session)
+    copy_delivery(spark, root, "again")
+    ingest(spark, root, session)
+    after = batch_counts(spark, session)
+    same = keep_referenced(after, before, [CLIENT, "dataset", "batches", "bytes"])
+    return same.select(CLIENT, "dataset", (F.col("batches") > 0).alias("any_rows"))
+
+
 @query("stream_redelivery", STORE_TPV_SQL.format(client=CLIENT_SQL, where=""))
 def stream_redelivery(spark, sf_dir):
     """Every file is delivered twice at once and a third time later, and counted once."""

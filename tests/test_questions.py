@@ -3,8 +3,10 @@
 import pytest
 
 from tests import data
-from tests.conftest import rows
-from tillmetrics.__main__ import load, run
+from tests.conftest import rows, write_lines
+from tillmetrics import Params
+from tillmetrics.__main__ import load, parse_args, run, run_incremental
+from tillmetrics.compare import verdicts
 from tillmetrics.plans import all_results, transaction_funnel, yearly_best_month
 from tillmetrics.sources import read_dataset
 
@@ -65,8 +67,6 @@ def test_without_users_three_questions(spark, folder):
 
 
 def test_file_order_does_not_matter(spark, folder):
-    from tests.conftest import write_lines
-
     root = folder("in")
     shuffled = list(reversed(data.TRANSACTIONS_JAN + data.TRANSACTIONS_JUN))
     write_lines(f"{root}/transactions_202401.csv", data.TRANSACTION_HEADER, shuffled)
@@ -88,3 +88,34 @@ def test_funnel(spark, folder):
         "priced": 14,
         "high_value": 4,
     }
+
+
+def test_command_line_arguments():
+    args, params = parse_args(["in", "out", "--years", "2020,2021", "--semesters", "2020-2", "--top", "5"])
+    assert (args.input, args.output) == ("in", "out")
+    assert params == Params(years=(2020, 2021), semesters=("2020-2",), top_n=5)
+    assert parse_args(["in", "out"])[1] == Params()
+    with pytest.raises(SystemExit):
+        parse_args(["in", "out", "--stream", "s", "--landing", "l"])
+
+
+def test_clients_with_the_same_files_agree(spark, folder):
+    root, out = data.write_clients(folder("in"), "client_1", "client_2", "client_3"), folder("out")
+    extra = [data.transaction("extra", 1, "10", "100", "2024-02-01 10:00:00")]
+    write_lines(f"{root}/client_id=client_3/transactions_202402.csv", data.TRANSACTION_HEADER, extra)
+    run(spark, root, out)
+    report = {(r["query"], r["left_client"], r["right_client"]): r for r in verdicts(
+        spark, out, ["client_1", "client_2", "client_3"]).collect()}
+    assert len(report) == 12
+    for query in ("q1", "q2", "q3", "q4"):
+        assert report[query, "client_1", "client_2"]["identical"]
+        assert report[query, "client_1", "client_3"]["identical"] == (query == "q2")
+    assert report["q1", "client_2", "client_3"]["differing_rows"] == 1
+
+
+def test_incremental_run(spark, folder):
+    root, out, work = data.write_clients(folder("in"), "client_1"), folder("out"), folder("work")
+    check(run_incremental(spark, root, out, work, close=["client_1"]))
+    extra = [data.transaction("extra", 1, "10", "100", "2024-02-01 10:00:00")]
+    write_lines(f"{root}/client_id=client_1/transactions_202402.csv", data.TRANSACTION_HEADER, extra)
+    check(run_incremental(spark, root, out, work))

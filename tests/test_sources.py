@@ -149,3 +149,27 @@ def test_preview_keeps_the_stated_order(spark):
     first = src.preview(df, [F.desc("v")], 3)
     assert [r[0] for r in first.collect()] == [99, 98, 97]
     assert "TakeOrderedAndProject" in plan(first)
+
+
+def test_compact_results_hold_the_same_rows(spark, folder):
+    root = folder("out")
+    df = spark.range(500).select(F.when(F.col("id") < 400, "a").otherwise("b").alias("client_id"), "id")
+    src.write_result(df.repartition(8), "q", root, compact=True)
+    back = src.read_result(spark, df.schema, "q", root)
+    assert rows(back, "client_id", "id") == rows(df)
+    assert len(back.inputFiles()) <= 4
+
+
+def test_rejected_rows_keep_their_text(spark, folder):
+    root = data.write_client(folder("in"))
+    raw = src.read_raw(spark, root, TRANSACTIONS, client_id="c")
+    bad = src.rejected(raw, TRANSACTIONS, ["created_at", "final_amount"])
+    assert rows(bad, "transaction_id", "reason") == [
+        ("abc", "final_amount"),
+        ("baddate", "created_at"),
+        ("dateonly", "created_at"),
+        ("java", "final_amount"),
+        ("noamount", "final_amount"),
+        ("short", "created_at"),
+    ]
+    assert bad.filter("transaction_id = 'java'").first()["final_amount"] == "99d"

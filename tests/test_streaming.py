@@ -15,6 +15,7 @@ from tillmetrics.sources import read_dimension
 from tillmetrics.streaming import (
     Session,
     append_epochs,
+    batch_counts,
     close_clients,
     latest_totals,
     observed,
@@ -50,9 +51,11 @@ def test_session_equals_batch_for_every_client(spark, folder):
 def test_redelivered_files_count_once_even_after_a_restart(spark, folder):
     root, work = data.write_clients(folder("in"), "client_1"), folder("work")
     data.write_client(f"{root}/client_id=client_1/again")
-    session_answers(spark, root, work, max_files=1)
+    session_answers(spark, root, work, max_files=2)
     data.write_client(f"{root}/client_id=client_1/later")
     check(session_answers(spark, root, work))
+    counts = rows(batch_counts(spark, Session(work)), "client_id", "dataset", "batches")
+    assert counts == [("client_1", "transaction_items", 1), ("client_1", "transactions", 2)]
 
 
 def test_input_in_two_sessions(spark, folder):

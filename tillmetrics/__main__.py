@@ -1,9 +1,10 @@
 """Answer all questions for a folder of CSV datasets.
 
-    spark-submit -m tillmetrics INPUT OUTPUT [--client-id ID] [--landing DIR] [--show]
+    spark-submit -m tillmetrics INPUT OUTPUT [--client-id ID] [--landing DIR | --stream DIR] [--show]
 
 INPUT holds the files of one client (with ``--client-id``) or ``client_id=<id>``
-folders. OUTPUT gets one folder per question and client.
+folders. OUTPUT gets one folder per question and client. ``--stream`` keeps running
+totals and state in a folder, so that the next call only reads new files.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from tillmetrics.sources import (
     read_result,
     write_result,
 )
+from tillmetrics.streaming import run_session
 
 #: Order of the printed previews (the answer itself is a set).
 PREVIEW_ORDER = {
@@ -80,31 +82,84 @@ def run(
     return written
 
 
-def main() -> None:
-    parser = argparse.ArgumentParser(prog="tillmetrics", description=__doc__)
+def run_incremental(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    work: str,
+    params: Params = Params(),
+    with_users: bool = True,
+    close: list[str] | None = None,
+) -> dict[str, DataFrame]:
+    """As :func:`run`, reading only files that arrived since the last call.
+
+    ``close`` lists clients that are complete: what they send later is ignored.
+    """
+    menu = read_dimension(spark, root, MENU_ITEMS)
+    users = read_dimension(spark, root, USERS, deduplicate=False) if with_users else None
+    closing = spark.createDataFrame([(c,) for c in close], f"{CLIENT} STRING") if close else None
+    answers = run_session(spark, root, work, menu, users, params, out, closing)
+    return {name: read_result(spark, answer.schema, name, out) for name, answer in answers.items()}
+
+
+def _list(text: str) -> list[str]:
+    return [part.strip() for part in text.split(",") if part.strip()]
+
+
+def parse_args(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Params]:
+    default = Params()
+    parser = argparse.ArgumentParser(
+        prog="tillmetrics", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
+    )
     parser.add_argument("input")
     parser.add_argument("output")
     parser.add_argument("--client-id", help="the input folder holds one client's files")
-    parser.add_argument("--months", help="comma-separated YYYYMM list of files to read")
+    parser.add_argument("--months", type=_list, help="comma-separated YYYYMM list of files to read")
     parser.add_argument("--landing", help="shared folder for a parquet copy of the fact data")
+    parser.add_argument("--stream", help="shared folder for state, to continue from the last call")
+    parser.add_argument("--close", type=_list, help="with --stream: clients that are complete")
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     parser.add_argument("--no-users", action="store_true", help="answer only the first three questions")
     parser.add_argument("--show", action="store_true", help="print the first rows of each result")
-    args = parser.parse_args()
+    parser.add_argument("--years", type=_list, default=default.years)
+    parser.add_argument("--start-hour", type=int, default=default.start_hour)
+    parser.add_argument("--end-hour", type=int, default=default.end_hour)
+    parser.add_argument("--min-amount", type=float, default=default.min_amount)
+    parser.add_argument("--semesters", type=_list, default=default.semesters)
+    parser.add_argument("--top", type=int, default=default.top_n)
+    args = parser.parse_args(arguments)
+    if args.stream and (args.client_id or args.landing or args.months or args.format != "parquet"):
+        parser.error("--stream goes with client folders and parquet results only")
+    params = Params(
+        years=tuple(int(year) for year in args.years),
+        start_hour=args.start_hour,
+        end_hour=args.end_hour,
+        min_amount=args.min_amount,
+        semesters=tuple(args.semesters),
+        top_n=args.top,
+    )
+    return args, params
+
 
-    params = Params()
+def main() -> None:
+    args, params = parse_args()
     spark = build_session()
-    written = run(
-        spark,
-        args.input,
-        args.output,
-        args.client_id,
-        args.months.split(",") if args.months else None,
-        args.landing,
-        args.format,
-        params,
-        with_users=not args.no_users,
-    )
+    if args.stream:
+        written = run_incremental(
+            spark, args.input, args.output, args.stream, params, not args.no_users, args.close
+        )
+    else:
+        written = run(
+            spark,
+            args.input,
+            args.output,
+            args.client_id,
+            args.months,
+            args.landing,
+            args.format,
+            params,
+            with_users=not args.no_users,
+        )
     if args.show:
         for name, result in written.items():
             print(name)

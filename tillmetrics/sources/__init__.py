@@ -6,6 +6,7 @@ from tillmetrics.sources.csv_files import (
     read_dimension,
     read_lines,
     read_raw,
+    rejected,
     typed,
     with_client,
     with_dataset_kind,
@@ -24,6 +25,7 @@ __all__ = [
     "read_lines",
     "read_raw",
     "read_result",
+    "rejected",
     "typed",
     "with_client",
     "with_dataset_kind",

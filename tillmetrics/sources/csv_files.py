@@ -115,25 +115,43 @@ def with_client(rows: DataFrame, client_id: str) -> DataFrame:
     return rows.withColumn(CLIENT, F.lit(client_id))
 
 
+_CONVERSIONS = {
+    T.TimestampNTZType(): to_timestamp,
+    T.DateType(): to_date,
+    T.DoubleType(): to_number,
+    T.LongType(): to_id,
+    T.IntegerType(): to_integer,
+}
+
+
+def _converted(kind: str) -> dict[str, Column]:
+    """Conversion of every column of a dataset that is not text."""
+    columns = {
+        name: _CONVERSIONS[data_type](F.col(name))
+        for name, data_type in DATASETS[kind].columns
+        if data_type in _CONVERSIONS
+    }
+    if "voucher_id" in columns:  # arrives as "7.0", like every optional id
+        columns["voucher_id"] = to_id(F.col("voucher_id")).try_cast("int")
+    return columns
+
+
 def typed(raw: DataFrame, kind: str) -> DataFrame:
     """Convert the text columns; what does not parse becomes null.
 
     Other columns (client, flags, arrival) pass through.
     """
-    convert = {
-        T.TimestampNTZType(): to_timestamp,
-        T.DateType(): to_date,
-        T.DoubleType(): to_number,
-        T.LongType(): to_id,
-        T.IntegerType(): to_integer,
-    }
-    columns = {}
-    for name, data_type in DATASETS[kind].columns:
-        if name == "voucher_id":  # arrives as "7.0", like every optional id
-            columns[name] = to_id(F.col(name)).try_cast("int")
-        elif data_type in convert:
-            columns[name] = convert[data_type](F.col(name))
-    return raw.withColumns(columns)
+    return raw.withColumns(_converted(kind))
+
+
+def rejected(raw: DataFrame, kind: str, required: Iterable[str]) -> DataFrame:
+    """the text rows whose ``required`` columns do not all parse, for a side table.
+
+    ``reason`` names the first such column. ``raw`` comes from :func:`read_raw`.
+    """
+    parsed = _converted(kind)
+    reasons = [F.when(parsed[name].isNull(), F.lit(name)) for name in required]
+    return raw.withColumn("reason", F.coalesce(*reasons)).filter(F.col("reason").isNotNull())
 
 
 def read_dataset(

@@ -14,12 +14,18 @@ def result_path(root: str, query: str) -> str:
     return f"{root.rstrip('/')}/{query}"
 
 
-def write_result(df: DataFrame, query: str, root: str, fmt: str = "parquet") -> None:
+def write_result(
+    df: DataFrame, query: str, root: str, fmt: str = "parquet", compact: bool = False
+) -> None:
     """Replace the result folders of the clients in ``df``; other clients stay as they are.
 
     A client without any result row keeps its old folder: call
-    :func:`clear_result` when its session starts.
+    :func:`clear_result` when its session starts. ``compact`` shuffles the result into
+    evenly sized files first, for a result that leaves little of every scan task; AQE
+    merges small clients and splits large ones.
     """
+    if compact:
+        df = df.hint("rebalance", CLIENT)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

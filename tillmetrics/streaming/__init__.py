@@ -17,12 +17,13 @@ from tillmetrics.streaming.running import (
     running_totals,
     write_epoch,
 )
-from tillmetrics.streaming.session import Session, close_clients, closed_clients, run_session
+from tillmetrics.streaming.session import Session, batch_counts, close_clients, closed_clients, run_session
 
 __all__ = [
     "Session",
     "announced_files",
     "append_epochs",
+    "batch_counts",
     "close_clients",
     "closed_clients",
     "fresh_batches",

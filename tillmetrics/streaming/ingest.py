@@ -26,12 +26,16 @@ from tillmetrics.operators import drop_closed
 from tillmetrics.schemas import CLIENT, DATASETS, TRANSACTION_ITEMS, TRANSACTIONS
 from tillmetrics.sources.csv_files import dataset_glob, split_lines, typed, with_dataset_kind
 from tillmetrics.sources.landing import BY_YEAR, land, landing_schema
-from tillmetrics.streaming.running import EPOCH
+from tillmetrics.streaming.running import EPOCH, write_epoch
 
 BATCH_KEY = (CLIENT, "sender", "batch_id")
 NO_SENDER = "unknown"
 _FOLDERS = (EPOCH, *BY_YEAR)
 
+MAX_FILES = 10_000
+
+#: One row per accepted batch.
+LEDGER_SCHEMA = "path STRING, length BIGINT, client_id STRING, sender STRING, batch_id STRING, dataset STRING"
 _FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
@@ -47,7 +51,7 @@ def _batch_columns(path: Column) -> dict[str, Column]:
     }
 
 
-def announced_files(spark: SparkSession, root: str, max_files: int = 1000) -> DataFrame:
+def announced_files(spark: SparkSession, root: str, max_files: int = MAX_FILES) -> DataFrame:
     """A stream with one row per new file: path, size, dataset and batch key.
 
     The file content is a column of this source that is not selected, so it is not read.
@@ -86,23 +90,27 @@ def land_stream(
     spark: SparkSession,
     root: str,
     landing: str,
+    ledger: str,
     checkpoint: str,
     closed: DataFrame | None = None,
     kinds: Sequence[str] = (TRANSACTIONS, TRANSACTION_ITEMS),
-    max_files: int = 1000,
+    max_files: int = MAX_FILES,
 ) -> None:
     """Bring everything available into the columnar landing area, once.
 
     A micro-batch overwrites its own ``epoch`` folder, so a repeated micro-batch after
-    a failure does not repeat rows. Rows of closed clients are left out. The driver
-    only sees the names of the accepted files, at most ``max_files`` per micro-batch.
+    a failure does not repeat rows. Rows of closed clients are left out. The accepted
+    batches of each epoch are kept in ``ledger``; the driver sees their file names
+    only, at most ``max_files`` at a time.
     """
 
     for kind in kinds:
         _prepare_landing(spark, landing, kind)
 
     def land_epoch(fresh: DataFrame, epoch: int) -> None:
-        accepted = fresh.filter(F.col("dataset").isin(*kinds)).select("dataset", "path").collect()
+        write_epoch(fresh.filter(F.col("dataset").isin(*kinds)), ledger, epoch)
+        batches = spark.read.schema(LEDGER_SCHEMA).parquet(f"{ledger}/{EPOCH}={epoch}")
+        accepted = batches.select("dataset", "path").collect()
         for kind in kinds:
             paths = [row["path"] for row in accepted if row["dataset"] == kind]
             if not paths:
@@ -128,15 +136,13 @@ def _prepare_landing(spark: SparkSession, landing: str, kind: str) -> None:
     empty.write.mode("ignore").partitionBy(*_FOLDERS).parquet(f"{landing}/{kind}")
 
 
-def stream_landed(spark: SparkSession, landing: str, kind: str, max_files: int = 1000) -> DataFrame:
+def stream_landed(spark: SparkSession, landing: str, kind: str, max_files: int = MAX_FILES) -> DataFrame:
     """Typed rows of the landing area as a stream, in parquet files."""
     reader = spark.readStream.schema(landing_schema(kind, _FOLDERS)).option("maxFilesPerTrigger", max_files)
     return reader.parquet(f"{landing}/{kind}").drop(EPOCH, "year")
 
 
-def stream_dataset(
-    spark: SparkSession, root: str, kind: str, max_files: int = 1000
-) -> DataFrame:
+def stream_dataset(spark: SparkSession, root: str, kind: str, max_files: int = MAX_FILES) -> DataFrame:
     """Typed rows straight from the CSV files, for inputs that are never redelivered.
 
     The source remembers file paths, so a path is read once even after a restart.
@@ -158,7 +164,7 @@ def stream_messages(
     root: str,
     kind: str,
     key: str = "content",
-    max_files: int = 1000,
+    max_files: int = MAX_FILES,
     glob: str = "*",
 ) -> DataFrame:
     """T2 for message-sized files without header line: typed rows of each message, once.

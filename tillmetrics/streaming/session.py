@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmetrics.params import Params
@@ -29,7 +30,7 @@ from tillmetrics.plans.items import ITEM_MONTH
 from tillmetrics.plans.stores import SEMESTER_STORE
 from tillmetrics.schemas import CLIENT, TRANSACTION_ITEMS, TRANSACTIONS
 from tillmetrics.sources.results import write_result
-from tillmetrics.streaming.ingest import land_stream, stream_landed
+from tillmetrics.streaming.ingest import LEDGER_SCHEMA, MAX_FILES, land_stream, stream_landed
 from tillmetrics.streaming.running import EPOCH, append_epochs, latest_totals, read_epochs, running_totals
 
 _CLOSED_SCHEMA = T.StructType([T.StructField(CLIENT, T.StringType())])
@@ -45,6 +46,10 @@ class Session:
     def landing(self) -> str:
         return f"{self.work}/landing"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.work}/batches"
+
     @property
     def closed(self) -> str:
         return f"{self.work}/closed"
@@ -67,23 +72,32 @@ def close_clients(clients: DataFrame, session: Session) -> None:
     clients.select(CLIENT).distinct().write.mode("append").parquet(session.closed)
 
 
-def ingest(spark: SparkSession, root: str, session: Session, max_files: int = 1000) -> None:
+def ingest(spark: SparkSession, root: str, session: Session, max_files: int = MAX_FILES) -> None:
     land_stream(
         spark,
         root,
         session.landing,
+        session.ledger,
         session.checkpoint("landing"),
         closed_clients(spark, session),
         max_files=max_files,
     )
 
 
+def batch_counts(spark: SparkSession, session: Session) -> DataFrame:
+    """Accepted batches and bytes per client and dataset."""
+    ledger = spark.read.schema(f"{LEDGER_SCHEMA}, {EPOCH} BIGINT").parquet(session.ledger)
+    return ledger.groupBy(CLIENT, "dataset").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("length").alias("bytes")
+    )
+
+
 def _landed(spark: SparkSession, session: Session, kind: str, max_files: int) -> DataFrame:
     return stream_landed(spark, session.landing, kind, max_files)
 
 
 def aggregate(
-    spark: SparkSession, session: Session, params: Params = Params(), max_files: int = 1000
+    spark: SparkSession, session: Session, params: Params = Params(), max_files: int = MAX_FILES
 ) -> dict[str, DataFrame]:
     """Bring the running results up to date with the landing area.
 
@@ -134,7 +148,7 @@ def run_session(
     params: Params = Params(),
     out: str | None = None,
     close: DataFrame | None = None,
-    max_files: int = 1000,
+    max_files: int = MAX_FILES,
 ) -> dict[str, DataFrame]:
     """Process everything available below ``root`` and answer the questions.
 
