@@ -37,14 +37,15 @@ from tillmetrics.schemas import CLIENT, MENU_ITEMS, TRANSACTIONS
 from tillmetrics.sources import read_dimension
 from tillmetrics.streaming import (
     Session,
-    append_epochs,
     batch_counts,
     close_clients,
+    finish,
     latest_totals,
     observed,
     read_epochs,
     run_session,
-    running_totals,
+    start_append,
+    start_totals,
     stream_dataset,
     stream_messages,
 )
@@ -63,7 +64,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _totals(totals: DataFrame, label: str, keys) -> DataFrame:
     spark = totals.sparkSession
     work = new_root(spark, label)
-    running_totals(totals, f"{work}/out", f"{work}/checkpoint")
+    finish(start_totals(totals, f"{work}/out", f"{work}/checkpoint"))
     return latest_totals(read_epochs(spark, totals.schema, f"{work}/out"), keys)
 
 
@@ -80,7 +81,7 @@ def stream_q1(spark, sf_dir):
         F.col("created_at").alias("ts"),
     )
     work = new_root(spark, "stream-q1")
-    append_epochs(found, f"{work}/out", f"{work}/checkpoint")
+    finish(start_append(found, f"{work}/out", f"{work}/checkpoint"))
     return read_epochs(spark, found.schema, f"{work}/out").drop("epoch")
 
 
@@ -183,7 +184,7 @@ def stream_messages_query(spark, sf_dir):
         )
     rows = stream_messages(spark, root, TRANSACTIONS)
     work = new_root(spark, "stream-messages-out")
-    append_epochs(rows, f"{work}/out", f"{work}/checkpoint")
+    finish(start_append(rows, f"{work}/out", f"{work}/checkpoint"))
     return read_epochs(spark, rows.schema, f"{work}/out").drop("epoch")
 
 

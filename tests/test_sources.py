@@ -1,11 +1,14 @@
 """CSV files, landing copy and result sets."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests import data
 from tests.conftest import plan, rows, write_lines
 from tillmetrics import sources as src
+from tillmetrics.functions import in_hours, in_years
 from tillmetrics.schemas import DATASETS, MENU_ITEMS, TRANSACTION_ITEMS, TRANSACTIONS, USERS
 
 
@@ -67,6 +70,41 @@ def test_flagged_and_padded_reads_agree(spark, folder):
         assert rows(flagged, *padded.columns) == rows(padded)
 
 
+NASTY = {
+    "int": ["5", "", "x", "5.0", "-3", "99999999999"],
+    "bigint": ["5", "5.0", "", "x", "nan", "1e3", "-7.9"],
+    "double": ["5", "5.5", "", "x", "nan", "inf", "1e3", "9d", "0x1", "-.5", " 7 "],
+    "date": ["1990-01-02", "1990-1-2", "", "x", "1990-13-01", "1990-02-30"],
+    "timestamp_ntz": ["2024-01-05 07:03:00", "2024-1-5 7:3:0", "", "x", "2024-01-05", "2024-13-05 00:00:00",
+                      "2024-01-05T07:03:00", "2024-01-05 07:03", "2024-02-30 07:03:00", "2025-01-05 25:00:00"],
+    "string": ["a", "", "é", '"q', "with space"],
+}
+
+
+@pytest.mark.parametrize("kind", list(DATASETS))
+def test_scan_and_text_conversion_agree(spark, folder, kind):
+    """Whatever is in one field, the scan and the expressions read it alike and keep the other fields."""
+    root, rng = folder("in"), random.Random(11)
+    types = [t.simpleString() for _, t in DATASETS[kind].columns]
+    lines = [",".join(rng.choice(NASTY[t]) for t in types) for _ in range(600)]
+    lines += [line.rsplit(",", rng.randrange(1, 3))[0] for line in lines[:50]] + [line + ",x,y" for line in lines[:50]]
+    lines = [line for line in lines if line.strip(",")]
+    name = f"{kind}.csv" if kind == MENU_ITEMS else f"{kind}_202401.csv"
+    write_lines(f"{root}/{name}", ",".join(DATASETS[kind].names), lines)
+    by_scan = src.read_dataset(spark, root, kind, client_id="c")
+    by_text = src.typed(src.read_raw(spark, root, kind, client_id="c"), kind)
+    flagged = src.read_dataset(spark, root, kind, client_id="c", bad_rows="flag").drop("is_bad_row")
+    text = lambda df: df.select(*[F.nullif(F.col(c).cast("string"), F.lit("")) for c in by_scan.columns])
+    expected = rows(text(by_text))
+    assert len(expected) == len(lines)
+    assert rows(text(by_scan)) == expected
+    assert rows(text(flagged)) == expected
+    if "created_at" in by_scan.columns:
+        chosen = in_years(F.col("created_at"), [2024]) & in_hours(F.col("created_at"), 6, 22)
+        assert rows(text(by_scan.filter(chosen))) == rows(text(by_text.filter(chosen)))
+        assert by_scan.filter(chosen).count() > 0
+
+
 def test_client_from_folder_stays_text(spark, folder):
     root = data.write_clients(folder("in"), "1", "client_2")
     df = src.read_dataset(spark, root, TRANSACTIONS)
@@ -116,7 +154,7 @@ def test_last_row_of_a_file_wins_across_splits(spark, folder):
 def test_scan_reads_only_the_needed_columns(spark, folder):
     root = data.write_client(folder("in"))
     df = src.read_dataset(spark, root, TRANSACTIONS, client_id="c").select("store_id")
-    assert "ReadSchema: struct<store_id:string>" in plan(df)
+    assert "ReadSchema: struct<store_id:int>" in plan(df)
 
 
 def test_landing_prunes_folders_and_keeps_undated_rows(spark, folder):

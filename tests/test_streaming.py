@@ -14,14 +14,15 @@ from tillmetrics.schemas import MENU_ITEMS, TRANSACTIONS, USERS
 from tillmetrics.sources import read_dimension
 from tillmetrics.streaming import (
     Session,
-    append_epochs,
     batch_counts,
     close_clients,
+    finish,
     latest_totals,
     observed,
     read_epochs,
     run_session,
-    running_totals,
+    start_append,
+    start_totals,
     stream_dataset,
     stream_messages,
 )
@@ -142,7 +143,7 @@ def test_messages_are_recognised_by_content_or_name(spark, folder, key, copies):
     root, work = folder("in"), folder("work")
     messages(root)
     stream = stream_messages(spark, root, TRANSACTIONS, key=key, max_files=1)
-    append_epochs(stream, f"{work}/out", f"{work}/checkpoint")
+    finish(start_append(stream, f"{work}/out", f"{work}/checkpoint"))
     found = rows(read_epochs(spark, stream.schema, f"{work}/out"), "client_id", "transaction_id")
     assert found.count(("c", "a")) == copies
     assert found.count(("d", "a")) == 1
@@ -153,7 +154,7 @@ def test_messages_into_a_running_total(spark, folder):
     root, work = folder("in"), folder("work")
     messages(root)
     totals = count_by(stream_messages(spark, root, TRANSACTIONS, max_files=1), ["client_id"], "n")
-    running_totals(totals, f"{work}/out", f"{work}/checkpoint")
+    finish(start_totals(totals, f"{work}/out", f"{work}/checkpoint"))
     changes = read_epochs(spark, totals.schema, f"{work}/out")
     assert changes.count() > 2  # the total of client c changed more than once
     assert rows(latest_totals(changes, ["client_id"])) == [("c", 3), ("d", 1)]

@@ -10,7 +10,7 @@ from tillmetrics.functions.calendar import (
     year_month_label,
 )
 from tillmetrics.functions.fingerprints import batch_fingerprint
-from tillmetrics.functions.parsing import non_blank, to_date, to_id, to_integer, to_number, to_timestamp
+from tillmetrics.functions.parsing import non_blank, to_date, to_id, to_integer, to_number, to_timestamp, whole
 
 __all__ = [
     "at_least",
@@ -31,5 +31,6 @@ __all__ = [
     "to_timestamp",
     "total_cents",
     "units",
+    "whole",
     "year_month_label",
 ]

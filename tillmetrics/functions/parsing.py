@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 # The accepted text forms.
 TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
-NUMBER_SHAPE = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(inf|infinity|nan)\s*$"
+NOT_IN_A_NUMBER = r"[^0-9eE.+ -]"
+SPECIAL_NUMBERS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan")
 INTEGER_SHAPE = r"^\s*[+-]?\d+\s*$"
 
 
@@ -33,12 +34,19 @@ def to_date(text: Column) -> Column:
 
 def to_number(text: Column) -> Column:
     """Text to double; ``nan`` and ``inf`` are numbers, predicates deal with them."""
-    return _shaped(text, NUMBER_SHAPE, "double")
+    number = text.try_cast("double")
+    special = F.lower(F.trim(text)).isin(*SPECIAL_NUMBERS)
+    return F.when(~text.rlike(NOT_IN_A_NUMBER) | special, number)
 
 
 def to_id(text: Column) -> Column:
     """``"123.0"`` to 123, truncating; null for ``nan``, ``inf`` and text."""
-    return to_number(text).try_cast("bigint")
+    return whole(to_number(text))
+
+
+def whole(number: Column, target: str = "bigint") -> Column:
+    """The second half of E6, for ids that were read as doubles already."""
+    return number.try_cast("bigint").try_cast(target)
 
 
 def to_integer(text: Column, target: str = "int") -> Column:

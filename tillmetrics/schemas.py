@@ -1,8 +1,8 @@
 """The four datasets: positional text columns and their typed form.
 
-Files carry text in a fixed column order. ``text_schema`` is what a file scan
-yields, ``typed_schema`` is what every plan works on; ``sources.csv_files.typed``
-converts between them.
+Files carry text in a fixed column order. ``typed_schema`` is what every plan works
+on. ``scan_schema`` is what the CSV scan itself converts, once per row, and
+``text_schema`` is the unconverted form for rows that have to be looked at as text.
 """
 
 from __future__ import annotations
@@ -37,6 +37,17 @@ class Dataset:
     def text_schema(self) -> T.StructType:
         return T.StructType([T.StructField(name, _STRING) for name in self.names])
 
+    @property
+    def scan_schema(self) -> T.StructType:
+        """Dates and plain integers by the scan; ids as doubles (``"12.0"``); amounts as text."""
+        scanned = {_LONG: _DOUBLE, _DOUBLE: _STRING}
+        return T.StructType(
+            [
+                T.StructField(name, _DOUBLE if name == "voucher_id" else scanned.get(kind, kind))
+                for name, kind in self.columns
+            ]
+        )
+
     @property
     def typed_schema(self) -> T.StructType:
         return T.StructType([T.StructField(name, kind) for name, kind in self.columns])

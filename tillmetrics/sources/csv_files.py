@@ -6,6 +6,11 @@ from partition discovery; without them pass ``client_id``.
 
 Files are uncompressed text without multi-line fields, so Spark splits large files
 freely (``spark.sql.files.maxPartitionBytes``).
+
+Dates are converted by the scan rather than by an expression above it: Catalyst
+pushes filters below such expressions and repeats them in every predicate, while a
+date converted by the scan is parsed once, and the year range is checked inside the
+CSV parser before the other columns are converted.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmetrics.functions.parsing import to_date, to_id, to_integer, to_number, to_timestamp
+from tillmetrics.functions.parsing import to_date, to_id, to_integer, to_number, to_timestamp, whole
 from tillmetrics.operators.lookups import last_wins
 from tillmetrics.schemas import CLIENT, DATASETS, MENU_ITEMS, TRANSACTION_ITEMS, TRANSACTIONS, USERS
 
@@ -40,17 +45,47 @@ def dataset_glob(kind: str, months: Iterable[str | int] | None = None) -> str:
     return f"{kind}_{{{','.join(chosen)}}}.csv"
 
 
-def _csv_reader(spark: SparkSession, schema: T.StructType, client_id: str | None):
-    if client_id is None:
-        schema = T.StructType([*schema.fields, T.StructField(CLIENT, T.StringType())])
+# Date forms of the files, zero padding optional.
+TIMESTAMP_FORMAT = "y-M-d H:m:s"
+DATE_FORMAT = "y-M-d"
+
+
+def csv_options(reader, schema: T.StructType):
+    """Reader (batch or stream) of the file form; a bad field becomes null, its row stays."""
     return (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("header", True)
         .option("quote", "")
         .option("mode", "PERMISSIVE")
+        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        .option("dateFormat", DATE_FORMAT)
     )
 
 
+def with_client_folder(schema: T.StructType) -> T.StructType:
+    """The client folder read as text, whatever it looks like."""
+    return T.StructType([*schema.fields, T.StructField(CLIENT, T.StringType())])
+
+
+def _scan(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    glob: str,
+    client_id: str | None,
+    separator: str = ",",
+) -> DataFrame:
+    """Columns of the schema and the client; no column for further folder levels."""
+    names = schema.names
+    if client_id is None:
+        schema = with_client_folder(schema)
+    reader = csv_options(spark.read, schema).option("pathGlobFilter", glob).option("sep", separator)
+    rows = reader.csv(root)
+    if client_id is not None:
+        rows = with_client(rows, client_id)
+    return rows.select(*names, CLIENT)
+
+
 def read_raw(
     spark: SparkSession,
     root: str,
@@ -65,17 +100,12 @@ def read_raw(
     ``bad_rows="flag"`` such rows also get ``is_bad_row``: lines are then split
     here, because the CSV parser cannot report a bad row when it prunes columns.
     """
-    names = DATASETS[kind].names
+    glob = dataset_glob(kind, months)
     if bad_rows == "pad":
-        reader = _csv_reader(spark, DATASETS[kind].text_schema, client_id)
-        rows = reader.option("pathGlobFilter", dataset_glob(kind, months)).csv(root)
-        if client_id is not None:
-            rows = with_client(rows, client_id)
-        return rows.select(*names, CLIENT)  # no column for further folder levels
+        return _scan(spark, root, DATASETS[kind].text_schema, glob, client_id)
     if bad_rows != "flag":
         raise ValueError("bad_rows must be 'pad' or 'flag'")
-    lines = read_lines(spark, root, dataset_glob(kind, months), client_id)
-    return split_lines(lines, kind).drop("line")
+    return split_lines(read_lines(spark, root, glob, client_id), kind).drop("line")
 
 
 def split_lines(lines: DataFrame, kind: str) -> DataFrame:
@@ -91,11 +121,7 @@ def read_lines(
 ) -> DataFrame:
     """Data lines of any mix of files, headers skipped: ``line``, ``client_id``."""
     schema = T.StructType([T.StructField("line", T.StringType())])
-    reader = _csv_reader(spark, schema, client_id).option("sep", _NO_SEPARATOR)
-    rows = reader.option("pathGlobFilter", glob).csv(root)
-    if client_id is not None:
-        rows = with_client(rows, client_id)
-    return rows.select("line", CLIENT)
+    return _scan(spark, root, schema, glob, client_id, _NO_SEPARATOR)
 
 
 def with_dataset_kind(rows: DataFrame, name_column: str | Column = "_metadata.file_name") -> DataFrame:
@@ -137,13 +163,25 @@ def _converted(kind: str) -> dict[str, Column]:
 
 
 def typed(raw: DataFrame, kind: str) -> DataFrame:
-    """Convert the text columns; what does not parse becomes null.
+    """Convert text columns; what does not parse becomes null.
 
-    Other columns (client, flags, arrival) pass through.
+    Other columns (client, flags) pass through. This is the form for rows that were
+    text first, such as flagged lines or messages; see ``scanned`` for files.
     """
     return raw.withColumns(_converted(kind))
 
 
+def scanned(rows: DataFrame, kind: str) -> DataFrame:
+    """E6, E7 for what the scan left to do: ids to whole numbers, amounts from text."""
+    columns = {"voucher_id": whole(F.col("voucher_id"), "int")} if "voucher_id" in rows.columns else {}
+    for name, data_type in DATASETS[kind].columns:
+        if data_type == T.LongType():
+            columns[name] = whole(F.col(name))
+        elif data_type == T.DoubleType():
+            columns[name] = to_number(F.col(name))
+    return rows.withColumns(columns)
+
+
 def rejected(raw: DataFrame, kind: str, required: Iterable[str]) -> DataFrame:
     """the text rows whose ``required`` columns do not all parse, for a side table.
 
@@ -163,6 +201,9 @@ def read_dataset(
     bad_rows: str = "pad",
 ) -> DataFrame:
     """Typed rows of one dataset; see :func:`read_raw` for the arguments."""
+    if bad_rows == "pad":
+        glob = dataset_glob(kind, months)
+        return scanned(_scan(spark, root, DATASETS[kind].scan_schema, glob, client_id), kind)
     return typed(read_raw(spark, root, kind, months, client_id, bad_rows), kind)
 
 
@@ -181,13 +222,13 @@ def read_dimension(
     is the order in which the files were written. Pass ``deduplicate=False`` to
     reduce the rows first and apply ``last_wins`` afterwards.
     """
-    raw = read_raw(spark, root, kind, months, client_id)
+    rows = read_dataset(spark, root, kind, months, client_id)
     arrival = F.struct(
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("offset"),
         F.monotonically_increasing_id().alias("row"),
     )
-    rows = typed(raw.withColumn(ARRIVAL, arrival), kind)
+    rows = rows.withColumn(ARRIVAL, arrival)
     if not deduplicate:
         return rows
     key = DATASETS[kind].names[0]

@@ -10,11 +10,12 @@ from tillmetrics.streaming.ingest import (
     stream_messages,
 )
 from tillmetrics.streaming.running import (
-    append_epochs,
+    finish,
     latest_totals,
     observed,
     read_epochs,
-    running_totals,
+    start_append,
+    start_totals,
     write_epoch,
 )
 from tillmetrics.streaming.session import Session, batch_counts, close_clients, closed_clients, run_session
@@ -22,10 +23,10 @@ from tillmetrics.streaming.session import Session, batch_counts, close_clients,
 __all__ = [
     "Session",
     "announced_files",
-    "append_epochs",
     "batch_counts",
     "close_clients",
     "closed_clients",
+    "finish",
     "fresh_batches",
     "land_stream",
     "latest_totals",
@@ -33,7 +34,8 @@ __all__ = [
     "read_batch_files",
     "read_epochs",
     "run_session",
-    "running_totals",
+    "start_append",
+    "start_totals",
     "stream_dataset",
     "stream_landed",
     "stream_messages",

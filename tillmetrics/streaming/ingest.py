@@ -19,12 +19,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillmetrics.functions import batch_fingerprint
 from tillmetrics.operators import drop_closed
 from tillmetrics.schemas import CLIENT, DATASETS, TRANSACTION_ITEMS, TRANSACTIONS
-from tillmetrics.sources.csv_files import dataset_glob, split_lines, typed, with_dataset_kind
+from tillmetrics.sources.csv_files import (
+    csv_options,
+    dataset_glob,
+    scanned,
+    split_lines,
+    typed,
+    with_client_folder,
+    with_dataset_kind,
+)
 from tillmetrics.sources.landing import BY_YEAR, land, landing_schema
 from tillmetrics.streaming.running import EPOCH, write_epoch
 
@@ -76,14 +83,9 @@ def fresh_batches(announced: DataFrame) -> DataFrame:
 
 def read_batch_files(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
     """Typed rows of the named files, client taken from the folder name."""
-    raw = (
-        spark.read.schema(DATASETS[kind].text_schema)
-        .option("header", True)
-        .option("quote", "")
-        .option("recursiveFileLookup", True)
-        .csv(list(paths))
-    )
-    return typed(raw.withColumn(CLIENT, _folder_value(F.col("_metadata.file_path"), CLIENT)), kind)
+    reader = csv_options(spark.read, DATASETS[kind].scan_schema).option("recursiveFileLookup", True)
+    rows = reader.csv(list(paths))
+    return scanned(rows.withColumn(CLIENT, _folder_value(F.col("_metadata.file_path"), CLIENT)), kind)
 
 
 def land_stream(
@@ -147,16 +149,13 @@ def stream_dataset(spark: SparkSession, root: str, kind: str, max_files: int = M
 
     The source remembers file paths, so a path is read once even after a restart.
     """
-    schema = T.StructType([*DATASETS[kind].text_schema.fields, T.StructField(CLIENT, T.StringType())])
-    raw = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("quote", "")
+    schema = DATASETS[kind].scan_schema
+    reader = (
+        csv_options(spark.readStream, with_client_folder(schema))
         .option("pathGlobFilter", dataset_glob(kind))
         .option("maxFilesPerTrigger", max_files)
-        .csv(root)
     )
-    return typed(raw, kind)
+    return scanned(reader.csv(root).select(*schema.names, CLIENT), kind)
 
 
 def stream_messages(

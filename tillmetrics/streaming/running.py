@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 EPOCH = "epoch"
 
@@ -23,31 +24,40 @@ def write_epoch(rows: DataFrame, path: str, epoch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
 
 
-def _drain(rows: DataFrame, path: str, checkpoint: str, mode: str) -> None:
-    query = (
+def _start(rows: DataFrame, path: str, checkpoint: str, mode: str) -> StreamingQuery:
+    return (
         rows.writeStream.outputMode(mode)
         .foreachBatch(lambda batch, epoch: write_epoch(batch, path, epoch))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
 
 
-def append_epochs(rows: DataFrame, path: str, checkpoint: str) -> None:
-    """Run a stateless stream over everything available; rows are appended by epoch."""
-    _drain(rows, path, checkpoint, "append")
+def start_append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Start a stateless stream over everything available; rows are appended by epoch."""
+    return _start(rows, path, checkpoint, "append")
 
 
-def running_totals(totals: DataFrame, path: str, checkpoint: str) -> None:
-    """Run a streaming aggregation over everything available.
+def start_totals(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Start a streaming aggregation over everything available.
 
     ``totals`` is any grouped aggregation of a stream. Its state lives in the
     checkpoint (RocksDB with the recommended session settings); after a restart it
     continues from the last finished micro-batch. The number of state partitions is
     ``spark.sql.shuffle.partitions`` of the first start.
     """
-    _drain(totals, path, checkpoint, "update")
+    return _start(totals, path, checkpoint, "update")
+
+
+def finish(*queries: StreamingQuery) -> None:
+    """T4: wait until the input of all queries is exhausted; stop the rest when one fails."""
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
 
 
 def read_epochs(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:

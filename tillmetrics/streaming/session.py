@@ -31,7 +31,14 @@ from tillmetrics.plans.stores import SEMESTER_STORE
 from tillmetrics.schemas import CLIENT, TRANSACTION_ITEMS, TRANSACTIONS
 from tillmetrics.sources.results import write_result
 from tillmetrics.streaming.ingest import LEDGER_SCHEMA, MAX_FILES, land_stream, stream_landed
-from tillmetrics.streaming.running import EPOCH, append_epochs, latest_totals, read_epochs, running_totals
+from tillmetrics.streaming.running import (
+    EPOCH,
+    finish,
+    latest_totals,
+    read_epochs,
+    start_append,
+    start_totals,
+)
 
 _CLOSED_SCHEMA = T.StructType([T.StructField(CLIENT, T.StringType())])
 
@@ -108,16 +115,20 @@ def aggregate(
     items = _landed(spark, session, TRANSACTION_ITEMS, max_files)
 
     found = high_value_transactions(transactions, params)
-    append_epochs(found, session.output("q1"), session.checkpoint("q1"))
-    current = {"q1": read_epochs(spark, found.schema, session.output("q1")).drop(EPOCH)}
+    totals = {
+        "q2": (item_month_totals(items, params), ITEM_MONTH),
+        "q3": (semester_store_totals(transactions, params), SEMESTER_STORE),
+        "q4": (buyer_counts(transactions, params), BUYER),
+    }
+    # The four streams run side by side, so one does not wait for another's last tasks.
+    queries = [start_append(found, session.output("q1"), session.checkpoint("q1"))]
+    for name, (running, _) in totals.items():
+        queries.append(start_totals(running, session.output(name), session.checkpoint(name)))
+    finish(*queries)
 
-    for name, totals, keys in (
-        ("q2", item_month_totals(items, params), ITEM_MONTH),
-        ("q3", semester_store_totals(transactions, params), SEMESTER_STORE),
-        ("q4", buyer_counts(transactions, params), BUYER),
-    ):
-        running_totals(totals, session.output(name), session.checkpoint(name))
-        changes = read_epochs(spark, totals.schema, session.output(name))
+    current = {"q1": read_epochs(spark, found.schema, session.output("q1")).drop(EPOCH)}
+    for name, (running, keys) in totals.items():
+        changes = read_epochs(spark, running.schema, session.output(name))
         current[name] = latest_totals(changes, keys)
     return current
 
