@@ -5,7 +5,7 @@ import pytest
 from tests import data
 from tests.conftest import rows, write_lines
 from tillmetrics import Params
-from tillmetrics.__main__ import load, parse_args, run, run_incremental
+from tillmetrics.__main__ import load, parse_args, run, run_incremental, show
 from tillmetrics.compare import verdicts
 from tillmetrics.plans import all_results, transaction_funnel, yearly_best_month
 from tillmetrics.sources import read_dataset
@@ -53,11 +53,14 @@ def test_clients_do_not_mix(spark, folder):
         check({name: df.filter(f"client_id = '{client}'") for name, df in results.items()})
 
 
-def test_written_results_and_landing(spark, folder):
+def test_written_results_and_landing(spark, folder, capsys):
     root = data.write_clients(folder("in"), "client_1", "client_2")
     landing, out = folder("landing"), folder("out")
     written = run(spark, root, out, landing=landing)
     check({name: df.filter("client_id = 'client_2'") for name, df in written.items()})
+    show(written, Params())
+    printed = capsys.readouterr().out
+    assert printed.count("2024-01-05 06:00:00") == 2 and "top_profit" in printed
 
 
 def test_without_users_three_questions(spark, folder):
@@ -119,3 +122,17 @@ def test_incremental_run(spark, folder):
     extra = [data.transaction("extra", 1, "10", "100", "2024-02-01 10:00:00")]
     write_lines(f"{root}/client_id=client_1/transactions_202402.csv", data.TRANSACTION_HEADER, extra)
     check(run_incremental(spark, root, out, work))
+
+
+def test_a_second_run_replaces_the_first(spark, folder):
+    """Answers that vanished are gone: for all clients at once, and for one client's session."""
+    root, out = data.write_clients(folder("in"), "client_1", "client_2"), folder("out")
+    run(spark, root, out)
+    fewer = folder("fewer")
+    data.write_client(f"{fewer}/client_id=client_1")
+    none = Params(years=(1999,))
+    own = run(spark, f"{fewer}/client_id=client_1", out, client_id="client_1", params=none)
+    for name, df in own.items():
+        assert rows(df.select("client_id").distinct()) == [("client_2",)], name
+    check({name: df.filter("client_id = 'client_1'") for name, df in run(spark, fewer, out).items()})
+    assert spark.read.parquet(f"{out}/q3").select("client_id").distinct().count() == 1

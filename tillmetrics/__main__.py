@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillmetrics.params import Params
 from tillmetrics.plans import all_results, yearly_best_month
@@ -29,13 +30,8 @@ from tillmetrics.sources import (
 )
 from tillmetrics.streaming import run_session
 
-#: Order of the printed previews (the answer itself is a set).
-PREVIEW_ORDER = {
-    "q1": ["created_at", "transaction_id"],
-    "q2": ["year", "month"],
-    "q3": ["year", "semester", "store_id"],
-    "q4": ["store_id", "count", "user_id"],
-}
+#: Most rows printed of any result.
+PRINTED_ROWS = 1000
 
 
 def load(
@@ -71,13 +67,17 @@ def run(
     params: Params = Params(),
     with_users: bool = True,
 ) -> dict[str, DataFrame]:
-    """Write all result sets and return them as read back."""
+    """Write all result sets and return them as read back.
+
+    With client folders ``out`` is replaced as a whole; with ``client_id`` only the
+    results of that client are.
+    """
     results = all_results(*load(spark, root, client_id, months, landing, params, with_users), params)
     written = {}
     for name, result in results.items():
         if client_id is not None:
             clear_result(spark, result.schema, name, out, client_id, fmt)
-        write_result(result, name, out, fmt)
+        write_result(result, name, out, fmt, whole=client_id is None)
         written[name] = read_result(spark, result.schema, name, out, fmt)
     return written
 
@@ -102,6 +102,23 @@ def run_incremental(
     return {name: read_result(spark, answer.schema, name, out) for name, answer in answers.items()}
 
 
+def show(written: dict[str, DataFrame], params: Params) -> None:
+    """Print the first rows of Q1 and Q3, the best months of Q2, and the buyers of Q4."""
+    order = {
+        "q1": ["created_at", "transaction_id"],
+        "q3": ["year", "semester", "store_id"],
+        "q4": ["store_id", F.desc("count"), F.desc("user_id")],
+    }
+    for name, result in written.items():
+        print(name)
+        if name == "q2":
+            lines = yearly_best_month(result).orderBy(CLIENT, "report", "year")
+        else:
+            rows = PRINTED_ROWS if name == "q4" else params.preview_rows
+            lines = preview(result, [CLIENT, *order[name]], rows)
+        lines.show(PRINTED_ROWS, truncate=False)
+
+
 def _list(text: str) -> list[str]:
     return [part.strip() for part in text.split(",") if part.strip()]
 
@@ -161,12 +178,7 @@ def main() -> None:
             with_users=not args.no_users,
         )
     if args.show:
-        for name, result in written.items():
-            print(name)
-            if name == "q2":
-                yearly_best_month(result).orderBy(CLIENT, "report", "year").show(truncate=False)
-            else:
-                preview(result, [CLIENT, *PREVIEW_ORDER[name]], params.preview_rows).show(truncate=False)
+        show(written, params)
 
 
 if __name__ == "__main__":

@@ -15,12 +15,18 @@ def result_path(root: str, query: str) -> str:
 
 
 def write_result(
-    df: DataFrame, query: str, root: str, fmt: str = "parquet", compact: bool = False
+    df: DataFrame,
+    query: str,
+    root: str,
+    fmt: str = "parquet",
+    compact: bool = False,
+    whole: bool = False,
 ) -> None:
     """Replace the result folders of the clients in ``df``; other clients stay as they are.
 
-    A client without any result row keeps its old folder: call
-    :func:`clear_result` when its session starts. ``compact`` shuffles the result into
+    A client without any result row keeps its old folder: call :func:`clear_result`
+    when its session starts, or pass ``whole`` when ``df`` answers for every client
+    there is, which replaces all folders of the question. ``compact`` shuffles the result into
     evenly sized files first, for a result that leaves little of every scan task; AQE
     merges small clients and splits large ones.
     """
@@ -28,7 +34,7 @@ def write_result(
         df = df.hint("rebalance", CLIENT)
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(CLIENT)
         .format(fmt)
         .save(result_path(root, query))
