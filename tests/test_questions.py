@@ -3,7 +3,7 @@
 import pytest
 
 from tests import data
-from tests.conftest import rows, write_lines
+from tests.conftest import plan, rows, write_lines
 from tillmetrics import Params
 from tillmetrics.__main__ import load, parse_args, run, run_incremental, show
 from tillmetrics.compare import verdicts
@@ -136,3 +136,20 @@ def test_a_second_run_replaces_the_first(spark, folder):
         assert rows(df.select("client_id").distinct()) == [("client_2",)], name
     check({name: df.filter("client_id = 'client_1'") for name, df in run(spark, fewer, out).items()})
     assert spark.read.parquet(f"{out}/q3").select("client_id").distinct().count() == 1
+
+
+def test_facts_of_q4_are_read_once(spark, folder):
+    """The top list is needed twice; its exchange is reused instead of being computed again."""
+    root = data.write_client(folder("in"))
+    q4 = all_results(*load(spark, root, client_id="c"))["q4"]
+    q4.collect()
+    final = plan(q4).split("\n\n")[0].split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+    assert final.count("Scan csv") == 2  # transactions and users
+
+
+def test_plans_stay_on_the_jvm_and_join_by_key(spark, folder):
+    root = data.write_client(folder("in"))
+    for name, df in all_results(*load(spark, root, client_id="c")).items():
+        for unwanted in ("Cartesian", "NestedLoop", "PythonUDF", "EvalPython"):
+            assert unwanted not in plan(df), name

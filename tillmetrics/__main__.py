@@ -1,6 +1,6 @@
 """Answer all questions for a folder of CSV datasets.
 
-    spark-submit -m tillmetrics INPUT OUTPUT [--client-id ID] [--landing DIR | --stream DIR] [--show]
+    python -m tillmetrics INPUT OUTPUT [--client-id ID] [--landing DIR | --stream DIR] [--show]
 
 INPUT holds the files of one client (with ``--client-id``) or ``client_id=<id>``
 folders. OUTPUT gets one folder per question and client. ``--stream`` keeps running

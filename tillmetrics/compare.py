@@ -1,6 +1,6 @@
 """Do clients that sent the same data get the same answers?
 
-    spark-submit -m tillmetrics.compare OUTPUT --clients client_1,client_2 [--queries q1,q2] [--show-diffs]
+    python -m tillmetrics.compare OUTPUT --clients client_1,client_2 [--queries q1,q2] [--show-diffs]
 
 Compares the result sets of every pair of clients regardless of row order (D2) and
 exits with status 1 when any pair differs.
