@@ -39,8 +39,8 @@ from tillmetrics.streaming import (
     Session,
     batch_counts,
     close_clients,
+    current_totals,
     finish,
-    latest_totals,
     observed,
     read_epochs,
     run_session,
@@ -64,8 +64,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _totals(totals: DataFrame, label: str, keys) -> DataFrame:
     spark = totals.sparkSession
     work = new_root(spark, label)
-    finish(start_totals(totals, f"{work}/out", f"{work}/checkpoint"))
-    return latest_totals(read_epochs(spark, totals.schema, f"{work}/out"), keys)
+    finish(start_totals(totals, keys, f"{work}/out", f"{work}/checkpoint"))
+    return current_totals(spark, totals.schema, keys, f"{work}/out")
 
 
 @query("stream_q1", Q1_SQL.format(75))

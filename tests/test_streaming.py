@@ -16,8 +16,8 @@ from tillmetrics.streaming import (
     Session,
     batch_counts,
     close_clients,
+    current_totals,
     finish,
-    latest_totals,
     observed,
     read_epochs,
     run_session,
@@ -150,14 +150,23 @@ def test_messages_are_recognised_by_content_or_name(spark, folder, key, copies):
     assert found.count(("c", "short")) == copies - 1
 
 
-def test_messages_into_a_running_total(spark, folder):
+@pytest.mark.parametrize("snapshot_every", [1, 2, 100])
+def test_messages_into_a_running_total(spark, folder, snapshot_every):
     root, work = folder("in"), folder("work")
     messages(root)
     totals = count_by(stream_messages(spark, root, TRANSACTIONS, max_files=1), ["client_id"], "n")
-    finish(start_totals(totals, f"{work}/out", f"{work}/checkpoint"))
-    changes = read_epochs(spark, totals.schema, f"{work}/out")
+
+    def run():
+        finish(start_totals(totals, ["client_id"], f"{work}/out", f"{work}/checkpoint", snapshot_every))
+        return rows(current_totals(spark, totals.schema, ["client_id"], f"{work}/out"))
+
+    assert run() == [("c", 3), ("d", 1)]
+    changes = read_epochs(spark, totals.schema, f"{work}/out/changes")
     assert changes.count() > 2  # the total of client c changed more than once
-    assert rows(latest_totals(changes, ["client_id"])) == [("c", 3), ("d", 1)]
+    snapshots = read_epochs(spark, totals.schema, f"{work}/out/snapshots")
+    assert snapshots.select("epoch").distinct().count() == 4 // snapshot_every
+    write_lines(f"{root}/client_id=d/m2", None, [data.transaction("b", 1, "1", "1", "2024-02-01 10:00:00")])
+    assert run() == [("c", 3), ("d", 2)]
 
 
 def test_stream_counters(spark, folder):

@@ -10,6 +10,7 @@ from tillmetrics.streaming.ingest import (
     stream_messages,
 )
 from tillmetrics.streaming.running import (
+    current_totals,
     finish,
     latest_totals,
     observed,
@@ -26,6 +27,7 @@ __all__ = [
     "batch_counts",
     "close_clients",
     "closed_clients",
+    "current_totals",
     "finish",
     "fresh_batches",
     "land_stream",

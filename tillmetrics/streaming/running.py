@@ -2,14 +2,15 @@
 
 A running aggregate emits, per micro-batch, the keys whose totals changed. Each
 micro-batch writes them to its own ``epoch`` folder and overwrites that folder when
-it is repeated after a failure, so the output is exactly-once. The current total of
-a key is the one with the highest epoch; ranking then runs as a batch query over
-the totals (T8), because streams cannot be ranked.
+it is repeated after a failure, so the output is exactly-once. Every so many epochs
+the totals so far are written as a snapshot: reading the current totals takes the
+last snapshot and the changes after it, however long the stream has been running.
+Ranking then is a batch query over the totals (T8), because streams cannot be ranked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 EPOCH = "epoch"
+SNAPSHOT_EVERY = 100
 
 
 def write_epoch(rows: DataFrame, path: str, epoch: int) -> None:
@@ -24,10 +26,12 @@ def write_epoch(rows: DataFrame, path: str, epoch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
 
 
-def _start(rows: DataFrame, path: str, checkpoint: str, mode: str) -> StreamingQuery:
+def _start(
+    rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str
+) -> StreamingQuery:
     return (
         rows.writeStream.outputMode(mode)
-        .foreachBatch(lambda batch, epoch: write_epoch(batch, path, epoch))
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -36,18 +40,61 @@ def _start(rows: DataFrame, path: str, checkpoint: str, mode: str) -> StreamingQ
 
 def start_append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Start a stateless stream over everything available; rows are appended by epoch."""
-    return _start(rows, path, checkpoint, "append")
+    return _start(rows, lambda batch, epoch: write_epoch(batch, path, epoch), checkpoint, "append")
 
 
-def start_totals(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def start_totals(
+    totals: DataFrame,
+    keys: Sequence[str],
+    path: str,
+    checkpoint: str,
+    snapshot_every: int = SNAPSHOT_EVERY,
+) -> StreamingQuery:
     """Start a streaming aggregation over everything available.
 
-    ``totals`` is any grouped aggregation of a stream. Its state lives in the
-    checkpoint (RocksDB with the recommended session settings); after a restart it
+    ``totals`` is any aggregation of a stream, grouped by ``keys``. Its state lives in
+    the checkpoint (RocksDB with the recommended session settings); after a restart it
     continues from the last finished micro-batch. The number of state partitions is
     ``spark.sql.shuffle.partitions`` of the first start.
     """
-    return _start(totals, path, checkpoint, "update")
+    spark, schema = totals.sparkSession, totals.schema
+
+    def write(changed: DataFrame, epoch: int) -> None:
+        write_epoch(changed, _changes(path), epoch)
+        if (epoch + 1) % snapshot_every == 0:
+            recent = _recent(spark, schema, path, before=epoch)
+            write_epoch(latest_totals(recent, keys), _snapshots(path), epoch)
+
+    return _start(totals, write, checkpoint, "update")
+
+
+def current_totals(
+    spark: SparkSession, schema: T.StructType, keys: Sequence[str], path: str
+) -> DataFrame:
+    """What :func:`start_totals` has written so far, one row per key."""
+    return latest_totals(_recent(spark, schema, path), keys)
+
+
+def _changes(path: str) -> str:
+    return f"{path}/changes"
+
+
+def _snapshots(path: str) -> str:
+    return f"{path}/snapshots"
+
+
+def _recent(
+    spark: SparkSession, schema: T.StructType, path: str, before: int | None = None
+) -> DataFrame:
+    """The last snapshot (older than epoch ``before``, if given) and all changes after it."""
+    snapshots = read_epochs(spark, schema, _snapshots(path))
+    if before is not None:
+        snapshots = snapshots.filter(F.col(EPOCH) < before)
+    changes = read_epochs(spark, schema, _changes(path))
+    last = snapshots.agg(F.max(EPOCH)).first()[0]
+    if last is None:
+        return changes
+    return snapshots.filter(F.col(EPOCH) == last).unionByName(changes.filter(F.col(EPOCH) > last))
 
 
 def finish(*queries: StreamingQuery) -> None:

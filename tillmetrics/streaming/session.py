@@ -33,8 +33,8 @@ from tillmetrics.sources.results import write_result
 from tillmetrics.streaming.ingest import LEDGER_SCHEMA, MAX_FILES, land_stream, stream_landed
 from tillmetrics.streaming.running import (
     EPOCH,
+    current_totals,
     finish,
-    latest_totals,
     read_epochs,
     start_append,
     start_totals,
@@ -122,14 +122,13 @@ def aggregate(
     }
     # The four streams run side by side, so one does not wait for another's last tasks.
     queries = [start_append(found, session.output("q1"), session.checkpoint("q1"))]
-    for name, (running, _) in totals.items():
-        queries.append(start_totals(running, session.output(name), session.checkpoint(name)))
+    for name, (running, keys) in totals.items():
+        queries.append(start_totals(running, keys, session.output(name), session.checkpoint(name)))
     finish(*queries)
 
     current = {"q1": read_epochs(spark, found.schema, session.output("q1")).drop(EPOCH)}
     for name, (running, keys) in totals.items():
-        changes = read_epochs(spark, running.schema, session.output(name))
-        current[name] = latest_totals(changes, keys)
+        current[name] = current_totals(spark, running.schema, keys, session.output(name))
     return current
 
 
