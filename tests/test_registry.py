@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare, oracle_connection
+from checks.registry import QUERIES, SQL
 from tests.conftest import plan
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +24,11 @@ def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
 
 
+def test_contract_has_them_all():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
