@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -239,3 +241,25 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).union(
         edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
     )
+
+
+# --- state of a Python worker ------------------------------------------------------------
+
+
+def worker_state(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once for each Python worker and used by its later tasks."""
+    home = sys.modules.setdefault("training_data_worker_state", types.ModuleType("training_data_worker_state"))
+    if not hasattr(home, name):
+        setattr(home, name, make())
+    return getattr(home, name)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder.
+
+    Unlike ``stored``, its size is known to the planner, which broadcasts it in a join
+    only below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    folder = shared_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
