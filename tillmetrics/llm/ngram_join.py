@@ -30,12 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Forest, U, Words, components, query, sliced, stored, table
+from .common import Forest, U, Words, components, query, sliced, stored, table, written
 
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -44,7 +45,6 @@ PERCENT = 80
 RANGE_BYTES = 4 << 20
 PACK_SHINGLES = 4_000_000
 PACK_DOCS = 1 << 16
-HASH_BITS = U(40)
 #: A block of rows ends at about this many entries; each row also counts as ROW_WEIGHT.
 BLOCK_ENTRIES = 1 << 18
 ROW_WEIGHT = 512
@@ -81,9 +81,11 @@ def _unplaned(raw: np.ndarray, count: int, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _pack(ranges: int, size: int):
+def _pack(ranges: int, bits: int, size: int):
+    """Packs of (hash of ``bits`` bits, place of the document in its pack), dealt out by hash range."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, packs = TaskContext.get().partitionId(), 0
+        task, packs, squeeze = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=1)
         names: list[tuple] = []
         keys: list[np.ndarray] = []
         held = 0
@@ -92,14 +94,14 @@ def _pack(ranges: int, size: int):
             block = task << 24 | packs
             entries = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
             hashes, docs = entries >> U(16), entries & U(0xFFFF)
-            bucket = (hashes * U(ranges)) >> HASH_BITS
+            bucket = (hashes * U(ranges)) >> U(bits)
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             out = {"bucket": [], "block": [], "packed": []}
             for a, b in zip([0, *cuts], [*cuts, len(entries)]):
                 if a < b:
                     gaps = np.diff(hashes[a:b], prepend=U(0))
                     out["bucket"].append(int(bucket[a]))
-                    out["packed"].append(_planes(gaps, 5) + _planes(docs[a:b], 2))
+                    out["packed"].append(squeeze.compress(_planes(gaps, 6) + _planes(docs[a:b], 2)))
             out["bucket"].append(-1 - block % ranges)
             out["packed"].append(
                 np.array([(i or 0, i is None, n, x, y) for i, n, x, y in names], dtype="<i8").tobytes()
@@ -112,7 +114,7 @@ def _pack(ranges: int, size: int):
             for part in sliced(batch, "text"):
                 ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
                 for doc_id, grams in zip(ids, distinct_sets(part, size)):
-                    keys.append((grams >> (U(64) - HASH_BITS)) << U(16) | U(len(names)))
+                    keys.append((grams >> U(64 - bits)) << U(16) | U(len(names)))
                     names.append((doc_id, len(grams), *fingerprint(grams)))
                     held += len(grams)
                     if held >= PACK_SHINGLES or len(names) >= PACK_DOCS:
@@ -130,9 +132,9 @@ def _count_repeated(group: pd.DataFrame) -> pd.DataFrame:
         return group.assign(named=True)[["block", "named", "packed"]]
     unpacked = []
     for block, packed in zip(group["block"], group["packed"]):
-        raw = np.frombuffer(packed, np.uint8)
-        count = len(raw) // 7
-        unpacked.append((block, np.cumsum(_unplaned(raw[: 5 * count], count, 5)), _unplaned(raw[5 * count :], count, 2)))
+        raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
+        count = len(raw) // 8
+        unpacked.append((block, np.cumsum(_unplaned(raw[: 6 * count], count, 6)), _unplaned(raw[6 * count :], count, 2)))
     merged = np.sort(np.concatenate([hashes for _, hashes, _ in unpacked]))
     twice = np.unique(merged[1:][merged[1:] == merged[:-1]])
     out = []
@@ -163,7 +165,10 @@ def set_rows(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     """Per document: size and fingerprint of its shingle set, and how many shingles are repeated elsewhere."""
     documents = documents.select("doc_id", "text")
     text_size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    packed = documents.mapInArrow(_pack(1 + text_size // RANGE_BYTES, size), PACKED)
+    # About 400 values for each shingle, whatever the size: chance repeats stay rare, and
+    # only let a document through to the exact steps.
+    bits = min(48, 16 + (text_size >> 10).bit_length())
+    packed = documents.mapInArrow(_pack(1 + text_size // RANGE_BYTES, bits, size), PACKED)
     counted = packed.groupBy("bucket").applyInPandas(_count_repeated, "block long, named boolean, packed binary")
     return counted.groupBy("block").applyInPandas(_name_counts, ROWS)
 
@@ -304,16 +309,20 @@ def ngram_jaccard_join(documents: DataFrame, size: int = SHINGLE, percent: int =
     classes = stored(able.groupBy(*same_set).agg(F.min("doc_id").alias("head"), F.countDistinct("doc_id").alias("copies")))
     members = able.join(classes, same_set).select("doc_id", "head", "copies")
 
-    heads = documents.select("doc_id", "text").join(classes.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = heads.mapInArrow(_sets(size), "doc_id long, n_shingles long, set_a long, set_b long, grams array<long>")
-    sets = stored(
+    # Counted again among one document of each class, copies no longer vouch for each other.
+    texts = documents.select("doc_id", "text")
+    heads = texts.join(classes.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    alike = set_rows(heads, size).where(F.col("repeated") >= _least_overlap("n_shingles", percent)).select("doc_id").distinct()
+    sets = texts.join(written(alike), "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, n_shingles long, set_a long, set_b long, grams array<long>")
+    sets = (
         sets.join(classes.withColumnRenamed("head", "doc_id"), ["doc_id", *same_set]).dropDuplicates(["doc_id", *same_set])
         .select(F.xxhash64("doc_id", *same_set).alias("row_id"), "doc_id", "n_shingles", "copies", "grams")
     )
     # A matrix row is a set; its id is its smallest document, or a hash where that document has several sets.
     several = Window.partitionBy("doc_id")
     sets = sets.withColumn("row_id", F.when(F.count("*").over(several) == 1, F.col("doc_id")).otherwise(F.col("row_id")))
-    named = stored(sets.select("row_id", "doc_id", "n_shingles", "copies"))
+    sets = stored(sets)
+    named = (sets.select("row_id", "doc_id", "n_shingles", "copies"))
     matrix = sets.select(F.col("row_id").alias("doc_id"), "n_shingles", "copies", "grams")
     groups = matrix.join(candidate_groups(matrix, percent).withColumnRenamed("id", "doc_id"), "doc_id")
     linked = stored(block_links(groups, percent))

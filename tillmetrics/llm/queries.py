@@ -1,6 +1,6 @@
 """All registered queries of this subpackage, and their SQL."""
 
-from . import ngram_join, packing, warc  # noqa: F401
+from . import ngram_join, packing, pu_quality, warc  # noqa: F401
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
