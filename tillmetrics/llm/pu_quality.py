@@ -110,15 +110,15 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Logistic model on scaled measures and their squares; weights None: constant 0.5."""
+    """Logistic model on how far each measure is above and below its mean; weights None: constant 0.5."""
 
     centre: np.ndarray | None = None
     scale: np.ndarray | None = None
     weights: np.ndarray | None = None
 
     def inputs(self, rows: np.ndarray) -> np.ndarray:
-        x = np.clip((rows - self.centre) / self.scale, -8, 8)
-        return np.hstack([x, x * x / 8, np.ones((len(x), 1))])
+        x = np.clip((rows - self.centre) / self.scale, -6, 6)
+        return np.hstack([np.maximum(x, 0), np.maximum(-x, 0), np.ones((len(x), 1))])
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
         if self.weights is None:
