@@ -37,7 +37,7 @@ from .common import Words, query, sliced, stored, table
 FIT_ROWS = 20_000
 STEPS = 400
 RATE = 0.05
-RIDGE = 1e-4
+RIDGE = 1e-2
 BINS = 1000
 #: A document is rejected below this score.
 THRESHOLD = 0.3
