@@ -254,12 +254,12 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return getattr(home, name)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, by: str | None = None) -> DataFrame:
     """The same rows as a Parquet table in the shared folder.
 
     Unlike ``stored``, its size is known to the planner, which broadcasts it in a join
     only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     folder = shared_folder(df.sparkSession)
-    df.write.parquet(folder)
+    (df.write.partitionBy(by) if by else df.write).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
