@@ -1,6 +1,6 @@
 """All registered queries of this subpackage, and their SQL."""
 
-from . import context_tree, line_rules, line_templates, ngram_join, packing, pu_quality, warc  # noqa: F401
+from . import context_tree, decontaminate, line_rules, line_templates, ngram_join, packing, pu_quality, warc  # noqa: F401
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
