@@ -41,9 +41,10 @@ from pyspark.sql import functions as F
 
 from .common import LOWER_BYTES, U, Words, mixed, query, sliced, table, written
 
-DEPTH = 5
-#: Text bytes of a block, and of the corpus for each range of hashes.
-BLOCK_BYTES = 16 << 20
+DEPTH = 4
+#: Text bytes of a block, of what is counted at a time, and of the corpus for each range of hashes.
+BLOCK_BYTES = 32 << 20
+PART_BYTES = 2 << 20
 RANGE_BYTES = 4 << 20
 END = 0xFF
 FOLDS = 10
@@ -79,37 +80,60 @@ def strings(texts: list[bytes], depth: int) -> Iterator[np.ndarray]:
         yield code
 
 
-class Block:
-    """Distinct strings and words of some texts, and what each text has of them."""
+def parts(texts: list[bytes]) -> Iterator[slice]:
+    """Consecutive runs of texts of about ``PART_BYTES``."""
+    start, size = 0, 0
+    for k, text in enumerate(texts):
+        size += len(text)
+        if size >= PART_BYTES or k == len(texts) - 1:
+            yield slice(start, k + 1)
+            start, size = k + 1, 0
 
-    def __init__(self, texts: list[bytes], depth: int, ranges: int):
+
+class Part:
+    """Distinct strings and words of a few texts, and how often each text has them."""
+
+    def __init__(self, texts: list[bytes], depth: int):
         of_text = [np.unique(code, return_counts=True) for code in strings(texts, depth)]
-        self.string_sizes = [len(k) for k, _ in of_text]
-        keys = np.concatenate([k for k, _ in of_text])
-        self.string_counts = np.concatenate([n for _, n in of_text])
-        self.strings, self.string_at = np.unique(keys, return_inverse=True)
-        # Strings that end in the same two bytes before the decision share a bucket.
-        head = self.strings >> self.strings.dtype.type(8 * (depth - 1))
-        self.string_bucket = (mixed(head.astype(np.uint64)) % U(ranges)).astype(np.int64)
-        self.string_order = np.argsort(self.string_bucket, kind="stable")
-
-        words = Words(pa.array([t for t in texts], pa.binary()).cast(pa.large_binary()).view(pa.large_string()), lower=False)
+        self.strings, self.string_at, self.string_counts, self.string_text = _joined(of_text)
+        large = pa.array(texts, pa.large_binary()).view(pa.large_string())
+        words = Words(large, lower=False)
         hashes = words.hashes()
-        first = words.first
-        self.tokens = np.diff(first) + 1
-        of_text = [np.unique(hashes[a:b], return_counts=True) for a, b in zip(first[:-1], first[1:])]
-        self.word_sizes = [len(k) for k, _ in of_text]
-        keys = np.concatenate([k for k, _ in of_text])
-        self.word_counts = np.concatenate([n for _, n in of_text])
-        self.words, self.word_at = np.unique(keys, return_inverse=True)
-        self.word_bucket = ((self.words >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
-
-    def training_counts(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        use = np.repeat(~held, self.string_sizes)
-        by_string = np.bincount(self.string_at[use], self.string_counts[use], len(self.strings)).astype(np.int64)
-        use = np.repeat(~held, self.word_sizes)
-        by_word = np.bincount(self.word_at[use], self.word_counts[use], len(self.words)).astype(np.int64)
-        return by_string, by_word
+        self.tokens = np.diff(words.first) + 1
+        of_text = [np.unique(hashes[a:b], return_counts=True) for a, b in zip(words.first[:-1], words.first[1:])]
+        self.words, self.word_at, self.word_counts, self.word_text = _joined(of_text)
+
+
+def _joined(of_text: list[tuple]) -> tuple:
+    keys, at = np.unique(np.concatenate([k for k, _ in of_text]), return_inverse=True)
+    text = np.repeat(np.arange(len(of_text)), [len(k) for k, _ in of_text])
+    return keys, at, np.concatenate([n for _, n in of_text]), text
+
+
+def added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of several tables and the sums of their counts."""
+    keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([n for _, n in found]), len(keys)).astype(np.uint32)
+
+
+def block_tables(texts: list[bytes], held: np.ndarray, depth: int) -> tuple[tuple, tuple]:
+    """(keys, training counts) of the strings and of the words of a block."""
+    found, words = [], []
+    for run in parts(texts):
+        part, use = Part(texts[run], depth), ~held[run]
+        found.append((part.strings, np.bincount(part.string_at, part.string_counts * use[part.string_text], len(part.strings))))
+        words.append((part.words, np.bincount(part.word_at, part.word_counts * use[part.word_text], len(part.words))))
+    return added(found), added(words)
+
+
+def string_buckets(keys: np.ndarray, depth: int, ranges: int) -> np.ndarray:
+    """Strings with the same two bytes before the decision share a bucket."""
+    head = keys >> keys.dtype.type(8 * (depth - 1))
+    return (mixed(head.astype(np.uint64)) % U(ranges)).astype(np.int64)
+
+
+def word_buckets(keys: np.ndarray, ranges: int) -> np.ndarray:
+    return ((keys >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
 
 
 def _gather(depth: int, ranges: int):
@@ -120,18 +144,18 @@ def _gather(depth: int, ranges: int):
         ids, held, texts, size = [], [], [], 0
 
         def flush():
-            block, left_out = Block(texts, depth, ranges), np.array(held)
-            by_string, by_word = block.training_counts(left_out)
+            (found, by_string), (words, by_word) = block_tables(texts, np.array(held), depth)
             out = [("text", 0, squeezed(ids, held, texts))]
-            order = block.string_order
+            bucket = string_buckets(found, depth, ranges)
+            order = np.argsort(bucket, kind="stable")
             for kind, buckets, keys, counts in (
-                ("string", block.string_bucket[order], block.strings[order], by_string[order]),
-                ("word", block.word_bucket, block.words, by_word),
+                ("string", bucket[order], found[order], by_string[order]),
+                ("word", word_buckets(words, ranges), words, by_word),
             ):
                 cuts = np.flatnonzero(np.diff(buckets)) + 1
                 for a, b in zip([0, *cuts], [*cuts, len(buckets)]):
                     if a < b:
-                        out.append((kind, int(buckets[a]), squeezed(np.diff(keys[a:b], prepend=keys.dtype.type(0)), counts[a:b].astype(np.uint32))))
+                        out.append((kind, int(buckets[a]), squeezed(np.diff(keys[a:b], prepend=keys.dtype.type(0)), counts[a:b])))
             block_id = task << 24 | number
             kinds, buckets, packed = zip(*out)
             return pa.RecordBatch.from_arrays(
@@ -173,14 +197,12 @@ def _answers(kind: str, group: pd.DataFrame, places: list[np.ndarray], values: n
     )
 
 
-def _word_totals(group: pd.DataFrame) -> pd.DataFrame:
-    _, counts, _ = _merged(group)
-    return pd.DataFrame({"tokens": [int(counts.sum())], "types": [int((counts > 0).sum())]})
-
-
 def _word_answers(group: pd.DataFrame) -> pd.DataFrame:
+    """Answers to the blocks, and in a row of its own how many tokens and types the bucket has."""
     _, counts, places = _merged(group)
-    return _answers("word", group, places, counts.astype(np.int64))
+    answers = _answers("word", group, places, counts.astype(np.int64)).assign(tokens=0, types=0)
+    totals = {"kind": "total", "block": -1, "bucket": -1, "packed": b"", "tokens": int(counts.sum()), "types": int((counts > 0).sum())}
+    return pd.concat([answers, pd.DataFrame([totals])])
 
 
 # --- the trees ----------------------------------------------------------------------------
@@ -308,22 +330,28 @@ def _string_answers(depth: int, upper: Upper):
 def _score(depth: int, ranges: int, tokens: int, types: int, train_texts: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         ids, held, texts = unsqueezed(group.loc[group["kind"] == "text", "packed"].iloc[0])
-        block = Block(texts, depth, ranges)
+        (found, _), (words, _) = block_tables(texts, np.array(held), depth)
         told = {
             kind: np.concatenate([unsqueezed(p)[0] for p in rows.sort_values("bucket")["packed"]])
             for kind, rows in group[group["kind"] != "text"].groupby("kind")
         }
-        log_chance = np.empty(len(block.strings))
-        log_chance[block.string_order] = told["string"]
-        text_of = np.repeat(np.arange(len(texts)), block.string_sizes)
-        score = np.bincount(text_of, log_chance[block.string_at] * block.string_counts, len(texts))
-        seen = told.get("word", np.zeros(0, np.int64))[block.word_at]
-        text_of = np.repeat(np.arange(len(texts)), block.word_sizes)
-        known = np.bincount(text_of, block.word_counts * (seen > 0), len(texts)).astype(np.int64)
-        base = np.bincount(text_of, block.word_counts * np.log10(seen + 0.1), len(texts))
-        base = base + np.log10(train_texts + 0.1) - block.tokens * np.log10(tokens + 0.1 * (types + 1))
+        log_chance = np.empty(len(found))
+        log_chance[np.argsort(string_buckets(found, depth, ranges), kind="stable")] = told["string"]
+        seen = told.get("word", np.zeros(0, np.int64))
+        score, known, base, n_tokens = [], [], [], []
+        for run in parts(texts):
+            part = Part(texts[run], depth)
+            n = len(part.tokens)
+            value = log_chance[np.searchsorted(found, part.strings)][part.string_at]
+            score.append(np.bincount(part.string_text, value * part.string_counts, n))
+            count = seen[np.searchsorted(words, part.words)][part.word_at] if len(words) else np.zeros(0)
+            known.append(np.bincount(part.word_text, part.word_counts * (count > 0), n).astype(np.int64))
+            base.append(np.bincount(part.word_text, part.word_counts * np.log10(count + 0.1), n))
+            n_tokens.append(part.tokens)
+        score, known, base, n_tokens = map(np.concatenate, (score, known, base, n_tokens))
+        base = base + np.log10(train_texts + 0.1) - n_tokens * np.log10(tokens + 0.1 * (types + 1))
         return pd.DataFrame({
-            "doc_id": pd.array(ids, "Int64"), "held_out": held, "n_tokens": block.tokens,
+            "doc_id": pd.array(ids, "Int64"), "held_out": held, "n_tokens": n_tokens,
             "n_known": known + (train_texts > 0), "train_tokens": tokens, "base_score": base, "score": score,
         })
 
@@ -338,13 +366,13 @@ def context_tree_scores(documents: DataFrame, held_out: F.Column, depth: int = D
     gathered = written(rows.mapInArrow(_gather(depth, ranges), PACKED), by="kind")
     words, found = gathered.where("kind = 'word'"), gathered.where("kind = 'string'")
 
-    counted = words.groupBy("bucket").applyInPandas(_word_totals, "tokens long, types long")
-    tokens, types = (int(v or 0) for v in counted.agg(F.sum("tokens"), F.sum("types")).first())
+    counted = written(words.groupBy("bucket").applyInPandas(_word_answers, ANSWER + ", tokens long, types long"), by="kind")
+    tokens, types = (int(v or 0) for v in counted.where("kind = 'total'").agg(F.sum("tokens"), F.sum("types")).first())
     nodes = found.groupBy("bucket").applyInPandas(_second_level(depth), "node long, zeros double, ones double, below double")
     nodes = nodes.groupBy("node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below"))
     upper = Upper(nodes.collect())
 
-    told = words.groupBy("bucket").applyInPandas(_word_answers, ANSWER).union(
+    told = counted.where("kind = 'word'").select("kind", "block", "bucket", "packed").union(
         found.groupBy("bucket").applyInPandas(_string_answers(depth, upper), ANSWER)
     )
     texts = gathered.where("kind = 'text'").select("kind", "block", "bucket", "packed")

@@ -1,6 +1,16 @@
 """All registered queries of this subpackage, and their SQL."""
 
-from . import context_tree, decontaminate, line_rules, line_templates, ngram_join, packing, pu_quality, warc  # noqa: F401
+from . import (  # noqa: F401
+    chunk_dedup,
+    context_tree,
+    decontaminate,
+    line_rules,
+    line_templates,
+    ngram_join,
+    packing,
+    pu_quality,
+    warc,
+)
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
