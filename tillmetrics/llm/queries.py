@@ -1,6 +1,7 @@
 """All registered queries of this subpackage, and their SQL."""
 
 from . import (  # noqa: F401
+    chat_perspectives,
     chunk_dedup,
     context_tree,
     decontaminate,
@@ -11,6 +12,10 @@ from . import (  # noqa: F401
     pu_quality,
     warc,
 )
+import corpus_pipeline
+
 from .common import QUERIES, SQL
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
 __all__ = ["QUERIES", "SQL"]
