@@ -41,7 +41,7 @@ LEAST_CHUNK = 8
 MOST_CHUNK = 256
 RUN = 4
 LEAST_BYTES = 128
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 RANGE_BYTES = 4 << 20
 
 GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> U(32)).astype(np.uint32)
@@ -112,7 +112,7 @@ def _gather(ranges: int, bits: int):
         def flush():
             digests, text, order, buckets = _sorted_digests(texts, ranges, bits)
             digests, text = digests[order], text[order]
-            rows = [("text", 0, squeezed(ids, texts))]
+            rows = [("text", 0, squeezed(ids, texts, level=6))]
             cuts = np.flatnonzero(np.diff(buckets[order])) + 1
             for a, b in zip([0, *cuts], [*cuts, len(order)]):
                 if a < b:

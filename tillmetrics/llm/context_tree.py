@@ -41,10 +41,10 @@ from pyspark.sql import functions as F
 
 from .common import LOWER_BYTES, U, Words, mixed, query, sliced, table, written
 
-DEPTH = 4
+DEPTH = 5
 #: Text bytes of a block, of what is counted at a time, and of the corpus for each range of hashes.
-BLOCK_BYTES = 32 << 20
-PART_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
+PART_BYTES = 1 << 20
 RANGE_BYTES = 4 << 20
 END = 0xFF
 FOLDS = 10
@@ -56,8 +56,8 @@ SCORES = (
 )
 
 
-def squeezed(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+def squeezed(*arrays, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(arrays, protocol=5))
 
 
 def unsqueezed(packed: bytes) -> tuple:
@@ -145,7 +145,7 @@ def _gather(depth: int, ranges: int):
 
         def flush():
             (found, by_string), (words, by_word) = block_tables(texts, np.array(held), depth)
-            out = [("text", 0, squeezed(ids, held, texts))]
+            out = [("text", 0, squeezed(ids, held, texts, level=6))]
             bucket = string_buckets(found, depth, ranges)
             order = np.argsort(bucket, kind="stable")
             for kind, buckets, keys, counts in (

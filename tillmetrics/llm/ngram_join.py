@@ -307,7 +307,7 @@ def ngram_jaccard_join(documents: DataFrame, size: int = SHINGLE, percent: int =
     able = rows.where("doc_id is not null and n_shingles > 0").where(F.col("repeated") >= _least_overlap("n_shingles", percent))
     same_set = ["n_shingles", "set_a", "set_b"]
     classes = stored(able.groupBy(*same_set).agg(F.min("doc_id").alias("head"), F.countDistinct("doc_id").alias("copies")))
-    members = able.join(classes, same_set).select("doc_id", "head", "copies")
+    members = able.join(classes, same_set).select("doc_id", "head", "copies").distinct()
 
     # Counted again among one document of each class, copies no longer vouch for each other.
     texts = documents.select("doc_id", "text")

@@ -8,7 +8,7 @@ P positives, U unlabelled documents and l the logistic loss, the fit minimises
 and where the second part falls below zero it is raised again before the fit goes on.
 The prior is estimated first: a plain P against U model scores every training document,
 and the least ratio of the shares of U and P above a score bounds the share of
-positives in U. These shares are counted over all training rows; only the fits
+positives in U (each half of the rows is scored by a model of the other). These shares are counted over all training rows; only the fits
 themselves take a sample of at most ``FIT_ROWS`` rows of P and of U each.
 
 A document is described by the shape of its whole text (bytes by kind, word lengths,
@@ -191,7 +191,10 @@ def learn(measured: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> t
     training = stored(
         measured.where(remainder() != 0)
         .join(known, "doc_id", "left")
-        .select("doc_id", "measures", F.when(F.col("best") == 1, 1).when(F.col("best").isNull(), 0).alias("positive"))
+        .select(
+            "doc_id", "measures", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"),
+            F.when(F.col("best") == 1, 1).when(F.col("best").isNull(), 0).alias("positive"),
+        )
         .where("positive is not null")
     )
     counts = {r["positive"]: r["count"] for r in training.groupBy("positive").count().collect()}
@@ -199,21 +202,25 @@ def learn(measured: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> t
         return Model(), None
     # At most ``fit_rows`` of each kind in expectation, chosen by a hash of the id.
     share = F.when(F.col("positive") == 1, F.lit(fit_rows / counts[1])).otherwise(F.lit(fit_rows / counts[0]))
-    chosen = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30)).select("positive", "measures")
+    chosen = training.where(F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1 << 30)) < share * (1 << 30))
+    chosen = chosen.select("positive", "half", "measures")
     sample = chosen.toPandas()
     rows = np.array(sample["measures"].tolist(), np.float64)
     is_positive = sample["positive"].to_numpy() == 1
     positive, unlabelled = rows[is_positive], rows[~is_positive]
     if not len(positive) or not len(unlabelled):
         return Model(), None
-    first = fit(positive, unlabelled, None)
-    scored = training.select(F.col("positive").cast("long").alias("doc_id"), "measures").mapInArrow(
-        _with_scores(first), "doc_id long, score double"
-    )
-    bins = scored.groupBy("doc_id", F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).alias("bin")).count().collect()
+    # Each half of the rows is scored by the model of the other half.
     held = np.zeros((2, BINS))
-    for r in bins:
-        held[r["doc_id"], r["bin"]] += r["count"]
+    for half in (0, 1):
+        learned = [x[sample["half"].to_numpy()[is_positive == kind] != half] for x, kind in ((positive, True), (unlabelled, False))]
+        if not len(learned[0]) or not len(learned[1]):
+            return Model(), None
+        scored = training.where(F.col("half") == half).select(F.col("positive").cast("long").alias("doc_id"), "measures")
+        scored = scored.mapInArrow(_with_scores(fit(*learned, None)), "doc_id long, score double")
+        bins = scored.groupBy("doc_id", F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).alias("bin")).count()
+        for r in bins.collect():
+            held[r["doc_id"], r["bin"]] += r["count"]
     prior = class_prior(held[1], held[0])
     return fit(positive, unlabelled, prior), prior
 
