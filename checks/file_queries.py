@@ -39,7 +39,7 @@ from tillmetrics.sources import (
 EVENT_CLIENT_SQL = "'client_' || CAST(user_id % 3 AS VARCHAR)"
 EVENT_COLUMNS_SQL = f"""
     {EVENT_CLIENT_SQL} AS client_id, CAST(event_id AS VARCHAR) AS transaction_id,
-    CAST(user_id % 10 AS INTEGER) AS store_id, 1 AS payment_method_id, CAST(NULL AS INTEGER) AS voucher_id,
+    CAST(user_id % 10 AS VARCHAR) AS store_id, '1' AS payment_method_id, CAST(NULL AS INTEGER) AS voucher_id,
     user_id, value AS original_amount, CAST(0 AS DOUBLE) AS discount_applied, value AS final_amount,
     date_trunc('second', ts) AS created_at"""
 
@@ -55,6 +55,36 @@ def event_files(spark: SparkSession, sf_dir: str, label: str, sender: str = "par
     return root
 
 
+@query(
+    "csv_store_text",
+    f"""SELECT {EVENT_CLIENT_SQL} AS client_id, CAST(year(ts) AS INTEGER) AS year,
+           CASE WHEN month(ts) <= 6 THEN 1 ELSE 2 END AS semester,
+           CASE WHEN user_id % 10 < 5 THEN CAST(user_id % 10 AS VARCHAR) || '.0' ELSE 'S' || CAST(user_id % 10 AS VARCHAR) END AS store_id,
+           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS tpv
+    FROM events WHERE hour(ts) BETWEEN 6 AND 22 AND year(ts) IN (2024, 2025) AND month(ts) <= 6 AND value > 0 GROUP BY ALL""",
+)
+def csv_store_text(spark, sf_dir):
+    """Stores that are not plain numbers stay apart."""
+    number = event_store().cast("string")
+    name = F.when(event_store() < 5, F.concat(number, F.lit(".0"))).otherwise(F.concat(F.lit("S"), number))
+    rows = events_as_transactions(table(spark, sf_dir, "events"), event_client(), name)
+    root = new_root(spark, "csv-store-text")
+    write_contract_files(transaction_text(rows), TRANSACTIONS, root)
+    return semester_store_tpv(read_dataset(spark, root, TRANSACTIONS))
+
+
+@query(
+    "csv_big_ids",
+    "SELECT 9007199254740992 + user_id AS user_id, count(*) AS rows FROM events GROUP BY ALL",
+)
+def csv_big_ids(spark, sf_dir):
+    """Ids beyond 2^53 stay apart."""
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.col("user_id") + F.lit(9007199254740992))
+    root = new_root(spark, "csv-big-ids")
+    write_contract_files(transaction_text(events_as_transactions(events, F.lit("c"), F.lit("1"))), TRANSACTIONS, root)
+    return read_dataset(spark, root, TRANSACTIONS).groupBy("user_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("csv_transactions", f"SELECT {EVENT_COLUMNS_SQL} FROM events")
 def csv_transactions(spark, sf_dir):
     """Typed scan of CSV files, client from the folder."""

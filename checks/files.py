@@ -70,6 +70,23 @@ def copy_delivery(spark: SparkSession, root: str, again: str) -> None:
         jvm.FileUtil.copy(fs, file, fs, target, False, spark._jsc.hadoopConfiguration())
 
 
+def move_delivery(spark: SparkSession, source: str, root: str, folder: str) -> None:
+    """Put the files of one root into another: same client, sender and name, in a sub-folder."""
+    for file in _files(spark, source):
+        inside = file.toString().split(source.rstrip("/") + "/", 1)[1]
+        where, name = inside.rsplit("/", 1)
+        target, fs = _file_system(spark, f"{root}/{where}/{folder}")
+        fs.mkdirs(target)
+        fs.rename(file, _file_system(spark, f"{root}/{where}/{folder}/{name}")[0])
+
+
+def set_age(spark: SparkSession, root: str, days: int) -> None:
+    """Date all files below a folder some days back."""
+    for file in _files(spark, root):
+        _, fs = _file_system(spark, root)
+        fs.setTimes(file, fs.getFileStatus(file).getModificationTime() - days * 86_400_000, -1)
+
+
 def transaction_text(transactions: DataFrame) -> DataFrame:
     """Transactions as the text columns of their files; user ids as ``12.0``."""
     return transactions.select(

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from checks.batch_queries import HOURLY_TPV_SQL, LEADERS_SQL, Q1_SQL
 from checks.file_queries import EVENT_COLUMNS_SQL, event_files, leader_files
-from checks.files import copy_delivery, new_root, transaction_text, write_contract_files
+from checks.files import (
+    copy_delivery,
+    move_delivery,
+    new_root,
+    set_age,
+    transaction_text,
+    write_contract_files,
+)
 from checks.registry import query
 from checks.tables import (
     ORDER_PARAMS,
@@ -19,7 +26,6 @@ from checks.tables import (
     table,
 )
 from tillmetrics.functions import in_hours
-from tillmetrics.operators import keep_referenced
 from tillmetrics.plans import (
     buyer_counts,
     high_value_transactions,
@@ -121,7 +127,7 @@ def stream_top3(spark, sf_dir):
 
 
 STORE_TPV_SQL = """
-    SELECT {client} CAST(year(ts) AS INTEGER) AS year, 1 AS semester, CAST(user_id % 10 AS INTEGER) AS store_id,
+    SELECT {client} CAST(year(ts) AS INTEGER) AS year, 1 AS semester, CAST(user_id % 10 AS VARCHAR) AS store_id,
            CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS tpv
     FROM events WHERE hour(ts) BETWEEN 6 AND 22 AND year(ts) IN (2024, 2025) AND month(ts) <= 6 AND value > 0
     {where} GROUP BY ALL"""
@@ -138,11 +144,11 @@ def stream_files(spark, sf_dir):
 
 @query(
     "stream_batches",
-    f"""SELECT {CLIENT_SQL} 'transactions' AS dataset, CAST(sum(value) > 0 AS BOOLEAN) AS any_rows
+    f"""SELECT {CLIENT_SQL} 'transactions' AS dataset, count(DISTINCT strftime(ts, '%Y%m')) AS months, TRUE AS same
     FROM events GROUP BY ALL""",
 )
 def stream_batches(spark, sf_dir):
-    """Accepted batches per client; the second delivery adds none."""
+    """Months with accepted batches per client; the second delivery adds none."""
     root = event_files(spark, sf_dir, "stream-batches")
     session = Session(new_root(spark, "stream-batches-work"))
     ingest(spark, root, session)
@@ -150,8 +156,11 @@ def stream_batches(spark, sf_dir):
     copy_delivery(spark, root, "again")
     ingest(spark, root, session)
     after = batch_counts(spark, session)
-    same = keep_referenced(after, before, [CLIENT, "dataset", "batches", "bytes"])
-    return same.select(CLIENT, "dataset", (F.col("batches") > 0).alias("any_rows"))
+    ledger = spark.read.parquet(session.ledger)
+    months = ledger.groupBy(CLIENT, "dataset").agg(F.count_distinct("batch_id").alias("months"))
+    both = after.join(before.withColumnsRenamed({"batches": "batches_before", "bytes": "bytes_before"}), [CLIENT, "dataset"])
+    same = (F.col("batches") == F.col("batches_before")) & (F.col("bytes") == F.col("bytes_before"))
+    return months.join(both, [CLIENT, "dataset"], "left").select(CLIENT, "dataset", "months", same.alias("same"))
 
 
 @query("stream_redelivery", STORE_TPV_SQL.format(client=CLIENT_SQL, where=""))
@@ -167,6 +176,41 @@ def stream_redelivery(spark, sf_dir):
     return semester_store_tpv(landed)
 
 
+def _two_deliveries(spark, sf_dir, label: str) -> tuple[str, str]:
+    """Transactions of even users below one root, those of odd users below another, under the same names."""
+    transactions = events_as_transactions(table(spark, sf_dir, "events"), event_client(), event_store())
+    roots = new_root(spark, f"{label}-first"), new_root(spark, f"{label}-second")
+    for rest, root in enumerate(roots):
+        chosen = transactions.filter(F.pmod("user_id", F.lit(2)) == rest)
+        write_contract_files(transaction_text(chosen), TRANSACTIONS, root)
+    return roots
+
+
+@query("stream_backdated", STORE_TPV_SQL.format(client=CLIENT_SQL, where=""))
+def stream_backdated(spark, sf_dir):
+    """Files that are dated 30 days before all seen ones still count."""
+    root, late = _two_deliveries(spark, sf_dir, "stream-backdated")
+    session = Session(new_root(spark, "stream-backdated-work"))
+    ingest(spark, root, session)
+    set_age(spark, late, 30)
+    move_delivery(spark, late, root, "late")
+    ingest(spark, root, session)
+    return semester_store_tpv(spark.read.parquet(f"{session.landing}/{TRANSACTIONS}"))
+
+
+@query("stream_same_name", STORE_TPV_SQL.format(client=CLIENT_SQL, where=""))
+def stream_same_name(spark, sf_dir):
+    """Other content under a known name counts, true copies do not."""
+    root, other = _two_deliveries(spark, sf_dir, "stream-same-name")
+    copy_delivery(spark, root, "again")
+    session = Session(new_root(spark, "stream-same-name-work"))
+    ingest(spark, root, session)
+    move_delivery(spark, other, root, "next")
+    copy_delivery(spark, root, "later")
+    ingest(spark, root, session)
+    return semester_store_tpv(spark.read.parquet(f"{session.landing}/{TRANSACTIONS}"))
+
+
 @query(
     "stream_messages",
     f"""SELECT {EVENT_COLUMNS_SQL} FROM events""",

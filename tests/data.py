@@ -59,17 +59,17 @@ ITEMS = [
     "t6,5,1,0.3,0.3,2025-04-01 10:00:00",
 ]
 MENU = [
-    "5,Flat White,coffee,3.5,False,,",
+    "5,Cortado,coffee,3.5,False,,",
     "6,Old name,coffee,3.5,False,,",
     "7,Tea,tea,2.0,True,2024-01-01,2024-03-01",
-    "6,Matcha Latte,coffee,3.5,False,,",
+    "6,Oat Mocha,coffee,3.5,False,,",
 ]
 USERS_JAN = [
-    "1,female,1970-04-22,2023-07-01 08:13:07",
-    "3,female,1990-01-01,2023-07-01 08:13:07",
-    "10,male,1980-02-03,2023-07-01 08:13:07",
+    "1,female,1971-11-30,2023-06-12 17:25:41",
+    "3,female,1990-01-01,2023-06-12 17:25:41",
+    "10,male,1980-02-03,2023-06-12 17:25:41",
 ]
-USERS_FEB = ["3,female,1991-12-08,2023-08-01 09:53:48", "12,female,1999-09-09,2023-08-01 09:53:48"]
+USERS_FEB = ["3,female,1992-03-17,2023-08-19 11:02:36", "12,female,1999-09-09,2023-08-19 11:02:36"]
 
 
 def write_client(root):
@@ -91,33 +91,33 @@ def write_clients(root, *clients):
 # Expected answers, worked out by hand from the rows above.
 Q1_IDS = {"open", "close", "unpadded", "long"}
 Q2 = [
-    (2024, 1, 5, "Flat White", 2, 6, "Matcha Latte", 40.5),
+    (2024, 1, 5, "Cortado", 2, 6, "Oat Mocha", 40.5),
     (2024, 2, 99, "Unknown", 1, 99, "Unknown", 500.0),
     (2025, 3, 7, "Tea", 2, 7, "Tea", 0.3),
-    (2025, 4, 5, "Flat White", 1, 5, "Flat White", 0.3),
+    (2025, 4, 5, "Cortado", 1, 5, "Cortado", 0.3),
 ]
 Q3 = [
     (2024, 1, None, 10.0),
-    (2024, 1, 1, 80.0 + 75.0 + 74.99 + 1.5),
-    (2024, 1, 2, 100.0),
-    (2024, 1, 3, 200.5),
-    (2025, 1, 9, 80.0),
+    (2024, 1, "1", 80.0 + 75.0 + 74.99 + 1.5),
+    (2024, 1, "2", 100.0),
+    (2024, 1, "3", 200.5),
+    (2025, 1, "9", 80.0),
 ]
 Q4 = [
-    (1, 10, 5, "1980-02-03"),
-    (1, 11, 3, None),
-    (1, 12, 1, "1999-09-09"),
-    (2, 12, 3, "1999-09-09"),
-    (2, 13, 1, None),
-    (2, 14, 1, None),
-    (3, 16, 1, None),
-    (9, 4, 1, None),
-    (9, 3, 1, "1991-12-08"),
-    (9, 2, 1, None),
+    ("1", 10, 5, "1980-02-03"),
+    ("1", 11, 3, None),
+    ("1", 12, 1, "1999-09-09"),
+    ("2", 12, 3, "1999-09-09"),
+    ("2", 13, 1, None),
+    ("2", 14, 1, None),
+    ("3", 16, 1, None),
+    ("9", 4, 1, None),
+    ("9", 3, 1, "1992-03-17"),
+    ("9", 2, 1, None),
 ]
 Q2B = [
     ("top_profit", 2024, "2024-2", "Unknown", 500.0),
     ("top_profit", 2025, "2025-3", "Tea", 0.3),
-    ("top_selling", 2024, "2024-1", "Flat White", 2.0),
+    ("top_selling", 2024, "2024-1", "Cortado", 2.0),
     ("top_selling", 2025, "2025-3", "Tea", 2.0),
 ]

@@ -35,7 +35,7 @@ def test_one_client(spark, folder):
 def test_values_of_a_passing_row(spark, folder):
     root = data.write_client(folder("in"))
     row = all_results(*load(spark, root, client_id="c"))["q1"].filter("transaction_id = 'open'").first()
-    assert (row["store_id"], row["voucher_id"], row["user_id"], row["final_amount"]) == (1, 7, 10, 80.0)
+    assert (row["store_id"], row["voucher_id"], row["user_id"], row["final_amount"]) == ("1", 7, 10, 80.0)
     assert str(row["created_at"]) == "2024-01-05 06:00:00"
 
 

@@ -59,7 +59,7 @@ def test_bad_rows_are_flagged_whatever_is_selected(spark, folder, columns):
     df = src.read_dataset(spark, root, TRANSACTIONS, client_id="c", bad_rows="flag")
     assert df.select(*columns).filter("is_bad_row").count() == 2
     flagged = rows(df.filter("is_bad_row"), "transaction_id", "store_id", "final_amount")
-    assert flagged == [("long", 3, 200.5), ("short", 3, None)]
+    assert flagged == [("long", "3", 200.5), ("short", "3", None)]
 
 
 def test_flagged_and_padded_reads_agree(spark, folder):
@@ -138,7 +138,7 @@ def test_last_row_of_a_file_wins_across_splits(spark, folder):
     root = folder("in")
     lines = [f"{i % 7},female,1990-01-{1 + i % 28:02d},2023-07-01 08:13:{i % 60:02d}" for i in range(4000)]
     write_lines(f"{root}/users_202401.csv", data.USER_HEADER, lines)
-    write_lines(f"{root}/users_202402.csv", data.USER_HEADER, ["3,male,2001-01-01,2023-07-01 08:13:07"])
+    write_lines(f"{root}/users_202402.csv", data.USER_HEADER, ["3,male,2001-01-01,2023-06-12 17:25:41"])
     key = "spark.sql.files.maxPartitionBytes"
     spark.conf.set(key, "4096")
     try:
@@ -154,7 +154,7 @@ def test_last_row_of_a_file_wins_across_splits(spark, folder):
 def test_scan_reads_only_the_needed_columns(spark, folder):
     root = data.write_client(folder("in"))
     df = src.read_dataset(spark, root, TRANSACTIONS, client_id="c").select("store_id")
-    assert "ReadSchema: struct<store_id:int>" in plan(df)
+    assert "ReadSchema: struct<store_id:string>" in plan(df)
 
 
 def test_landing_prunes_folders_and_keeps_undated_rows(spark, folder):

@@ -10,6 +10,7 @@ from tests import data
 from tests.conftest import rows, write_lines
 from tests.test_questions import check
 from tillmetrics.operators import count_by
+from tillmetrics.params import Params
 from tillmetrics.schemas import MENU_ITEMS, TRANSACTIONS, USERS
 from tillmetrics.sources import read_dimension
 from tillmetrics.streaming import (
@@ -194,3 +195,21 @@ def test_closing_twice_is_harmless(spark, folder):
     from tillmetrics.streaming import closed_clients
 
     assert rows(closed_clients(spark, session).distinct()) == [("a",)]
+
+
+def test_other_parameters_are_refused(spark, folder):
+    root, work = data.write_clients(folder("in"), "client_1"), folder("work")
+    session_answers(spark, root, work, params=Params(min_amount=75.0))
+    session_answers(spark, root, work, params=Params(min_amount=75.0, top_n=1))
+    with pytest.raises(ValueError, match="another folder"):
+        session_answers(spark, root, work, params=Params(min_amount=50.0))
+
+
+def test_copies_are_listed_and_foreign_names_ignored(spark, folder):
+    root, work = data.write_clients(folder("in"), "client_1"), folder("work")
+    data.write_client(f"{root}/client_id=client_1/again")
+    write_lines(f"{root}/client_id=client_1/old_transactions_backup.csv", "a,b", ["1,2"])
+    ingest(spark, root, Session(work))
+    assert spark.read.parquet(f"{work}/batches-copies").count() == 3
+    names = {row["batch_id"] for row in spark.read.parquet(f"{work}/batches").collect()}
+    assert all(name[-10:-4].isdigit() for name in names)

@@ -22,6 +22,7 @@ from tillmetrics.sources import (
     clear_result,
     land,
     preview,
+    print_rows,
     read_dataset,
     read_dimension,
     read_landed,
@@ -30,10 +31,6 @@ from tillmetrics.sources import (
 )
 from tillmetrics.streaming import run_session
 
-#: Most rows printed of any result.
-PRINTED_ROWS = 1000
-
-
 def load(
     spark: SparkSession,
     root: str,
@@ -48,8 +45,12 @@ def load(
     for kind in (TRANSACTIONS, TRANSACTION_ITEMS):
         rows = read_dataset(spark, root, kind, months, client_id)
         if landing:
-            land(rows, f"{landing}/{kind}")
+            land(rows, f"{landing}/{kind}", keep_others=True)
             rows = read_landed(spark, f"{landing}/{kind}", kind, params.years)
+            if client_id is not None:
+                rows = rows.filter(F.col(CLIENT) == client_id)
+            if months is not None:
+                rows = rows.filter(F.date_format("created_at", "yyyyMM").isin([str(month) for month in months]))
         facts.append(rows)
     menu = read_dimension(spark, root, MENU_ITEMS, client_id=client_id)
     users = read_dimension(spark, root, USERS, client_id=client_id, deduplicate=False) if with_users else None
@@ -112,11 +113,11 @@ def show(written: dict[str, DataFrame], params: Params) -> None:
     for name, result in written.items():
         print(name)
         if name == "q2":
-            lines = yearly_best_month(result).orderBy(CLIENT, "report", "year")
+            print_rows(yearly_best_month(result).orderBy(CLIENT, "report", "year"))
+        elif name == "q4":
+            print_rows(result.orderBy(CLIENT, *order[name]))
         else:
-            rows = PRINTED_ROWS if name == "q4" else params.preview_rows
-            lines = preview(result, [CLIENT, *order[name]], rows)
-        lines.show(PRINTED_ROWS, truncate=False)
+            print_rows(preview(result, [CLIENT, *order[name]], params.preview_rows))
 
 
 def _list(text: str) -> list[str]:

@@ -20,7 +20,7 @@ from tillmetrics.operators import agreement, pairwise_diff, pairwise_verdicts, u
 from tillmetrics.plans import QUERIES
 from tillmetrics.schemas import CLIENT
 from tillmetrics.session import build_session
-from tillmetrics.sources import read_result
+from tillmetrics.sources import print_rows, read_result
 from tillmetrics.sources.results import result_path
 
 SAMPLE_ROWS = 10
@@ -55,7 +55,7 @@ def main() -> int:
     spark = build_session("tillmetrics-compare")
     clients, queries = args.clients.split(","), args.queries.split(",")
     report = verdicts(spark, args.output, clients, queries)
-    report.orderBy("query", "left_client", "right_client").show(1000, truncate=False)
+    print_rows(report.orderBy("query", "left_client", "right_client"))
     if args.show_diffs:
         for query in queries:
             rows = pairwise_diff(stored_result(spark, args.output, query), clients)

@@ -17,6 +17,7 @@ DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 NOT_IN_A_NUMBER = r"[^0-9eE.+ -]"
 SPECIAL_NUMBERS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan")
 INTEGER_SHAPE = r"^\s*[+-]?\d+\s*$"
+WHOLE_SHAPE = r"^\s*([+-]?\d+)(\.0*)?\s*$"
 
 
 def _shaped(text: Column, shape: str, target: str) -> Column:
@@ -40,12 +41,16 @@ def to_number(text: Column) -> Column:
 
 
 def to_id(text: Column) -> Column:
-    """``"123.0"`` to 123, truncating; null for ``nan``, ``inf`` and text."""
-    return whole(to_number(text))
+    """``"123"`` and ``"123.0"`` to 123, exact over all 64 bits; other numbers truncated.
+
+    Null for ``nan``, ``inf`` and text.
+    """
+    digits = F.nullif(F.regexp_extract(text, WHOLE_SHAPE, 1), F.lit(""))
+    return F.coalesce(digits.try_cast("bigint"), whole(to_number(text)))
 
 
 def whole(number: Column, target: str = "bigint") -> Column:
-    """The second half of E6, for ids that were read as doubles already."""
+    """A double to a whole number, truncating; null where it has none."""
     return number.try_cast("bigint").try_cast(target)
 
 

@@ -23,22 +23,14 @@ def leader_of(measure: str, tie_break: str, *carry: str) -> Column:
 def top_n_per_group(
     rows: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int, rank_name: str = "rank"
 ) -> DataFrame:
-    """The first ``n`` rows of every group under ``order`` (which should be total).
+    """The first ``n`` rows of every group under ``order``, then under all other columns.
 
     Catalyst turns ``row_number() <= n`` into a group limit before the shuffle as
-    well, so a task sends at most ``n`` rows per group however large the group is.
-    It does so up to a threshold; beyond it rows are ranked in salted slices first,
-    which keeps hot groups spread out and gives the same answer.
+    well, so a task sends at most ``n`` rows per group however large the group is
+    (for ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``).
     """
-    session = rows.sparkSession
-    limit = int(session.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > limit:
-        slices = int(session.conf.get("spark.sql.shuffle.partitions", "200"))
-        salted = rows.withColumn("_slice", F.pmod(F.xxhash64(*rows.columns), F.lit(slices)))
-        local = Window.partitionBy(*groups, "_slice").orderBy(*order)
-        salted = salted.withColumn("_local", F.row_number().over(local))
-        rows = salted.filter(F.col("_local") <= n).drop("_slice", "_local")
-    window = Window.partitionBy(*groups).orderBy(*order)
+    rest = [F.col(name) for name in rows.columns if name not in groups]
+    window = Window.partitionBy(*groups).orderBy(*order, *rest)
     return rows.withColumn(rank_name, F.row_number().over(window)).filter(F.col(rank_name) <= n)
 
 

@@ -72,63 +72,91 @@ def diff_sample(left: DataFrame, right: DataFrame, n: int = 10) -> DataFrame:
     return diff_rows(left, right).orderBy("side", *left.columns).limit(n)
 
 
-def _client_counts(rows: DataFrame, clients: Sequence[Any], client: str) -> tuple[DataFrame, list[str]]:
-    """One row per distinct row content with the number of copies each client has."""
+def _leaders(rows: DataFrame, clients: Sequence[Any], client: str) -> dict[Any, tuple[Any, int]]:
+    """For each of the given clients the first one with the same rows, and the number of rows.
+
+    One aggregation: per client a count and two order-free sums over its rows.
+    """
     if len(set(clients)) < 2:
         raise ValueError("a comparison needs at least two clients")
     columns = [name for name in rows.columns if name != client]
-    names = [f"_n{i}" for i in range(len(clients))]
-    counters = [
-        F.count_if(F.col(client) == F.lit(value)).alias(name) for name, value in zip(names, clients)
+    sums = [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")) for seed in (0, 1)]
+    marks = rows.filter(F.col(client).isin(*clients)).groupBy(client).agg(F.count(F.lit(1)), *sums)
+    found = {row[0]: tuple(row[1:]) for row in marks.collect()}  # a row for each named client
+    first: dict[tuple, Any] = {}
+    none = (0, None, None)
+    return {c: (first.setdefault(found.get(c, none), c), found.get(c, none)[0]) for c in clients}
+
+
+def _pairs(rows: DataFrame, clients: Sequence[Any], client: str, leaders: dict) -> DataFrame:
+    """The pairs of a report, with the leaders that stand for both sides."""
+    kind = rows.schema[client].dataType.simpleString()
+    pairs = [
+        (a, b, leaders[a][0], leaders[b][0], leaders[a][1], leaders[b][1]) for a, b in combinations(clients, 2)
     ]
-    chosen = rows.filter(F.col(client).isin(*clients))
-    return chosen.groupBy(*columns).agg(*counters), names
+    names = ("left_client", "right_client", "_left", "_right")
+    schema = ", ".join(f"{name} {kind}" for name in names) + ", left_rows long, right_rows long"
+    return rows.sparkSession.createDataFrame(pairs, schema)
+
+
+def _copies(rows: DataFrame, client: str, leaders: dict) -> DataFrame:
+    """Rows that not all leaders hold equally often: content and ``_held``, copies by leader."""
+    columns = [name for name in rows.columns if name != client]
+    chosen = list(dict.fromkeys(leader for leader, _ in leaders.values()))
+    per_client = rows.filter(F.col(client).isin(*chosen)).groupBy(client, *columns).agg(F.count(F.lit(1)).alias("_n"))
+    held = per_client.groupBy(*columns).agg(
+        F.map_from_entries(F.collect_list(F.struct(client, "_n"))).alias("_held"),
+        F.min("_n").alias("_least"), F.max("_n").alias("_most"), F.count(F.lit(1)).alias("_clients"),
+    )
+    same = (F.col("_clients") == len(chosen)) & (F.col("_least") == F.col("_most"))
+    return held.filter(~same).select(*columns, "_held")
+
+
+def _leader_diff(rows: DataFrame, client: str, leaders: dict) -> DataFrame:
+    """Differing rows of every two unlike leaders, both ways round, with the copies of each side."""
+    columns = [name for name in rows.columns if name != client]
+    chosen = list(dict.fromkeys(leader for leader, _ in leaders.values()))
+    copies = {c: F.coalesce(F.try_element_at("_held", F.lit(c)), F.lit(0)) for c in chosen}
+    sides = [
+        F.struct(F.lit(a).alias("_left"), F.lit(b).alias("_right"), copies[a].alias("left_copies"), copies[b].alias("right_copies"))
+        for a in chosen
+        for b in chosen
+        if a != b
+    ]
+    differing = F.filter(F.array(*sides), lambda side: side["left_copies"] != side["right_copies"])
+    return _copies(rows, client, leaders).select(*columns, F.explode(differing).alias("_side")).select(*columns, "_side.*")
 
 
 def pairwise_diff(rows: DataFrame, clients: Sequence[Any], client: str = CLIENT) -> DataFrame:
     """For each pair of the given clients the rows they hold a different number of times.
 
-    ``clients`` is the caller's list, as for a report; one aggregation serves all
-    pairs. Rows all clients agree on are gone before any pair is looked at.
+    Clients with the same rows are one: only one of each kind is compared row by row, so
+    the work grows with the rows and with the kinds, not with the pairs of clients.
     """
     columns = [name for name in rows.columns if name != client]
-    counted, names = _client_counts(rows, clients, client)
-    unequal = counted.filter(F.least(*names) != F.greatest(*names))
-    pairs = [
-        F.struct(
-            F.lit(clients[i]).alias("left_client"),
-            F.lit(clients[j]).alias("right_client"),
-            F.col(names[i]).alias("left_copies"),
-            F.col(names[j]).alias("right_copies"),
+    leaders = _leaders(rows, clients, client)
+    pairs = _pairs(rows, clients, client, leaders)
+    if len({leader for leader, _ in leaders.values()}) < 2:
+        none = pairs.filter(F.lit(False)).select(
+            "left_client", "right_client", F.col("left_rows").alias("left_copies"), F.col("right_rows").alias("right_copies")
         )
-        for i, j in combinations(range(len(clients)), 2)
-    ]
-    differing = F.filter(F.array(*pairs), lambda pair: pair["left_copies"] != pair["right_copies"])
-    exploded = unequal.select(*columns, F.explode(differing).alias("_pair"))
-    return exploded.select(*columns, "_pair.*")
+        blank = [F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in columns]
+        return none.select(*blank, "*")
+    found = _leader_diff(rows, client, leaders).join(pairs, ["_left", "_right"])
+    return found.select(*columns, "left_client", "right_client", "left_copies", "right_copies")
 
 
 def pairwise_verdicts(rows: DataFrame, clients: Sequence[Any], client: str = CLIENT) -> DataFrame:
     """One row per pair of clients: row counts, differing rows, and whether they agree."""
-    counted, names = _client_counts(rows, clients, client)
-    pairs = list(combinations(range(len(clients)), 2))
-    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names]
-    gaps = [
-        F.coalesce(F.sum(F.abs(F.col(names[i]) - F.col(names[j]))), F.lit(0)).alias(f"_d{i}_{j}")
-        for i, j in pairs
-    ]
-    verdicts = [
-        F.struct(
-            F.lit(clients[i]).alias("left_client"),
-            F.lit(clients[j]).alias("right_client"),
-            F.col(names[i]).alias("left_rows"),
-            F.col(names[j]).alias("right_rows"),
-            F.col(f"_d{i}_{j}").alias("differing_rows"),
-            (F.col(f"_d{i}_{j}") == 0).alias("identical"),
-        )
-        for i, j in pairs
-    ]
-    return counted.agg(*totals, *gaps).select(F.inline(F.array(*verdicts)))
+    leaders = _leaders(rows, clients, client)
+    pairs = _pairs(rows, clients, client, leaders)
+    gaps = F.lit(0).cast("long")
+    if len({leader for leader, _ in leaders.values()}) > 1:
+        gap = F.abs(F.col("left_copies") - F.col("right_copies"))
+        differing = _leader_diff(rows, client, leaders).groupBy("_left", "_right").agg(F.sum(gap).alias("_gap"))
+        pairs, gaps = pairs.join(differing, ["_left", "_right"], "left"), F.coalesce("_gap", F.lit(0).cast("long"))
+    verdicts = pairs.withColumn("differing_rows", gaps).withColumn("identical", F.col("differing_rows") == 0)
+    return verdicts.select("left_client", "right_client", "left_rows", "right_rows", "differing_rows", "identical")
 
 
 def agreement(verdicts: DataFrame) -> DataFrame:

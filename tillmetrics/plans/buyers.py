@@ -38,11 +38,10 @@ def with_birthdays(top: DataFrame, users: DataFrame) -> DataFrame:
     ``users`` may hold several rows per user when it has an ``arrival`` column.
     """
     keys = [CLIENT, "user_id"]
-    if ARRIVAL in users.columns:
-        wanted = keep_referenced(users.select(*keys, "birthdate", ARRIVAL), top, keys)
-        profiles = last_wins(wanted, keys, ARRIVAL)
-    else:
-        profiles = users
+    arrival = [ARRIVAL] if ARRIVAL in users.columns else []
+    profiles = keep_referenced(users.select(*keys, "birthdate", *arrival), top, keys)
+    if arrival:
+        profiles = last_wins(profiles, keys, ARRIVAL)
     profiles = profiles.select(*keys, F.col("birthdate").alias("birthday"))
     return enrich(top, profiles, keys, ["birthday"]).select(*BUYER, "count", "birthday")
 

@@ -39,11 +39,14 @@ class Dataset:
 
     @property
     def scan_schema(self) -> T.StructType:
-        """Dates and plain integers by the scan; ids as doubles (``"12.0"``); amounts as text."""
-        scanned = {_LONG: _DOUBLE, _DOUBLE: _STRING}
+        """Dates and plain integers by the scan; numbered ids (``"12.0"``) and amounts as text.
+
+        Stores and payment methods stay text: they need not be numbers.
+        """
+        scanned = {_LONG: _STRING, _DOUBLE: _STRING}
         return T.StructType(
             [
-                T.StructField(name, _DOUBLE if name == "voucher_id" else scanned.get(kind, kind))
+                T.StructField(name, _STRING if name == "voucher_id" else scanned.get(kind, kind))
                 for name, kind in self.columns
             ]
         )
@@ -83,8 +86,8 @@ DATASETS = {
         TRANSACTIONS,
         (
             ("transaction_id", _STRING),
-            ("store_id", _INT),
-            ("payment_method_id", _INT),
+            ("store_id", _STRING),
+            ("payment_method_id", _STRING),
             ("voucher_id", _INT),
             ("user_id", _LONG),
             ("original_amount", _DOUBLE),

@@ -12,13 +12,14 @@ from tillmetrics.sources.csv_files import (
     with_dataset_kind,
 )
 from tillmetrics.sources.landing import land, read_landed
-from tillmetrics.sources.results import clear_result, preview, read_result, write_result
+from tillmetrics.sources.results import clear_result, preview, print_rows, read_result, write_result
 
 __all__ = [
     "clear_result",
     "dataset_glob",
     "land",
     "preview",
+    "print_rows",
     "read_dataset",
     "read_dimension",
     "read_landed",

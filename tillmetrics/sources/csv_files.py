@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmetrics.functions.parsing import to_date, to_id, to_integer, to_number, to_timestamp, whole
+from tillmetrics.functions.parsing import to_date, to_id, to_integer, to_number, to_timestamp
 from tillmetrics.operators.lookups import last_wins
 from tillmetrics.schemas import CLIENT, DATASETS, MENU_ITEMS, TRANSACTION_ITEMS, TRANSACTIONS, USERS
 
@@ -29,7 +29,7 @@ from tillmetrics.schemas import CLIENT, DATASETS, MENU_ITEMS, TRANSACTION_ITEMS,
 _NO_SEPARATOR = "\u0001"
 _MONTH_DIGITS = "[0-9]" * 6
 
-#: Delivery order of a row: files by name, then position inside the file.
+#: Delivery order of a row: files by modification time and full path, then position inside the file.
 ARRIVAL = "arrival"
 
 
@@ -173,10 +173,12 @@ def typed(raw: DataFrame, kind: str) -> DataFrame:
 
 def scanned(rows: DataFrame, kind: str) -> DataFrame:
     """E6, E7 for what the scan left to do: ids to whole numbers, amounts from text."""
-    columns = {"voucher_id": whole(F.col("voucher_id"), "int")} if "voucher_id" in rows.columns else {}
+    columns = {}
+    if "voucher_id" in rows.columns:
+        columns["voucher_id"] = to_id(F.col("voucher_id")).try_cast("int")
     for name, data_type in DATASETS[kind].columns:
         if data_type == T.LongType():
-            columns[name] = whole(F.col(name))
+            columns[name] = to_id(F.col(name))
         elif data_type == T.DoubleType():
             columns[name] = to_number(F.col(name))
     return rows.withColumns(columns)
@@ -218,13 +220,14 @@ def read_dimension(
     """Menu items or users, with the delivery order of each row and last row wins.
 
     Rows of one file split are numbered in file order by
-    ``monotonically_increasing_id``; together with file name and split offset that
-    is the order in which the files were written. Pass ``deduplicate=False`` to
+    ``monotonically_increasing_id``; together with modification time, full path and
+    split offset that is the order in which the files were written. Pass ``deduplicate=False`` to
     reduce the rows first and apply ``last_wins`` afterwards.
     """
     rows = read_dataset(spark, root, kind, months, client_id)
     arrival = F.struct(
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_modification_time").alias("delivered"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("offset"),
         F.monotonically_increasing_id().alias("row"),
     )

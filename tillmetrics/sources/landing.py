@@ -30,14 +30,18 @@ def landing_schema(kind: str, partitions: Sequence[str]) -> T.StructType:
     return T.StructType([*DATASETS[kind].typed_schema.fields, *folders])
 
 
-def land(rows: DataFrame, path: str, partitions: Sequence[str] = BY_MONTH) -> None:
+def land(
+    rows: DataFrame, path: str, partitions: Sequence[str] = BY_MONTH, keep_others: bool = False
+) -> None:
     """Write typed rows of one dataset. No shuffle: monthly files mostly map to one folder.
 
     A client with most of the rows is written by all tasks that read it. Rows without
-    a valid date are kept too, in the folder for a null year.
+    a valid date are kept too, in the folder for a null year. ``keep_others`` replaces
+    only the folders that ``rows`` has rows for, not those of other clients and months.
     """
     added = {name: _PARTS[name]("created_at") for name in partitions if name in _PARTS}
-    rows.withColumns(added).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    writer = rows.withColumns(added).write.mode("overwrite").partitionBy(*partitions)
+    writer.option("partitionOverwriteMode", "dynamic" if keep_others else "static").parquet(path)
 
 
 def read_landed(

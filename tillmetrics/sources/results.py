@@ -64,6 +64,13 @@ def read_result(
     return spark.read.schema(T.StructType(fields)).format(fmt).load(result_path(root, query))
 
 
+def print_rows(df: DataFrame) -> None:
+    """All rows as text lines, fetched one partition at a time."""
+    print(",".join(df.columns))
+    for row in df.toLocalIterator():
+        print(",".join("" if value is None else str(value) for value in row))
+
+
 def preview(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> DataFrame:
     """First ``n`` rows in a stated order; each task keeps only its best ``n``."""
     return df.orderBy(*order).limit(n)

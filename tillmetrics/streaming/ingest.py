@@ -1,9 +1,14 @@
 """Incremental ingest (T1) that ignores redelivered batches.
 
 A batch is one file below ``client_id=<id>/[sender=<id>/][any folder/]``. It is
-identified by client, sender and a batch key: the file name, or a fingerprint of
-its content when names are not reliable. State holds one small entry per batch,
-never per row, and has no time limit: a repeated batch may come back at any time.
+identified by client, sender, file name and a fingerprint of its lines, so a true
+copy counts once and a file of a known name with other lines is a batch of its own.
+The ledger holds one small row per batch, never per row of data, and has no time
+limit: a repeated batch may come back at any time. Copies are listed beside it.
+
+Files may carry any modification time: the age limit of Spark's file source is set
+beyond any real one. Its list of seen paths, in the driver, then keeps every path:
+some 200 MB for a million files.
 
 Two ways in, by batch size:
 
@@ -19,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmetrics.functions import batch_fingerprint
 from tillmetrics.operators import drop_closed
@@ -33,16 +39,25 @@ from tillmetrics.sources.csv_files import (
     with_dataset_kind,
 )
 from tillmetrics.sources.landing import BY_YEAR, land, landing_schema
-from tillmetrics.streaming.running import EPOCH, write_epoch
+from tillmetrics.streaming.running import EPOCH, read_epochs, write_epoch
 
 BATCH_KEY = (CLIENT, "sender", "batch_id")
+CONTENT_KEY = (*BATCH_KEY, "content")
+#: No file is ever too old; Spark's own limit of seven days drops late files without a word.
+MAX_FILE_AGE = "36500d"
+#: Names of the contract, for streams as for batch reads.
+_CONTRACT_NAME = "^({})$".format(
+    "|".join(f"{name}_[0-9]{{6}}[.]csv" if dataset.monthly else f"{name}[.]csv" for name, dataset in DATASETS.items())
+)
 NO_SENDER = "unknown"
 _FOLDERS = (EPOCH, *BY_YEAR)
 
 MAX_FILES = 10_000
 
 #: One row per accepted batch.
-LEDGER_SCHEMA = "path STRING, length BIGINT, client_id STRING, sender STRING, batch_id STRING, dataset STRING"
+LEDGER_SCHEMA = (
+    "path STRING, length BIGINT, client_id STRING, sender STRING, batch_id STRING, dataset STRING, content STRING"
+)
 _FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
@@ -69,16 +84,39 @@ def announced_files(spark: SparkSession, root: str, max_files: int = MAX_FILES)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", MAX_FILE_AGE)
         .load(root)
         .select("path", "length")
     )
-    keyed = files.withColumns(_batch_columns(F.col("path")))
+    keyed = files.withColumns(_batch_columns(F.col("path"))).filter(F.col("batch_id").rlike(_CONTRACT_NAME))
     return with_dataset_kind(keyed, "batch_id")
 
 
-def fresh_batches(announced: DataFrame) -> DataFrame:
-    """Each batch once, whenever its copies arrive."""
-    return announced.dropDuplicates(list(BATCH_KEY))
+def _comparable(path: Column, encoded: bool) -> Column:
+    """A path in the one form that file listings and row metadata share."""
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, "^([a-z]+):/+", "$1:/")
+
+
+def content_marks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, content): a fingerprint of the lines of each file, whatever their order.
+
+    Files are split over all tasks; each sends one row per file.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
+    sums = [F.sum(F.xxhash64(F.lit(seed), "value").cast("decimal(38,0)")).cast("string") for seed in (0, 1)]
+    marks = lines.groupBy(_comparable(F.col("_metadata.file_path"), True).alias("file"))
+    return marks.agg(F.concat_ws("/", F.count(F.lit(1)).cast("string"), *sums).alias("content"))
+
+
+def fresh_batches(announced: DataFrame, marks: DataFrame, known: DataFrame) -> DataFrame:
+    """Of the announced files each batch once, and none that is in ``known``."""
+    named = announced.withColumn("file", _comparable(F.col("path"), False)).join(marks, "file", "left").drop("file")
+    marked = named.withColumn("content", F.coalesce("content", F.lit("empty")))
+    fields = [name for name in marked.columns if name not in CONTENT_KEY]
+    once = marked.groupBy(*CONTENT_KEY).agg(F.min_by(F.struct(*fields), "path").alias("file"))
+    return once.select(*CONTENT_KEY, "file.*").join(known.select(*CONTENT_KEY), list(CONTENT_KEY), "left_anti")
 
 
 def read_batch_files(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
@@ -101,29 +139,38 @@ def land_stream(
     """Bring everything available into the columnar landing area, once.
 
     A micro-batch overwrites its own ``epoch`` folder, so a repeated micro-batch after
-    a failure does not repeat rows. Rows of closed clients are left out. The accepted
-    batches of each epoch are kept in ``ledger``; the driver sees their file names
-    only, at most ``max_files`` at a time.
+    a failure does not repeat rows. Files of closed clients are left out before any of
+    them is read. The accepted batches of each epoch are kept in ``ledger``, and copies
+    of known ones in ``<ledger>-copies``; the driver sees their file names only, at
+    most ``max_files`` at a time.
     """
 
     for kind in kinds:
         _prepare_landing(spark, landing, kind)
 
-    def land_epoch(fresh: DataFrame, epoch: int) -> None:
-        write_epoch(fresh.filter(F.col("dataset").isin(*kinds)), ledger, epoch)
-        batches = spark.read.schema(LEDGER_SCHEMA).parquet(f"{ledger}/{EPOCH}={epoch}")
+    schema = T.StructType.fromDDL(LEDGER_SCHEMA)
+
+    def land_epoch(announced: DataFrame, epoch: int) -> None:
+        announced = announced.filter(F.col("dataset").isin(*kinds))
+        if closed is not None:
+            announced = drop_closed(announced, closed)
+        found = [row["path"] for row in announced.select("path").collect()]
+        if not found:
+            return
+        known = read_epochs(spark, schema, ledger).filter(F.col(EPOCH) < epoch)
+        fresh = fresh_batches(announced, content_marks(spark, found), known)
+        write_epoch(fresh.select(*schema.names), ledger, epoch)
+        batches = spark.read.schema(schema).parquet(f"{ledger}/{EPOCH}={epoch}")
+        write_epoch(announced.join(batches.select("path"), "path", "left_anti"), f"{ledger}-copies", epoch)
         accepted = batches.select("dataset", "path").collect()
         for kind in kinds:
             paths = [row["path"] for row in accepted if row["dataset"] == kind]
-            if not paths:
-                continue
-            rows = read_batch_files(spark, paths, kind)
-            if closed is not None:
-                rows = drop_closed(rows, closed)
-            land(rows, f"{landing}/{kind}/{EPOCH}={epoch}", BY_YEAR)
+            if paths:
+                land(read_batch_files(spark, paths, kind), f"{landing}/{kind}/{EPOCH}={epoch}", BY_YEAR)
 
+    read_epochs(spark, schema, ledger)  # makes the folder
     query = (
-        fresh_batches(announced_files(spark, root, max_files))
+        announced_files(spark, root, max_files)
         .writeStream.foreachBatch(land_epoch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -141,6 +188,7 @@ def _prepare_landing(spark: SparkSession, landing: str, kind: str) -> None:
 def stream_landed(spark: SparkSession, landing: str, kind: str, max_files: int = MAX_FILES) -> DataFrame:
     """Typed rows of the landing area as a stream, in parquet files."""
     reader = spark.readStream.schema(landing_schema(kind, _FOLDERS)).option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFileAge", MAX_FILE_AGE)
     return reader.parquet(f"{landing}/{kind}").drop(EPOCH, "year")
 
 
@@ -154,6 +202,7 @@ def stream_dataset(spark: SparkSession, root: str, kind: str, max_files: int = M
         csv_options(spark.readStream, with_client_folder(schema))
         .option("pathGlobFilter", dataset_glob(kind))
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", MAX_FILE_AGE)
     )
     return scanned(reader.csv(root).select(*schema.names, CLIENT), kind)
 
@@ -179,6 +228,7 @@ def stream_messages(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", MAX_FILE_AGE)
         .load(root)
     )
     keyed = messages.withColumns(_batch_columns(F.col("_metadata.file_path")))

@@ -8,6 +8,7 @@ of closed clients are ignored.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,6 +69,19 @@ class Session:
         return f"{self.work}/epochs/{name}"
 
 
+#: Parameters that shape running totals; the others only matter when answers are given.
+_SHAPING = ("years", "start_hour", "end_hour", "min_amount", "semesters")
+
+
+def hold_params(spark: SparkSession, session: Session, params: Params) -> None:
+    """Remember what shapes the totals of this folder; refuse to mix them with other values."""
+    given = json.dumps({name: getattr(params, name) for name in _SHAPING}, sort_keys=True)
+    spark.createDataFrame([(given,)], "params STRING").write.mode("ignore").parquet(f"{session.work}/params")
+    held = spark.read.schema("params STRING").parquet(f"{session.work}/params").first()["params"]
+    if held != given:
+        raise ValueError(f"{session.work} holds totals for {held}, not for {given}; take another folder")
+
+
 def closed_clients(spark: SparkSession, session: Session) -> DataFrame:
     """Clients whose final answer has been given."""
     spark.createDataFrame([], _CLOSED_SCHEMA).write.mode("ignore").parquet(session.closed)
@@ -166,6 +180,7 @@ def run_session(
     after this call.
     """
     session = Session(work)
+    hold_params(spark, session, params)
     ingest(spark, root, session, max_files)
     answers = final_answers(aggregate(spark, session, params, max_files), menu_items, users, params)
     if out:
