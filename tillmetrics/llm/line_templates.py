@@ -104,6 +104,17 @@ def boilerplate_lines(texts: DataFrame) -> DataFrame:
     lines = written(lines.groupBy("leaf", "line", "body", *KEY).agg(F.first("tokens").alias("tokens")))
 
     places = ["leaf", "place", "token"]
+    # A line may have M variable places; if all of the first M + 1 behind the lead are, it is
+    # out, and the rest of its tokens need not be counted.
+    spare = F.floor((1 - LEAST_FIXED) * F.size("tokens") + 1e-9).cast("int")
+    ahead = lines.where(F.size("tokens") - LEAD > spare).select(
+        "leaf", "line", "body", F.posexplode(F.slice("tokens", LEAD + 1, spare + 1)).alias("place", "token")
+    )
+    recurring = ahead.select("body", *places).distinct().groupBy(*places).count().where(F.col("count") >= LEAST_BODIES)
+    able = ahead.select("line", *places).distinct().join(recurring, places).select("leaf", "line")
+    able = able.union(lines.where(F.size("tokens") - LEAD <= spare).select("leaf", "line")).distinct()
+    lines = written(lines.join(able, ["leaf", "line"]))
+
     placed = lines.select("body", "leaf", F.posexplode("tokens").alias("place", "token")).distinct()
     fixed = placed.groupBy(*places).count().where(F.col("count") >= LEAST_BODIES)
     kinds = lines.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
