@@ -5,12 +5,13 @@ count as variable fields there and everywhere. In the leaf, a token stays part o
 template where it recurs at its place in ``LEAST_BODIES`` documents; other places become
 variable fields. A template is boilerplate, and all its lines go, if
 
-- it occurs in at least ``LEAST_BODIES`` unlike documents, and these are at least
-  ``LEAST_SHARE`` of the different texts it occurs in, and
+- it occurs in at least ``LEAST_BODIES`` unlike documents, and
 - at least ``LEAST_FIXED`` of its tokens are fixed.
 
-Documents count as unlike by the least hash of their word shingles, which copies and most near
-copies share: lines that recur because a whole text recurs are left to document dedup.
+Copies and near copies count as one document, so lines that recur because a whole text recurs
+are left to document dedup. Texts are near copies if most of ``SKETCH`` least hashes of their
+word shingles agree, or by a chain of such; each text is compared with the first text that shares
+two of them. A passage alone makes texts alike only if it is most of what they hold.
 
 Every step is an aggregation with a part on the map side or a join. No leaf, template
 or document is gathered in one place: fixed tokens follow from counts by (leaf, place,
@@ -32,18 +33,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U, Words, mixed, query, sliced, table, written
+from .common import U, Words, components, mixed, query, sliced, table, written
 
 LEAD = 2
 LEAST_BODIES = 10
-LEAST_SHARE = 0.5
 LEAST_FIXED = 0.6
 SHINGLE = 5
+#: Least hashes of a text, looked up in pairs.
+SKETCH = 24
 
 KEY = ["__a", "__b"]
-LINES = "__a long, __b long, body long, line_no int, leaf long, line long, tokens array<long>"
+LINES = "__a long, __b long, line_no int, leaf long, line long, tokens array<long>"
+BANDS = "__a long, band long, sketch binary"
 VARIABLE = U(0x5DEECE66D1CE4E5B)
 PLACE = U(0x9E3779B97F4A7C15)
+FACTORS = mixed(np.arange(1, SKETCH + 1, dtype=np.uint64)) | U(1)
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -51,7 +55,7 @@ def keyed(documents: DataFrame) -> DataFrame:
     return documents.withColumns({"__a": F.xxhash64("text"), "__b": F.xxhash64(F.lit(1), "text")})
 
 
-def _lines(with_bodies: bool, with_tokens: bool):
+def _lines(with_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, "text"):
@@ -75,11 +79,6 @@ def _lines(with_bodies: bool, with_tokens: bool):
                     deep = count > k
                     leaf[deep] = mixed(leaf[deep] ^ token[first[deep] + k])
                 line = mixed(np.add.reduceat(mixed(token + place.astype(np.uint64) * PLACE), first) ^ leaf)
-                bodies = np.zeros(len(part), np.int64)
-                if with_bodies:
-                    for k, shingles in enumerate(words.shingles(SHINGLE)):
-                        if len(shingles):
-                            bodies[k] = int(shingles.min().view(np.int64))
                 of = pa.array(row[first])
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.append(first, len(row)) if with_tokens else np.zeros(len(first) + 1), pa.int32()),
@@ -87,7 +86,7 @@ def _lines(with_bodies: bool, with_tokens: bool):
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(at("__a")).take(of), part.column(at("__b")).take(of), pa.array(bodies[row[first]]),
+                        part.column(at("__a")).take(of), part.column(at("__b")).take(of),
                         pa.array(line_no[first], pa.int32()), pa.array(leaf.view(np.int64)), pa.array(line.view(np.int64)), lists,
                     ],
                     names=[c.split()[0] for c in LINES.split(", ")],
@@ -96,12 +95,55 @@ def _lines(with_bodies: bool, with_tokens: bool):
     return run
 
 
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pair = np.arange(SKETCH // 2, dtype=np.uint64)
+    for batch in batches:
+        for part in sliced(batch, "text"):
+            at = part.schema.get_field_index
+            rows, keys, sketches = [], [], []
+            for k, shingles in enumerate(Words(part.column(at("text")), lower=False).shingles(SHINGLE)):
+                if len(shingles):
+                    least = np.array([(shingles * f).min() for f in FACTORS])
+                    rows.append(k)
+                    keys.append(mixed(mixed(least[::2] + pair) ^ least[1::2]).view(np.int64))
+                    # The low bits: the high ones of a least hash are mostly zero.
+                    sketches.append((mixed(least) & U(0xFFFF)).astype("<u2").tobytes())
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(at("__a")).take(pa.array(np.repeat(rows, len(pair)))), pa.array(np.concatenate(keys)),
+                        pa.array([x for x in sketches for _ in pair], pa.binary()),
+                    ],
+                    names=[c.split()[0] for c in BANDS.split(", ")],
+                )
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if len(batch):
+            one, other = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, SKETCH) for k in (2, 3))
+            alike = 2 * (one == other).sum(axis=1) > SKETCH
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(alike))
+
+
+def near_copies(texts: DataFrame) -> DataFrame:
+    """(__a, of): texts that are near copies of others, and one text for each such group."""
+    bands = written(texts.mapInArrow(_bands, BANDS).groupBy("band", "__a").agg(F.first("sketch").alias("sketch")))
+    first = bands.groupBy("band").agg(F.min(F.struct("__a", "sketch")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = written(first.select("band", F.col("first.__a").alias("b"), F.col("first.sketch").alias("other")))
+    pairs = bands.join(first, "band").where("__a <> b").select("__a", "b", "sketch", "other")
+    groups = components(pairs.mapInArrow(_alike, "a long, b long").distinct())
+    return groups.where("id <> component").select(F.col("id").alias("__a"), F.col("component").alias("of"))
+
+
 def boilerplate_lines(texts: DataFrame) -> DataFrame:
     """(line): hashes of the lines whose template is boilerplate."""
-    bodies = texts.mapInArrow(_lines(True, False), LINES).select("leaf", "body").distinct()
-    busy = bodies.groupBy("leaf").count().where(F.col("count") >= LEAST_BODIES).select("leaf")
-    lines = texts.mapInArrow(_lines(True, True), LINES).join(written(busy), "leaf").drop("line_no")
-    lines = written(lines.groupBy("leaf", "line", "body", *KEY).agg(F.first("tokens").alias("tokens")))
+    holders = texts.mapInArrow(_lines(False), LINES).select("leaf", "__a").distinct()
+    busy = holders.groupBy("leaf").count().where(F.col("count") >= LEAST_BODIES).select("leaf")
+    lines = texts.mapInArrow(_lines(True), LINES).join(written(busy), "leaf")
+    lines = lines.groupBy("leaf", "line", "__a").agg(F.first("tokens").alias("tokens")).join(written(near_copies(texts)), "__a", "left")
+    lines = lines.select("leaf", "line", F.coalesce("of", "__a").alias("body"), "tokens")
+    lines = written(lines.groupBy("leaf", "line", "body").agg(F.first("tokens").alias("tokens")))
 
     places = ["leaf", "place", "token"]
     # A line may have M variable places; if all of the first M + 1 behind the lead are, it is
@@ -131,13 +173,8 @@ def boilerplate_lines(texts: DataFrame) -> DataFrame:
         .select("leaf", "line", F.xxhash64("leaf", "of_places").alias("template"))
     )
     templates = written(templates)
-    found = lines.join(templates, ["leaf", "line"]).select("template", "body", *KEY).distinct()
-    texts_of = found.groupBy("template", "body").agg(F.count("*").alias("texts"))
-    boilerplate = (
-        texts_of.groupBy("template")
-        .agg(F.count("*").alias("bodies"), F.sum("texts").alias("texts"))
-        .where((F.col("bodies") >= LEAST_BODIES) & (F.col("bodies") >= LEAST_SHARE * F.col("texts")))
-    )
+    found = lines.join(templates, ["leaf", "line"]).select("template", "body").distinct()
+    boilerplate = found.groupBy("template").count().where(F.col("count") >= LEAST_BODIES)
     return templates.join(boilerplate, "template").select("line").distinct()
 
 
@@ -145,7 +182,7 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     """All rows and columns, with ``text`` without its boilerplate lines and ``lines_dropped``."""
     source = keyed(documents)
     texts = source.select("text", *KEY)
-    lines = texts.mapInArrow(_lines(False, False), LINES)
+    lines = texts.mapInArrow(_lines(False), LINES)
     dropped = lines.join(written(boilerplate_lines(texts)), "line").groupBy(*KEY).agg(F.collect_set("line_no").alias("__gone"))
     joined = source.join(written(dropped), KEY, "left")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
