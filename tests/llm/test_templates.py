@@ -50,3 +50,18 @@ def test_near_copies_without_digits_stay(spark):
         rows.append((k, " ".join(near)))
     rows += [(100 + k, lines_of(50, 6)) for k in range(30)]
     assert dropped(spark, rows) == dict(rows)
+
+
+def test_long_lines_need_fewer_documents(spark):
+    long, middling, short, quoted = words(1, 60), words(2, 22), words(3, 6), words(4, 60)
+    rows = [(k, lines_of(20 + k, 12)) for k in range(9)]
+    want = dict(rows)
+    rows = [(k, "\n".join([t, short, *([long] if k < 3 else []), *([middling] if k < 5 else []), *([quoted] if k > 6 else [])])) for k, t in rows]
+    assert dropped(spark, rows) == {k: "\n".join([t, short, *([quoted] if k > 6 else [])]) for k, t in want.items()}
+
+
+def test_values_that_recur_in_a_few_documents_do_not_split_a_template(spark):
+    a, b, names = words(5, 14), words(6, 14), [words(800 + k, 1) for k in range(5)]
+    # Each value recurs in four documents, so it looks fixed, but no two documents have both.
+    rows = [(k, lines_of(40 + k, 6) + f"\n{a} {names[k % 5]} {b} {words(900 + k % 4, 1)}") for k in range(20)]
+    assert dropped(spark, rows) == {k: t.rsplit("\n", 1)[0] for k, t in rows}

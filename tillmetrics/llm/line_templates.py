@@ -2,12 +2,18 @@
 
 A line descends by its number of tokens and its first ``LEAD`` tokens; tokens with a digit
 count as variable fields there and everywhere. In the leaf, a token stays part of the
-template where it recurs at its place in ``LEAST_BODIES`` documents; other places become
+template where it recurs at its place in enough documents; other places become
 variable fields. A template is boilerplate, and all its lines go, if
 
-- it occurs in at least ``LEAST_BODIES`` unlike documents, and
+- it occurs in enough unlike documents, and
 - at least ``LEAST_FIXED`` of its tokens are fixed.
 
+Enough are ``LEAST_BODIES`` for few tokens, fewer for more (``EVIDENCE`` tokens in all documents
+together), but never less than ``LEAST_LONG``: a quotation that two texts share stays. For a
+template that is the number of its fixed tokens. For a token at a place, all tokens of the
+line count; as few documents can make a value of a variable field look fixed, each line also gets
+the template of the tokens that recur in ``LEAST_BODIES``, and goes if either is boilerplate.
+
 Copies and near copies count as one document, so lines that recur because a whole text recurs
 are left to document dedup. Texts are near copies if most of ``SKETCH`` least hashes of their
 word shingles agree, or by a chain of such; each text is compared with the first text that shares
@@ -30,26 +36,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import U, Words, components, mixed, query, sliced, table, written
 
 LEAD = 2
 LEAST_BODIES = 10
+LEAST_LONG = 3
+EVIDENCE = 100
 LEAST_FIXED = 0.6
 SHINGLE = 5
 #: Least hashes of a text, looked up in pairs.
 SKETCH = 24
 
 KEY = ["__a", "__b"]
-LINES = "__a long, __b long, line_no int, leaf long, line long, tokens array<long>"
+LINES = "__a long, __b long, line_no int, n int, leaf long, line long, tokens array<long>"
 BANDS = "__a long, band long, sketch binary"
 VARIABLE = U(0x5DEECE66D1CE4E5B)
 PLACE = U(0x9E3779B97F4A7C15)
 FACTORS = mixed(np.arange(1, SKETCH + 1, dtype=np.uint64)) | U(1)
 
 
+def enough(tokens: Column) -> Column:
+    """Documents in which so many fixed tokens have to recur."""
+    return F.greatest(F.lit(LEAST_LONG), F.least(F.lit(LEAST_BODIES), F.ceil(EVIDENCE / tokens))).cast("int")
+
+
 def keyed(documents: DataFrame) -> DataFrame:
     """Adds 128 bits that equal texts share."""
     return documents.withColumns({"__a": F.xxhash64("text"), "__b": F.xxhash64(F.lit(1), "text")})
@@ -87,7 +100,7 @@ def _lines(with_tokens: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(at("__a")).take(of), part.column(at("__b")).take(of),
-                        pa.array(line_no[first], pa.int32()), pa.array(leaf.view(np.int64)), pa.array(line.view(np.int64)), lists,
+                        pa.array(line_no[first], pa.int32()), pa.array(count, pa.int32()), pa.array(leaf.view(np.int64)), pa.array(line.view(np.int64)), lists,
                     ],
                     names=[c.split()[0] for c in LINES.split(", ")],
                 )
@@ -138,43 +151,48 @@ def near_copies(texts: DataFrame) -> DataFrame:
 
 def boilerplate_lines(texts: DataFrame) -> DataFrame:
     """(line): hashes of the lines whose template is boilerplate."""
-    holders = texts.mapInArrow(_lines(False), LINES).select("leaf", "__a").distinct()
-    busy = holders.groupBy("leaf").count().where(F.col("count") >= LEAST_BODIES).select("leaf")
+    holders = texts.mapInArrow(_lines(False), LINES).select("leaf", "n", "__a").distinct()
+    busy = holders.groupBy("leaf", "n").count().where(F.col("count") >= enough(F.col("n"))).select("leaf")
     lines = texts.mapInArrow(_lines(True), LINES).join(written(busy), "leaf")
     lines = lines.groupBy("leaf", "line", "__a").agg(F.first("tokens").alias("tokens")).join(written(near_copies(texts)), "__a", "left")
     lines = lines.select("leaf", "line", F.coalesce("of", "__a").alias("body"), "tokens")
     lines = written(lines.groupBy("leaf", "line", "body").agg(F.first("tokens").alias("tokens")))
 
-    places = ["leaf", "place", "token"]
+    # All lines of a leaf have the same number of tokens, n.
+    n, places = F.size("tokens"), ["leaf", "n", "place", "token"]
     # A line may have M variable places; if all of the first M + 1 behind the lead are, it is
     # out, and the rest of its tokens need not be counted.
-    spare = F.floor((1 - LEAST_FIXED) * F.size("tokens") + 1e-9).cast("int")
-    ahead = lines.where(F.size("tokens") - LEAD > spare).select(
-        "leaf", "line", "body", F.posexplode(F.slice("tokens", LEAD + 1, spare + 1)).alias("place", "token")
+    spare = F.floor((1 - LEAST_FIXED) * n + 1e-9).cast("int")
+    ahead = lines.where(n - LEAD > spare).select(
+        "leaf", "line", "body", n.alias("n"), F.posexplode(F.slice("tokens", LEAD + 1, spare + 1)).alias("place", "token")
     )
-    recurring = ahead.select("body", *places).distinct().groupBy(*places).count().where(F.col("count") >= LEAST_BODIES)
+    many = F.col("count") >= enough(F.col("n"))
+    recurring = ahead.select("body", *places).distinct().groupBy(*places).count().where(many)
     able = ahead.select("line", *places).distinct().join(recurring, places).select("leaf", "line")
-    able = able.union(lines.where(F.size("tokens") - LEAD <= spare).select("leaf", "line")).distinct()
+    able = able.union(lines.where(n - LEAD <= spare).select("leaf", "line")).distinct()
     lines = written(lines.join(able, ["leaf", "line"]))
 
-    placed = lines.select("body", "leaf", F.posexplode("tokens").alias("place", "token")).distinct()
-    fixed = placed.groupBy(*places).count().where(F.col("count") >= LEAST_BODIES)
+    placed = lines.select("body", "leaf", n.alias("n"), F.posexplode("tokens").alias("place", "token")).distinct()
+    fixed = placed.groupBy(*places).count().where(many)
     kinds = lines.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
-    kept = F.when(F.col("count").isNotNull() & (F.col("token") != int(VARIABLE.view(np.int64))), F.col("token"))
+
+    def template(least: int | Column) -> Column:
+        kept = F.when((F.col("count") >= least) & (F.col("token") != int(VARIABLE.view(np.int64))), F.col("token"))
+        of_places = F.sum(F.xxhash64("place", kept).cast("decimal(38,0)"))
+        return F.struct(F.xxhash64("leaf", of_places).alias("template"), F.count(kept).alias("fixed"))
+
     templates = (
-        kinds.select("leaf", "line", F.posexplode("tokens").alias("place", "token"))
+        kinds.select("leaf", "line", n.alias("n"), F.posexplode("tokens").alias("place", "token"))
         .join(fixed, places, "left")
-        .groupBy("leaf", "line")
-        .agg(
-            F.sum(F.xxhash64("place", kept).cast("decimal(38,0)")).alias("of_places"),
-            (F.count(kept) / F.count("*")).alias("share_fixed"),
-        )
-        .where(F.col("share_fixed") >= LEAST_FIXED)
-        .select("leaf", "line", F.xxhash64("leaf", "of_places").alias("template"))
+        .groupBy("leaf", "line", "n")
+        .agg(F.array_distinct(F.array(template(1), template(LEAST_BODIES))).alias("found"))
+        .select("leaf", "line", "n", F.inline("found"))
+        .where(F.col("fixed") >= LEAST_FIXED * F.col("n") - 1e-9)
+        .select("leaf", "line", F.xxhash64("template", "fixed").alias("template"), enough(F.col("fixed")).alias("least"))
     )
     templates = written(templates)
-    found = lines.join(templates, ["leaf", "line"]).select("template", "body").distinct()
-    boilerplate = found.groupBy("template").count().where(F.col("count") >= LEAST_BODIES)
+    found = lines.join(templates, ["leaf", "line"]).select("template", "least", "body").distinct()
+    boilerplate = found.groupBy("template", "least").count().where(F.col("count") >= F.col("least"))
     return templates.join(boilerplate, "template").select("line").distinct()
 
 
