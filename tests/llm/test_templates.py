@@ -65,3 +65,15 @@ def test_values_that_recur_in_a_few_documents_do_not_split_a_template(spark):
     # Each value recurs in four documents, so it looks fixed, but no two documents have both.
     rows = [(k, lines_of(40 + k, 6) + f"\n{a} {names[k % 5]} {b} {words(900 + k % 4, 1)}") for k in range(20)]
     assert dropped(spark, rows) == {k: t.rsplit("\n", 1)[0] for k, t in rows}
+
+
+def test_lines_of_digits_go(spark):
+    ends = ["Copyright 2024", "Tel. 555 0100", "12.50 13.00 14.75 2024-05-01"]
+    rows = [(k, "\n".join([lines_of(60 + k, 6), *ends, f"Page {k} of {50 - k}", f"{k} {k + 1} in {k + 2}"])) for k in range(15)]
+    # Their digits differ, and most of the last line is digits.
+    assert dropped(spark, rows) == {k: "\n".join([lines_of(60 + k, 6), f"{k} {k + 1} in {k + 2}"]) for k in range(15)}
+
+
+def test_plain_lines_that_share_a_beginning_stay(spark):
+    rows = [(k, f"in the {words(k, 8)}\n{words(500 + k, 30)}") for k in range(40)]
+    assert dropped(spark, rows) == dict(rows)

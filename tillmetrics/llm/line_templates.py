@@ -6,7 +6,10 @@ template where it recurs at its place in enough documents; other places become
 variable fields. A template is boilerplate, and all its lines go, if
 
 - it occurs in enough unlike documents, and
-- at least ``LEAST_FIXED`` of its tokens are fixed.
+- at least ``LEAST_FIXED`` of its tokens without digits are fixed, and these are at least
+  ``LEAST_PLAIN`` of all.
+
+A line also goes if it recurs word for word, digits included, in enough unlike documents.
 
 Enough are ``LEAST_BODIES`` for few tokens, fewer for more (``EVIDENCE`` tokens in all documents
 together), but never less than ``LEAST_LONG``: a quotation that two texts share stays. For a
@@ -46,12 +49,13 @@ LEAST_BODIES = 10
 LEAST_LONG = 3
 EVIDENCE = 100
 LEAST_FIXED = 0.6
+LEAST_PLAIN = 0.4
 SHINGLE = 5
 #: Least hashes of a text, looked up in pairs.
 SKETCH = 24
 
 KEY = ["__a", "__b"]
-LINES = "__a long, __b long, line_no int, n int, leaf long, line long, tokens array<long>"
+LINES = "__a long, __b long, line_no int, n int, leaf long, line long, exact long, tokens array<long>"
 BANDS = "__a long, band long, sketch binary"
 VARIABLE = U(0x5DEECE66D1CE4E5B)
 PLACE = U(0x9E3779B97F4A7C15)
@@ -78,7 +82,9 @@ def _lines(with_tokens: bool):
                     continue
                 token = words.hashes()
                 digit = np.concatenate([[0], np.cumsum((words.data >= 48) & (words.data <= 57))])
-                token[digit[words.end] > digit[words.start]] = VARIABLE
+                varies = digit[words.end] > digit[words.start]
+                whole = token.copy()
+                token[varies] = VARIABLE
                 breaks = np.flatnonzero(words.data == 10)
                 row = np.repeat(np.arange(len(part)), np.diff(words.first))
                 line_no = np.searchsorted(breaks, words.start) - np.searchsorted(breaks, words.bounds[row])
@@ -91,7 +97,9 @@ def _lines(with_tokens: bool):
                 for k in range(LEAD):
                     deep = count > k
                     leaf[deep] = mixed(leaf[deep] ^ token[first[deep] + k])
-                line = mixed(np.add.reduceat(mixed(token + place.astype(np.uint64) * PLACE), first) ^ leaf)
+                steps = place.astype(np.uint64) * PLACE
+                # Without digits in the line, ``exact`` is the same as ``line``.
+                line, exact = (mixed(np.add.reduceat(mixed(t + steps), first) ^ leaf) for t in (token, whole))
                 of = pa.array(row[first])
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.append(first, len(row)) if with_tokens else np.zeros(len(first) + 1), pa.int32()),
@@ -100,7 +108,8 @@ def _lines(with_tokens: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(at("__a")).take(of), part.column(at("__b")).take(of),
-                        pa.array(line_no[first], pa.int32()), pa.array(count, pa.int32()), pa.array(leaf.view(np.int64)), pa.array(line.view(np.int64)), lists,
+                        pa.array(line_no[first], pa.int32()), pa.array(count, pa.int32()), pa.array(leaf.view(np.int64)), pa.array(line.view(np.int64)),
+                        pa.array(exact.view(np.int64)), lists,
                     ],
                     names=[c.split()[0] for c in LINES.split(", ")],
                 )
@@ -150,22 +159,27 @@ def near_copies(texts: DataFrame) -> DataFrame:
 
 
 def boilerplate_lines(texts: DataFrame) -> DataFrame:
-    """(line): hashes of the lines whose template is boilerplate."""
+    """(line): hashes of the lines, with or without their digits, that are boilerplate."""
     holders = texts.mapInArrow(_lines(False), LINES).select("leaf", "n", "__a").distinct()
     busy = holders.groupBy("leaf", "n").count().where(F.col("count") >= enough(F.col("n"))).select("leaf")
     lines = texts.mapInArrow(_lines(True), LINES).join(written(busy), "leaf")
-    lines = lines.groupBy("leaf", "line", "__a").agg(F.first("tokens").alias("tokens")).join(written(near_copies(texts)), "__a", "left")
-    lines = lines.select("leaf", "line", F.coalesce("of", "__a").alias("body"), "tokens")
-    lines = written(lines.groupBy("leaf", "line", "body").agg(F.first("tokens").alias("tokens")))
+    lines = lines.groupBy("leaf", "line", "exact", "__a").agg(F.first("tokens").alias("tokens")).join(written(near_copies(texts)), "__a", "left")
+    lines = lines.select("leaf", "line", "exact", F.coalesce("of", "__a").alias("body"), "tokens")
+    lines = written(lines.groupBy("leaf", "line", "exact", "body").agg(F.first("tokens").alias("tokens")))
 
     # All lines of a leaf have the same number of tokens, n.
-    n, places = F.size("tokens"), ["leaf", "n", "place", "token"]
+    n, places, variable = F.size("tokens"), ["leaf", "n", "place", "token"], F.lit(int(VARIABLE.view(np.int64)))
+    whole = lines.where("line <> exact").select("exact", n.alias("n"), "body").distinct().groupBy("exact", "n").count()
+    whole = whole.where(F.col("count") >= enough(F.col("n"))).select(F.col("exact").alias("line"))
+    lines = lines.groupBy("leaf", "line", "body").agg(F.first("tokens").alias("tokens"))
     # A line may have M variable places; if all of the first M + 1 behind the lead are, it is
     # out, and the rest of its tokens need not be counted.
-    spare = F.floor((1 - LEAST_FIXED) * n + 1e-9).cast("int")
+    plain = F.size(F.filter("tokens", lambda t: t != variable))
+    spare = n - F.greatest(F.ceil(LEAST_FIXED * plain - 1e-9), F.ceil(LEAST_PLAIN * n - 1e-9)).cast("int")
     ahead = lines.where(n - LEAD > spare).select(
         "leaf", "line", "body", n.alias("n"), F.posexplode(F.slice("tokens", LEAD + 1, spare + 1)).alias("place", "token")
     )
+    ahead = ahead.where(F.col("token") != variable)
     many = F.col("count") >= enough(F.col("n"))
     recurring = ahead.select("body", *places).distinct().groupBy(*places).count().where(many)
     able = ahead.select("line", *places).distinct().join(recurring, places).select("leaf", "line")
@@ -177,7 +191,7 @@ def boilerplate_lines(texts: DataFrame) -> DataFrame:
     kinds = lines.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
 
     def template(least: int | Column) -> Column:
-        kept = F.when((F.col("count") >= least) & (F.col("token") != int(VARIABLE.view(np.int64))), F.col("token"))
+        kept = F.when((F.col("count") >= least) & (F.col("token") != variable), F.col("token"))
         of_places = F.sum(F.xxhash64("place", kept).cast("decimal(38,0)"))
         return F.struct(F.xxhash64("leaf", of_places).alias("template"), F.count(kept).alias("fixed"))
 
@@ -185,22 +199,25 @@ def boilerplate_lines(texts: DataFrame) -> DataFrame:
         kinds.select("leaf", "line", n.alias("n"), F.posexplode("tokens").alias("place", "token"))
         .join(fixed, places, "left")
         .groupBy("leaf", "line", "n")
-        .agg(F.array_distinct(F.array(template(1), template(LEAST_BODIES))).alias("found"))
-        .select("leaf", "line", "n", F.inline("found"))
-        .where(F.col("fixed") >= LEAST_FIXED * F.col("n") - 1e-9)
+        .agg(
+            F.array_distinct(F.array(template(1), template(LEAST_BODIES))).alias("found"),
+            F.count(F.when(F.col("token") != variable, 1)).alias("plain"),
+        )
+        .select("leaf", "line", "n", "plain", F.inline("found"))
+        .where((F.col("fixed") >= LEAST_FIXED * F.col("plain") - 1e-9) & (F.col("fixed") >= LEAST_PLAIN * F.col("n") - 1e-9))
         .select("leaf", "line", F.xxhash64("template", "fixed").alias("template"), enough(F.col("fixed")).alias("least"))
     )
     templates = written(templates)
     found = lines.join(templates, ["leaf", "line"]).select("template", "least", "body").distinct()
     boilerplate = found.groupBy("template", "least").count().where(F.col("count") >= F.col("least"))
-    return templates.join(boilerplate, "template").select("line").distinct()
+    return templates.join(boilerplate, "template").select("line").union(whole).distinct()
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """All rows and columns, with ``text`` without its boilerplate lines and ``lines_dropped``."""
     source = keyed(documents)
     texts = source.select("text", *KEY)
-    lines = texts.mapInArrow(_lines(False), LINES)
+    lines = texts.mapInArrow(_lines(False), LINES).withColumn("line", F.explode(F.array_distinct(F.array("line", "exact"))))
     dropped = lines.join(written(boilerplate_lines(texts)), "line").groupBy(*KEY).agg(F.collect_set("line_no").alias("__gone"))
     joined = source.join(written(dropped), KEY, "left")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
