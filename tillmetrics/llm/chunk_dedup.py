@@ -5,8 +5,8 @@ which depend on the last ``REACH`` bytes alone, say where a chunk ends, so chunk
 again behind an insertion, wherever a passage stands. What is deduplicated are runs of
 ``RUN`` consecutive chunks, by digest: single chunks of a few words recur by chance. A
 run that occurred before, in another text, is marked; marked chunks that lie together are cut
-if they make up at least ``LEAST_BYTES``. The cut begins and ends between words. The
-first text of the table, in its order, that holds a passage keeps it.
+if they make up at least ``LEAST_BYTES``. The cut begins and ends between words, or between
+characters where no space lies within ``TRIM`` bytes. The first text of the table, in its order, that holds a passage keeps it.
 
 How it runs: texts are gathered in blocks. A block tells its digests in packed arrays,
 split by hash range; a range compares the digests of all blocks and answers each with one
@@ -41,6 +41,7 @@ LEAST_CHUNK = 8
 MOST_CHUNK = 256
 RUN = 4
 LEAST_BYTES = 128
+TRIM = 40
 BLOCK_BYTES = 8 << 20
 RANGE_BYTES = 4 << 20
 
@@ -93,10 +94,18 @@ def cut(data: np.ndarray, ends: np.ndarray, seen: np.ndarray) -> list[tuple[int,
     spans = []
     for first, behind in zip(edges[::2], edges[1::2]):
         a, b = int(ends[first - 1]) if first else 0, int(ends[behind - 1])
-        while a < b and a and not IS_SPACE[data[a - 1]]:
-            a += 1
-        while b > a and b < len(data) and not IS_SPACE[data[b]]:
-            b -= 1
+        if a:
+            near = np.flatnonzero(IS_SPACE[data[a - 1 : min(a + TRIM, b)]])
+            if len(near):
+                a += int(near[0])
+            while a < b and data[a] & 0xC0 == 0x80:
+                a += 1
+        if b < len(data):
+            near = np.flatnonzero(IS_SPACE[data[max(b - TRIM, a) : b + 1]][::-1])
+            if len(near):
+                b -= int(near[0])
+            while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+                b -= 1
         if b - a >= LEAST_BYTES:
             spans.append((a, b))
     return spans
