@@ -10,6 +10,7 @@ from . import (  # noqa: F401
     ngram_join,
     packing,
     pu_quality,
+    tree_bpe,
     warc,
 )
 import corpus_pipeline
