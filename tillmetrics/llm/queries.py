@@ -12,6 +12,7 @@ from . import (  # noqa: F401
     pu_quality,
     tree_bpe,
     warc,
+    whitening,
 )
 import corpus_pipeline
 
