@@ -1,6 +1,7 @@
 """All registered queries of this subpackage, and their SQL."""
 
 from . import (  # noqa: F401
+    alignment,
     chat_perspectives,
     chunk_dedup,
     context_tree,
