@@ -10,6 +10,7 @@ totals and state in a folder, so that the next call only reads new files.
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tillmetrics.plans import all_results, yearly_best_month
 from tillmetrics.schemas import CLIENT, MENU_ITEMS, TRANSACTION_ITEMS, TRANSACTIONS, USERS
 from tillmetrics.session import build_session
 from tillmetrics.sources import (
-    clear_result,
+    delivered_month,
     land,
     preview,
     print_rows,
@@ -29,6 +30,8 @@ from tillmetrics.sources import (
     read_result,
     write_result,
 )
+from tillmetrics.sources.landing import FILE_MONTH
+from tillmetrics.sources.shared_files import SharedFiles
 from tillmetrics.streaming import run_session
 
 def load(
@@ -40,19 +43,23 @@ def load(
     params: Params = Params(),
     with_users: bool = True,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
-    """Inputs of :func:`tillmetrics.plans.all_results`, fact data by way of ``landing`` if given."""
+    """Inputs of :func:`tillmetrics.plans.all_results`, fact data by way of ``landing`` if given.
+
+    What is loaded replaces the landed rows of the same client and the same months of files, of all
+    clients and months where these are not given.
+    """
     facts = []
     for kind in (TRANSACTIONS, TRANSACTION_ITEMS):
         rows = read_dataset(spark, root, kind, months, client_id)
         if landing:
-            land(rows, f"{landing}/{kind}", keep_others=True)
-            rows = read_landed(spark, f"{landing}/{kind}", kind, params.years)
-            if client_id is not None:
-                rows = rows.filter(F.col(CLIENT) == client_id)
+            scope = {CLIENT: [client_id]} if client_id is not None else {}
             if months is not None:
-                rows = rows.filter(F.date_format("created_at", "yyyyMM").isin([str(month) for month in months]))
+                scope[FILE_MONTH] = [str(month) for month in months]
+            land(rows, f"{landing}/{kind}", scope, delivered_month())
+            wanted = {"file_months": scope.get(FILE_MONTH), "clients": scope.get(CLIENT)}
+            rows = read_landed(spark, f"{landing}/{kind}", kind, params.years, **wanted)
         facts.append(rows)
-    menu = read_dimension(spark, root, MENU_ITEMS, client_id=client_id)
+    menu = read_dimension(spark, root, MENU_ITEMS, client_id=client_id, deduplicate=False)
     users = read_dimension(spark, root, USERS, client_id=client_id, deduplicate=False) if with_users else None
     return facts[0], facts[1], menu, users
 
@@ -71,15 +78,17 @@ def run(
     """Write all result sets and return them as read back.
 
     With client folders ``out`` is replaced as a whole; with ``client_id`` only the
-    results of that client are.
+    results of that client are. The fact files are parsed once: without a ``landing`` copy
+    to keep, one for this run alone stands below ``out`` until the answers are written.
     """
-    results = all_results(*load(spark, root, client_id, months, landing, params, with_users), params)
+    stage = landing or f"{out.rstrip('/')}/_stage-{uuid.uuid4().hex}"
+    results = all_results(*load(spark, root, client_id, months, stage, params, with_users), params)
     written = {}
     for name, result in results.items():
-        if client_id is not None:
-            clear_result(spark, result.schema, name, out, client_id, fmt)
-        write_result(result, name, out, fmt, whole=client_id is None)
+        write_result(result, name, out, fmt, whole=client_id is None, clients=[client_id])
         written[name] = read_result(spark, result.schema, name, out, fmt)
+    if not landing:
+        SharedFiles(spark).delete(stage)
     return written
 
 
@@ -96,7 +105,7 @@ def run_incremental(
 
     ``close`` lists clients that are complete: what they send later is ignored.
     """
-    menu = read_dimension(spark, root, MENU_ITEMS)
+    menu = read_dimension(spark, root, MENU_ITEMS, deduplicate=False)
     users = read_dimension(spark, root, USERS, deduplicate=False) if with_users else None
     closing = spark.createDataFrame([(c,) for c in close], f"{CLIENT} STRING") if close else None
     answers = run_session(spark, root, work, menu, users, params, out, closing)

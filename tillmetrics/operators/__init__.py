@@ -7,6 +7,7 @@ from tillmetrics.operators.reconcile import (
     agreement,
     diff_rows,
     diff_sample,
+    diff_sample_pairs,
     diff_summary,
     pairwise_diff,
     pairwise_verdicts,
@@ -19,6 +20,7 @@ __all__ = [
     "count_by",
     "diff_rows",
     "diff_sample",
+    "diff_sample_pairs",
     "diff_summary",
     "drop_closed",
     "enrich",

@@ -37,8 +37,17 @@ def lookup_name(
     return joined.withColumn(name_column, F.coalesce(name_column, F.lit(UNKNOWN)))
 
 
-def last_wins(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per key, the one that arrived last."""
+def last_wins(
+    rows: DataFrame, keys: Sequence[str], order: str, asked: DataFrame | None = None
+) -> DataFrame:
+    """One row per key, the one that arrived last.
+
+    Rows of variable width are aggregated by sorting. With ``asked`` only the keys that some row of it holds are
+    kept, before that: a dimension of any size is then reduced while it is read, by a join
+    with the few keys, and only what is left is sorted.
+    """
+    if asked is not None:
+        rows = keep_referenced(rows, asked, keys)
     values = [name for name in rows.columns if name not in (*keys, order)]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values, order), order).alias("last"))
     return last.select(*keys, "last.*")

@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmetrics.operators.leaders import top_n_per_group
 from tillmetrics.schemas import CLIENT
 
 LEFT_ONLY = "left_only"
@@ -99,44 +100,93 @@ def _pairs(rows: DataFrame, clients: Sequence[Any], client: str, leaders: dict)
     return rows.sparkSession.createDataFrame(pairs, schema)
 
 
-def _copies(rows: DataFrame, client: str, leaders: dict) -> DataFrame:
-    """Rows that not all leaders hold equally often: content and ``_held``, copies by leader."""
+def _held(rows: DataFrame, client: str, chosen: Sequence[Any]) -> DataFrame:
+    """Content and ``_held``, its holders among the chosen clients with their copies, in the order of clients.
+
+    Rows that all of them hold equally often are left out.
+    """
     columns = [name for name in rows.columns if name != client]
-    chosen = list(dict.fromkeys(leader for leader, _ in leaders.values()))
     per_client = rows.filter(F.col(client).isin(*chosen)).groupBy(client, *columns).agg(F.count(F.lit(1)).alias("_n"))
     held = per_client.groupBy(*columns).agg(
-        F.map_from_entries(F.collect_list(F.struct(client, "_n"))).alias("_held"),
+        F.sort_array(F.collect_list(F.struct(F.col(client).alias("_client"), "_n"))).alias("_held"),
         F.min("_n").alias("_least"), F.max("_n").alias("_most"), F.count(F.lit(1)).alias("_clients"),
     )
     same = (F.col("_clients") == len(chosen)) & (F.col("_least") == F.col("_most"))
     return held.filter(~same).select(*columns, "_held")
 
 
+def _chosen(leaders: dict) -> list[Any]:
+    return list(dict.fromkeys(leader for leader, _ in leaders.values()))
+
+
 def _leader_diff(rows: DataFrame, client: str, leaders: dict) -> DataFrame:
-    """Differing rows of every two unlike leaders, both ways round, with the copies of each side."""
+    """Differing rows of every two unlike leaders, both ways round, with the copies of each side.
+
+    A row differs between its holders and the others, so each holder is set against all leaders: what is made is
+    no more than twice what is returned, and rows without a difference are never paired.
+    """
+    columns = [name for name in rows.columns if name != client]
+    held = _held(rows, client, _chosen(leaders)).withColumn("_n", F.map_from_entries("_held"))
+    everyone = F.array(*[F.lit(c) for c in _chosen(leaders)])
+
+    def against(holder: Column) -> Column:
+        def side(other: Column) -> Column:
+            copies = F.coalesce(F.try_element_at("_n", other), F.lit(0).cast("long"))
+            here, there = holder["_client"], other
+            return F.struct(
+                here.alias("_left"), there.alias("_right"), holder["_n"].alias("left_copies"), copies.alias("right_copies")
+            )
+
+        return F.filter(F.transform(everyone, side), lambda s: s["left_copies"] != s["right_copies"])
+
+    found = held.select(*columns, F.explode("_held").alias("_holder"), "_n")
+    found = found.select(*columns, F.explode(against(F.col("_holder"))).alias("_side")).select(*columns, "_side.*")
+    # Where the other side holds the row as well, it turns up as a holder itself.
+    turned = found.filter("right_copies = 0").select(
+        *columns, F.col("_right").alias("_left"), F.col("_left").alias("_right"),
+        F.col("right_copies").alias("left_copies"), F.col("left_copies").alias("right_copies"),
+    )
+    return found.unionByName(turned)
+
+
+def _overlaps(rows: DataFrame, client: str, leaders: dict) -> DataFrame:
+    """Rows that two unlike leaders share, counted as often as both have them.
+
+    Rows are first gathered by their signature, who holds them how often; only signatures are paired, and of
+    these only their holders. Clients that hold the same but for some rows have few signatures, clients with
+    rows of their own have signatures of one.
+    """
+    per_client = rows.filter(F.col(client).isin(*_chosen(leaders)))
     columns = [name for name in rows.columns if name != client]
-    chosen = list(dict.fromkeys(leader for leader, _ in leaders.values()))
-    copies = {c: F.coalesce(F.try_element_at("_held", F.lit(c)), F.lit(0)) for c in chosen}
-    sides = [
-        F.struct(F.lit(a).alias("_left"), F.lit(b).alias("_right"), copies[a].alias("left_copies"), copies[b].alias("right_copies"))
-        for a in chosen
-        for b in chosen
-        if a != b
-    ]
-    differing = F.filter(F.array(*sides), lambda side: side["left_copies"] != side["right_copies"])
-    return _copies(rows, client, leaders).select(*columns, F.explode(differing).alias("_side")).select(*columns, "_side.*")
+    per_client = per_client.groupBy(client, *columns).agg(F.count(F.lit(1)).alias("_n"))
+    holders = F.sort_array(F.collect_list(F.struct(F.col(client).alias("_client"), "_n"))).alias("_held")
+    signatures = per_client.groupBy(*columns).agg(holders).filter(F.size("_held") > 1)
+    signatures = signatures.groupBy("_held").agg(F.count(F.lit(1)).alias("_rows"))
+
+    def against(first: Column) -> Column:
+        return F.transform(
+            F.filter("_held", lambda other: other["_client"] != first["_client"]),
+            lambda other: F.struct(
+                first["_client"].alias("_left"), other["_client"].alias("_right"),
+                F.least(first["_n"], other["_n"]).alias("_both"),
+            ),
+        )
+
+    pairs = signatures.select("_rows", "_held", F.explode("_held").alias("_first"))
+    pairs = pairs.select("_rows", F.explode(against(F.col("_first"))).alias("_pair")).select("_rows", "_pair.*")
+    return pairs.groupBy("_left", "_right").agg(F.sum(F.col("_rows") * F.col("_both")).alias("_shared"))
 
 
 def pairwise_diff(rows: DataFrame, clients: Sequence[Any], client: str = CLIENT) -> DataFrame:
     """For each pair of the given clients the rows they hold a different number of times.
 
     Clients with the same rows are one: only one of each kind is compared row by row, so
-    the work grows with the rows and with the kinds, not with the pairs of clients.
+    the work grows with the rows and with the differences returned.
     """
     columns = [name for name in rows.columns if name != client]
     leaders = _leaders(rows, clients, client)
     pairs = _pairs(rows, clients, client, leaders)
-    if len({leader for leader, _ in leaders.values()}) < 2:
+    if len(_chosen(leaders)) < 2:
         none = pairs.filter(F.lit(False)).select(
             "left_client", "right_client", F.col("left_rows").alias("left_copies"), F.col("right_rows").alias("right_copies")
         )
@@ -147,18 +197,38 @@ def pairwise_diff(rows: DataFrame, clients: Sequence[Any], client: str = CLIENT)
 
 
 def pairwise_verdicts(rows: DataFrame, clients: Sequence[Any], client: str = CLIENT) -> DataFrame:
-    """One row per pair of clients: row counts, differing rows, and whether they agree."""
+    """One row per pair of clients: row counts, differing rows, and whether they agree.
+
+    What differs is all that both hold, less twice what they share, so no row is compared with another.
+    """
     leaders = _leaders(rows, clients, client)
     pairs = _pairs(rows, clients, client, leaders)
-    gaps = F.lit(0).cast("long")
-    if len({leader for leader, _ in leaders.values()}) > 1:
-        gap = F.abs(F.col("left_copies") - F.col("right_copies"))
-        differing = _leader_diff(rows, client, leaders).groupBy("_left", "_right").agg(F.sum(gap).alias("_gap"))
-        pairs, gaps = pairs.join(differing, ["_left", "_right"], "left"), F.coalesce("_gap", F.lit(0).cast("long"))
-    verdicts = pairs.withColumn("differing_rows", gaps).withColumn("identical", F.col("differing_rows") == 0)
+    same = F.col("_left") == F.col("_right")
+    if len(_chosen(leaders)) > 1:
+        pairs = pairs.join(_overlaps(rows, client, leaders), ["_left", "_right"], "left")
+    else:
+        pairs = pairs.withColumn("_shared", F.lit(0).cast("long"))
+    apart = F.col("left_rows") + F.col("right_rows") - 2 * F.coalesce("_shared", F.lit(0).cast("long"))
+    verdicts = pairs.withColumn("differing_rows", F.when(same, F.lit(0).cast("long")).otherwise(apart))
+    verdicts = verdicts.withColumn("identical", F.col("differing_rows") == 0)
     return verdicts.select("left_client", "right_client", "left_rows", "right_rows", "differing_rows", "identical")
 
 
+def diff_sample_pairs(rows: DataFrame, clients: Sequence[Any], n: int = 10, client: str = CLIENT) -> DataFrame:
+    """D4 for each pair: its first ``n`` differing rows, and how many more there are.
+
+    A row of the report is numbered by ``place``; ``remaining`` is the number of differing rows that the pair has
+    beyond the ones shown. Each task sends at most ``n`` rows and one count per pair.
+    """
+    found = pairwise_diff(rows, clients, client)
+    pair = ["left_client", "right_client"]
+    columns = [name for name in rows.columns if name != client]
+    shown = top_n_per_group(found, pair, [F.col(name) for name in columns], n, "place")
+    counts = found.groupBy(*pair).agg(F.count(F.lit(1)).alias("_all"))
+    remaining = F.greatest(F.col("_all") - n, F.lit(0).cast("long")).alias("remaining")
+    return shown.join(counts, pair).select(*pair, "place", *columns, "left_copies", "right_copies", remaining)
+
+
 def agreement(verdicts: DataFrame) -> DataFrame:
     """Overall line of the report: comparisons made, and whether all were identical."""
     return verdicts.agg(

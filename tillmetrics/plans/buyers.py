@@ -39,9 +39,8 @@ def with_birthdays(top: DataFrame, users: DataFrame) -> DataFrame:
     """
     keys = [CLIENT, "user_id"]
     arrival = [ARRIVAL] if ARRIVAL in users.columns else []
-    profiles = keep_referenced(users.select(*keys, "birthdate", *arrival), top, keys)
-    if arrival:
-        profiles = last_wins(profiles, keys, ARRIVAL)
+    profiles = users.select(*keys, "birthdate", *arrival)
+    profiles = last_wins(profiles, keys, ARRIVAL, asked=top) if arrival else keep_referenced(profiles, top, keys)
     profiles = profiles.select(*keys, F.col("birthdate").alias("birthday"))
     return enrich(top, profiles, keys, ["birthday"]).select(*BUYER, "count", "birthday")
 

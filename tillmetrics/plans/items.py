@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmetrics.functions import in_years, is_number, units, year_month_label
-from tillmetrics.operators import count_and_total, leader_of, lookup_name
+from tillmetrics.operators import count_and_total, last_wins, leader_of, lookup_name, top_n_per_group
 from tillmetrics.params import Params
 from tillmetrics.schemas import CLIENT
+from tillmetrics.sources.csv_files import ARRIVAL
 
 ITEM_MONTH = (CLIENT, "year", "month", "item_id")
 MONTH = (CLIENT, "year", "month")
@@ -28,7 +29,11 @@ def item_month_totals(transaction_items: DataFrame, params: Params = Params()) -
 
 
 def rank_items(totals: DataFrame, menu_items: DataFrame) -> DataFrame:
-    """Both leaders of every month in one aggregation, then their names."""
+    """Both leaders of every month in one aggregation, then their names.
+
+    ``menu_items`` may hold several rows per item when it has an ``arrival`` column: only the items that lead
+    are then looked for, and the last row of each counts.
+    """
     leaders = totals.groupBy(*MONTH).agg(
         leader_of("sold_count", "item_id").alias("by_count"),
         leader_of("total_cents", "item_id").alias("by_sum"),
@@ -40,8 +45,9 @@ def rank_items(totals: DataFrame, menu_items: DataFrame) -> DataFrame:
         F.col("by_sum.item_id").alias("top_sum_item_id"),
         units(F.col("by_sum.total_cents")).alias("top_sum"),
     )
-    named = lookup_name(flat, menu_items, "top_count_item_id", "top_count_item_name")
-    named = lookup_name(named, menu_items, "top_sum_item_id", "top_sum_item_name")
+    names = _names_of(menu_items, flat)
+    named = lookup_name(flat, names, "top_count_item_id", "top_count_item_name")
+    named = lookup_name(named, names, "top_sum_item_id", "top_sum_item_name")
     return named.select(
         *MONTH,
         "top_count_item_id",
@@ -53,6 +59,16 @@ def rank_items(totals: DataFrame, menu_items: DataFrame) -> DataFrame:
     )
 
 
+def _names_of(menu_items: DataFrame, leaders: DataFrame) -> DataFrame:
+    """One row per item; of several, the last of the items asked for."""
+    if ARRIVAL not in menu_items.columns:
+        return menu_items
+    keys = [CLIENT, "item_id"]
+    asked = [leaders.select(CLIENT, F.col(f"{top}_item_id").alias("item_id")) for top in ("top_count", "top_sum")]
+    rows = menu_items.select(*keys, "item_name", ARRIVAL)
+    return last_wins(rows, keys, ARRIVAL, asked=asked[0].unionByName(asked[1])).drop(ARRIVAL)
+
+
 def monthly_item_leaders(
     transaction_items: DataFrame, menu_items: DataFrame, params: Params = Params()
 ) -> DataFrame:
@@ -66,24 +82,19 @@ def yearly_best_month(leaders: DataFrame) -> DataFrame:
     ``report`` is ``top_selling`` (by count) or ``top_profit`` (by revenue); the
     earliest month wins a tie.
     """
-    best = leaders.groupBy(CLIENT, "year").agg(
-        leader_of("top_count", "month", "top_count_item_name").alias("selling"),
-        leader_of("top_sum", "month", "top_sum_item_name").alias("profit"),
-    )
-    lines = []
-    for report, leader, name, value in (
-        ("top_selling", "selling", "top_count_item_name", "top_count"),
-        ("top_profit", "profit", "top_sum_item_name", "top_sum"),
-    ):
-        month = F.col(f"{leader}.month")
-        lines.append(
-            F.struct(
-                F.lit(report).alias("report"),
-                month.alias("month"),
-                year_month_label(F.col("year"), month).alias("year_month"),
-                F.col(f"{leader}.{name}").alias("item_name"),
-                F.col(f"{leader}.{value}").cast("double").alias("value"),
-            )
+    lines = [
+        F.struct(
+            F.lit(report).alias("report"),
+            F.col(name).alias("item_name"),
+            F.col(value).cast("double").alias("value"),
+        )
+        for report, name, value in (
+            ("top_selling", "top_count_item_name", "top_count"),
+            ("top_profit", "top_sum_item_name", "top_sum"),
         )
-    flat = best.select(CLIENT, "year", F.inline(F.array(*lines)))
-    return flat.select(CLIENT, "report", "year", "month", "year_month", "item_name", "value")
+    ]
+    # At most twelve rows a year: the limit before the shuffle leaves one of each task.
+    flat = leaders.select(CLIENT, "year", "month", F.inline(F.array(*lines)))
+    best = top_n_per_group(flat, [CLIENT, "report", "year"], [F.desc("value"), F.asc("month")], 1)
+    label = year_month_label(F.col("year"), F.col("month")).alias("year_month")
+    return best.select(CLIENT, "report", "year", "month", label, "item_name", "value")

@@ -2,6 +2,7 @@
 
 from tillmetrics.sources.csv_files import (
     dataset_glob,
+    delivered_month,
     read_dataset,
     read_dimension,
     read_lines,
@@ -12,11 +13,15 @@ from tillmetrics.sources.csv_files import (
     with_dataset_kind,
 )
 from tillmetrics.sources.landing import land, read_landed
-from tillmetrics.sources.results import clear_result, preview, print_rows, read_result, write_result
+from tillmetrics.sources.results import clear_result, has_result, preview, print_rows, read_result, write_result
+from tillmetrics.sources.versions import VersionedSet
 
 __all__ = [
+    "VersionedSet",
     "clear_result",
     "dataset_glob",
+    "delivered_month",
+    "has_result",
     "land",
     "preview",
     "print_rows",

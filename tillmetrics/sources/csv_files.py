@@ -116,6 +116,11 @@ def split_lines(lines: DataFrame, kind: str) -> DataFrame:
     return lines.withColumns({**columns, "is_bad_row": F.size(fields) != len(names)})
 
 
+def delivered_month() -> Column:
+    """Month of a row's file, from the name; null for files without one."""
+    return F.nullif(F.regexp_extract(F.col("_metadata.file_name"), rf"_({_MONTH_DIGITS})\.csv$", 1), F.lit(""))
+
+
 def read_lines(
     spark: SparkSession, root: str, glob: str = "*.csv", client_id: str | None = None
 ) -> DataFrame:

@@ -1,4 +1,10 @@
-"""Result sets: one folder per question and client (S7), and previews."""
+"""Result sets: one versioned set per question, with a folder per client (S7), and previews.
+
+A result set is replaced for some clients or for all of them at once: readers by :func:`read_result` see
+the old answer until the new one is complete. Folders of replaced answers are removed right after
+that, so other tools may read the folder of a question as it is; while an answer is being
+replaced they can meet both.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tillmetrics.schemas import CLIENT
+from tillmetrics.sources.versions import EVERYTHING, VersionedSet
 
 
 def result_path(root: str, query: str) -> str:
     return f"{root.rstrip('/')}/{query}"
 
 
+def _set(spark: SparkSession, query: str, root: str, fmt: str) -> VersionedSet:
+    return VersionedSet(spark, result_path(root, query), [CLIENT], fmt)
+
+
 def write_result(
     df: DataFrame,
     query: str,
@@ -21,24 +32,20 @@ def write_result(
     fmt: str = "parquet",
     compact: bool = False,
     whole: bool = False,
+    clients: Sequence[str] | None = None,
 ) -> None:
-    """Replace the result folders of the clients in ``df``; other clients stay as they are.
+    """Replace the results of the clients in ``df``; other clients stay as they are.
 
-    A client without any result row keeps its old folder: call :func:`clear_result`
-    when its session starts, or pass ``whole`` when ``df`` answers for every client
-    there is, which replaces all folders of the question. ``compact`` shuffles the result into
+    A client without any result row keeps its old result: name it in ``clients``, which are then the ones
+    replaced, or pass ``whole`` when ``df`` answers for every client there is, which replaces
+    all of the question. ``compact`` shuffles the result into
     evenly sized files first, for a result that leaves little of every scan task; AQE
     merges small clients and splits large ones.
     """
     if compact:
         df = df.hint("rebalance", CLIENT)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if whole else "dynamic")
-        .partitionBy(CLIENT)
-        .format(fmt)
-        .save(result_path(root, query))
-    )
+    scope = EVERYTHING if whole else None if clients is None else {CLIENT: list(clients)}
+    _set(df.sparkSession, query, root, fmt).load(df, scope)
 
 
 def clear_result(
@@ -50,10 +57,12 @@ def clear_result(
     fmt: str = "parquet",
 ) -> None:
     """Start of a client's session: its old result set becomes empty."""
-    fields = [field for field in schema.fields if field.name != CLIENT]
-    empty = spark.createDataFrame([], T.StructType(fields))
-    folder = f"{result_path(root, query)}/{CLIENT}={client_id}"
-    empty.write.mode("overwrite").format(fmt).save(folder)
+    _set(spark, query, root, fmt).load(None, {CLIENT: [client_id]})
+
+
+def has_result(spark: SparkSession, query: str, root: str) -> bool:
+    """Whether the question has ever been answered below ``root``."""
+    return _set(spark, query, root, "parquet").current()[0] > 0
 
 
 def read_result(
@@ -61,7 +70,7 @@ def read_result(
 ) -> DataFrame:
     fields = [field for field in schema.fields if field.name != CLIENT]
     fields.append(T.StructField(CLIENT, T.StringType()))
-    return spark.read.schema(T.StructType(fields)).format(fmt).load(result_path(root, query))
+    return _set(spark, query, root, fmt).read(T.StructType(fields))
 
 
 def print_rows(df: DataFrame) -> None:

@@ -38,7 +38,8 @@ from tillmetrics.sources.csv_files import (
     with_client_folder,
     with_dataset_kind,
 )
-from tillmetrics.sources.landing import BY_YEAR, land, landing_schema
+from tillmetrics.sources.landing import BY_YEAR, landing_schema
+from tillmetrics.sources.landing import land_folder as land
 from tillmetrics.streaming.running import EPOCH, read_epochs, write_epoch
 
 BATCH_KEY = (CLIENT, "sender", "batch_id")
