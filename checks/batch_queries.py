@@ -34,6 +34,7 @@ from tillmetrics.operators import (
     count_by,
     diff_rows,
     diff_sample,
+    diff_sample_pairs,
     diff_summary,
     drop_closed,
     keep_referenced,
@@ -410,7 +411,7 @@ def last_row_wins(spark, sf_dir):
 
 @query("dedup_union", "SELECT DISTINCT event_type, user_id FROM events")
 def dedup_union(spark, sf_dir):
-    """T2 in batch form, D3: everything delivered twice, kept once."""
+    """D3 in batch form: everything delivered twice, kept once."""
     sent = table(spark, sf_dir, "events").select("event_type", "user_id")
     return union_all(sent.distinct(), sent).dropDuplicates()
 
@@ -539,6 +540,43 @@ def agreement_query(spark, sf_dir):
     return agreement(pairwise_verdicts(_client_rows(spark, sf_dir), THREE_CLIENTS))
 
 
+@query(
+    "diff_sample_pairs",
+    PAIRS_SQL
+    + """, differing AS (SELECT * FROM compared WHERE left_copies <> right_copies)
+    SELECT left_client, right_client, CAST(place AS INTEGER) AS place, event_type, hour, left_copies, right_copies,
+           greatest(total - 10, 0) AS remaining
+    FROM (SELECT *, count(*) OVER (PARTITION BY left_client, right_client) AS total,
+                 row_number() OVER (PARTITION BY left_client, right_client ORDER BY event_type, hour) AS place FROM differing)
+    WHERE place <= 10""",
+)
+def diff_sample_pairs_query(spark, sf_dir):
+    """The first ten differing rows of each pair, and how many more there are."""
+    return diff_sample_pairs(_client_rows(spark, sf_dir), THREE_CLIENTS, 10)
+
+
+USER_BAGS_SQL = """
+    WITH n AS (SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, CAST(user_id % 50 AS VARCHAR) AS client_id, count(*) AS n FROM events GROUP BY ALL),
+    clients AS (SELECT client_id, CAST(sum(n) AS BIGINT) AS held FROM n GROUP BY ALL),
+    pairs AS (SELECT a.client_id AS left_client, b.client_id AS right_client, a.held AS left_rows, b.held AS right_rows
+              FROM clients a JOIN clients b ON CAST(a.client_id AS INTEGER) < CAST(b.client_id AS INTEGER)),
+    shared AS (SELECT a.client_id AS left_client, b.client_id AS right_client, CAST(sum(least(a.n, b.n)) AS BIGINT) AS both_hold
+               FROM n a JOIN n b ON a.event_type = b.event_type AND a.hour = b.hour GROUP BY ALL)
+    SELECT left_client, right_client, left_rows, right_rows,
+           left_rows + right_rows - 2 * coalesce(both_hold, 0) AS differing_rows,
+           left_rows + right_rows - 2 * coalesce(both_hold, 0) = 0 AS identical
+    FROM pairs LEFT JOIN shared USING (left_client, right_client)"""
+
+
+@query("pairwise_many", USER_BAGS_SQL)
+def pairwise_many(spark, sf_dir):
+    """Fifty unlike clients, all pairs of them."""
+    rows = table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 50).cast("string").alias(CLIENT), "event_type", F.hour("ts").alias("hour")
+    )
+    return pairwise_verdicts(rows, [str(c) for c in range(50)])
+
+
 @query("preview", Q1_SQL.format(75) + " ORDER BY value DESC, event_id LIMIT 5")
 def preview_query(spark, sf_dir):
     """The five most valuable rows of Q1."""

@@ -19,7 +19,7 @@ from checks.tables import (
     part_as_menu,
     table,
 )
-from tillmetrics.plans import high_value_transactions, monthly_item_leaders, semester_store_tpv
+from tillmetrics.plans import high_value_transactions, monthly_item_leaders, semester_store_tpv, top_buyers_per_store
 from tillmetrics.schemas import CLIENT, MENU_ITEMS, TRANSACTION_ITEMS, TRANSACTIONS, USERS
 from tillmetrics.sources import (
     clear_result,
@@ -48,6 +48,11 @@ def _event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_transactions(table(spark, sf_dir, "events"), event_client(), event_store())
 
 
+def monthly(rows: DataFrame) -> DataFrame:
+    """Rows of one client and month together, as monthly files bring them."""
+    return rows.repartition(CLIENT, F.date_format("created_at", "yyyyMM"))
+
+
 def event_files(spark: SparkSession, sf_dir: str, label: str, sender: str = "part") -> str:
     """Transactions files of three clients, written from all events."""
     root = new_root(spark, label)
@@ -127,12 +132,12 @@ def csv_months(spark, sf_dir):
 def leader_files(spark: SparkSession, sf_dir: str, label: str) -> str:
     """Line items and two menu deliveries; the later one holds the right names."""
     root = new_root(spark, label)
-    write_contract_files(item_text(lineitem_as_items(spark, sf_dir)), TRANSACTION_ITEMS, root)
+    write_contract_files(item_text(monthly(lineitem_as_items(spark, sf_dir))), TRANSACTION_ITEMS, root)
     menu = menu_text(part_as_menu(spark, sf_dir))
     outdated = menu.withColumn("item_name", F.concat(F.lit("old "), F.col("item_name")))
     both = outdated.withColumn("_delivery", F.lit(0)).union(menu.withColumn("_delivery", F.lit(1)))
-    # One partition in a stated order, as a menu file is written by its owner.
-    ordered = both.coalesce(1).sortWithinPartitions("_delivery", "item_id").drop("_delivery")
+    # An item's rows stay in one file, the outdated one first, as its owner writes them.
+    ordered = both.repartition("item_id").sortWithinPartitions("_delivery", "item_id").drop("_delivery")
     write_contract_files(ordered, MENU_ITEMS, root)
     return root
 
@@ -148,16 +153,19 @@ def csv_leaders(spark, sf_dir):
 @query(
     "csv_users",
     """SELECT 'client_1' AS client_id, c_custkey AS user_id, c_mktsegment AS gender,
-           CAST(NULL AS DATE) AS birthdate, CAST(NULL AS TIMESTAMP) AS registered_at FROM customer""",
+           CASE WHEN c_custkey % 3 > 0 THEN CAST(DATE '1950-01-01' + CAST(c_custkey % 20000 AS INTEGER) AS DATE) END AS birthdate,
+           CASE WHEN c_custkey % 5 > 0 THEN TIMESTAMP '2023-07-01 08:13:07' END AS registered_at FROM customer""",
 )
 def csv_users(spark, sf_dir):
-    """Users; their names in the birthdate column do not parse and become null."""
+    """Users; names in the birthdate column and empty dates do not parse and become null."""
     customers = table(spark, sf_dir, "customer")
     text = customers.select(
         F.col("c_custkey").cast("string").alias("user_id"),
         F.col("c_mktsegment").alias("gender"),
-        F.col("c_name").alias("birthdate"),
-        F.lit("").alias("registered_at"),
+        F.when(F.col("c_custkey") % 3 == 0, F.col("c_name"))
+        .otherwise(F.date_add(F.to_date(F.lit("1950-01-01")), (F.col("c_custkey") % 20000).cast("int")).cast("string"))
+        .alias("birthdate"),
+        F.when(F.col("c_custkey") % 5 == 0, F.lit("")).otherwise(F.lit("2023-07-01 08:13:07")).alias("registered_at"),
         F.lit("client_1").alias(CLIENT),
         F.lit("202401").alias("file_month"),
     )
@@ -244,12 +252,69 @@ def csv_rejected(spark, sf_dir):
 @query("landed_tpv", TPV_SQL.format(client="o_orderpriority AS client_id,", semesters=""))
 def landed_tpv(spark, sf_dir):
     """Q3 over the columnar landing copy, folders pruned to the years."""
-    orders = orders_as_transactions(spark, sf_dir, F.col("o_orderpriority")).withColumn(
-        "transaction_id", F.col("transaction_id").cast("string")
-    )
+    orders = monthly(orders_as_transactions(spark, sf_dir, F.col("o_orderpriority")))
     path = new_root(spark, "landed")
     land(orders, path)
-    return semester_store_tpv(read_landed(spark, path, TRANSACTIONS, years=(1996, 1997)), ALL_SEMESTERS)
+    tpv = semester_store_tpv(read_landed(spark, path, TRANSACTIONS, years=(1996, 1997)), ALL_SEMESTERS)
+    return tpv.withColumn("store_id", F.col("store_id").cast("int"))
+
+
+@query(
+    "landed_replaced",
+    TPV_SQL.format(
+        client="o_orderpriority AS client_id,",
+        semesters="""AND o_orderpriority <> '5-LOW' AND (o_orderpriority <> '1-URGENT' OR o_custkey % 2 = 0)
+            AND NOT (o_orderpriority = '2-HIGH' AND strftime(o_orderdate, '%Y%m') IN ('199601', '199703'))""",
+    ),
+)
+def landed_replaced(spark, sf_dir):
+    """Loads that replace everything, one client, and two months of one client."""
+    orders = monthly(orders_as_transactions(spark, sf_dir, F.col("o_orderpriority")))
+    path = new_root(spark, "landed-replaced")
+    land(orders, path)
+    land(orders.filter(F.col(CLIENT) != "5-LOW"), path)  # a client has left the input
+    urgent = orders.filter((F.col(CLIENT) == "1-URGENT") & (F.col("user_id") % 2 == 0))
+    land(urgent, path, {CLIENT: ["1-URGENT"]})
+    nothing = orders.filter(F.lit(False))
+    land(nothing, path, {CLIENT: ["2-HIGH"], "file_month": ["199601", "199703"]})
+    tpv = semester_store_tpv(read_landed(spark, path, TRANSACTIONS, years=(1996, 1997)), ALL_SEMESTERS)
+    return tpv.withColumn("store_id", F.col("store_id").cast("int"))
+
+
+def user_files(spark: SparkSession, sf_dir: str, root: str, deliveries: int) -> None:
+    """Users of all customers, delivered several times under one file name, from a sender folder each.
+
+    Every delivery moves the birthdates by a day, so the last one is told from the others.
+    """
+    customers = table(spark, sf_dir, "customer")
+    born = F.date_add(F.to_date(F.lit("1950-01-01")), (F.col("c_custkey") * 7 % 20000).cast("int"))
+    for delivery in range(deliveries):
+        text = customers.select(
+            F.col("c_custkey").cast("string").alias("user_id"),
+            F.col("c_mktsegment").alias("gender"),
+            F.date_add(born, delivery).cast("string").alias("birthdate"),
+            F.lit("2023-07-01 08:13:07").alias("registered_at"),
+            F.lit("client_1").alias(CLIENT),
+            F.lit("202401").alias("file_month"),
+        )
+        write_contract_files(text, USERS, root, sender=f"d{delivery}x")
+
+
+LAST_BUYERS_SQL = """
+    SELECT 'client_1' AS client_id, c_nationkey AS store_id, o_custkey AS user_id, count(*) AS "count",
+           CAST(DATE '1950-01-01' + CAST(o_custkey * 7 % 20000 + 5 AS INTEGER) AS DATE) AS birthday
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) IN (1996, 1997)
+    GROUP BY c_nationkey, o_custkey
+    QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY count(*) DESC, o_custkey DESC) <= 3"""
+
+
+@query("csv_last_wins", LAST_BUYERS_SQL)
+def csv_last_wins(spark, sf_dir):
+    """Birthdates from six deliveries of one file name; only users asked for are put in order."""
+    root = new_root(spark, "csv-last-wins")
+    user_files(spark, sf_dir, root, 6)
+    users = read_dimension(spark, root, USERS, deduplicate=False)
+    return top_buyers_per_store(orders_as_transactions(spark, sf_dir), users, ORDER_PARAMS)
 
 
 @query(

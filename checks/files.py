@@ -58,16 +58,38 @@ def write_contract_files(
         fs.rename(file, _file_system(spark, f"{target}/{kind}{month}.csv")[0])
 
 
+def write_announcements(lines: DataFrame, root: str) -> None:
+    """``announced.csv`` of each sender from rows of client, dataset, number and sender."""
+    spark, staging = lines.sparkSession, f"{root}/_staging-announced"
+    lines.repartition(CLIENT, "sender").write.partitionBy(CLIENT, "sender").option("header", True).csv(staging)
+    for file in _files(spark, staging):
+        folder = dict(part.split("=") for part in file.toString().split("/") if "=" in part)
+        target = f"{root}/{CLIENT}={folder[CLIENT]}/sender={folder['sender']}/announced.csv"
+        _, fs = _file_system(spark, target)
+        fs.rename(file, _file_system(spark, target)[0])
+
+
 def copy_delivery(spark: SparkSession, root: str, again: str) -> None:
-    """Deliver every file a second time: same client, sender and name, another folder."""
-    for file in _files(spark, root):
-        if "_staging" in file.toString():
-            continue
-        inside = file.toString().split(root.rstrip("/") + "/", 1)[1]
-        folder, name = inside.rsplit("/", 1)
-        target, fs = _file_system(spark, f"{root}/{folder}/{again}/{name}")
-        jvm = spark._jvm.org.apache.hadoop.fs
-        jvm.FileUtil.copy(fs, file, fs, target, False, spark._jsc.hadoopConfiguration())
+    """Deliver every file a second time: same client, sender and name, another folder.
+
+    The copies are written by a Spark job, one file each, as their senders would write them.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*_[0-9]*.csv").text(root)
+    path = F.col("_metadata.file_path")
+    kept = [F.regexp_extract(path, f"/{name}=([^/]+)/", 1).alias(name) for name in (CLIENT, "sender")]
+    inside = F.regexp_extract(path, "/sender=[^/]+/(.*)$", 1)
+    header = F.col("value").startswith("transaction_id,")
+    keyed = lines.filter(~path.contains("_staging")).select(*kept, F.replace(inside, F.lit("/"), F.lit("~")).alias("file_name"), header.alias("_header"), "value")
+    # A file's rows come together in one partition, its header first.
+    by_file = keyed.repartition(CLIENT, "sender", "file_name").sortWithinPartitions(CLIENT, "sender", "file_name", F.desc("_header"))
+    staging = f"{root}/_staging-{again}"
+    by_file.drop("_header").write.partitionBy(CLIENT, "sender", "file_name").text(staging)
+    for file in _files(spark, staging):
+        folder = dict(part.split("=") for part in file.toString().split("/") if "=" in part)
+        *above, name = folder["file_name"].split("~")
+        target, fs = _file_system(spark, "/".join([root, f"{CLIENT}={folder[CLIENT]}", f"sender={folder['sender']}", *above, again]))
+        fs.mkdirs(target)
+        fs.rename(file, _file_system(spark, f"{target.toString()}/{name}")[0])
 
 
 def move_delivery(spark: SparkSession, source: str, root: str, folder: str) -> None:

@@ -5,27 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.batch_queries import HOURLY_TPV_SQL, LEADERS_SQL, Q1_SQL
-from checks.file_queries import EVENT_COLUMNS_SQL, event_files, leader_files
+from checks.batch_queries import HOURLY_TPV_SQL, LEADERS_SQL, Q1_SQL, TPV_SQL
+from checks.file_queries import EVENT_COLUMNS_SQL, LAST_BUYERS_SQL, event_files, leader_files, monthly, user_files
 from checks.files import (
     copy_delivery,
     move_delivery,
     new_root,
     set_age,
     transaction_text,
+    write_announcements,
     write_contract_files,
 )
 from checks.registry import query
 from checks.tables import (
+    ALL_SEMESTERS,
     ORDER_PARAMS,
     SCHEMAS,
     event_client,
     event_store,
     events_as_transactions,
+    orders_as_transactions,
     part_as_menu,
     table,
 )
 from tillmetrics.functions import in_hours
+from tillmetrics.operators import keep_referenced
 from tillmetrics.plans import (
     buyer_counts,
     high_value_transactions,
@@ -39,7 +43,7 @@ from tillmetrics.plans import (
 from tillmetrics.plans.buyers import BUYER
 from tillmetrics.plans.items import ITEM_MONTH
 from tillmetrics.plans.stores import SEMESTER_STORE
-from tillmetrics.schemas import CLIENT, MENU_ITEMS, TRANSACTIONS
+from tillmetrics.schemas import CLIENT, MENU_ITEMS, TRANSACTIONS, USERS
 from tillmetrics.sources import read_dimension
 from tillmetrics.streaming import (
     Session,
@@ -144,11 +148,11 @@ def stream_files(spark, sf_dir):
 
 @query(
     "stream_batches",
-    f"""SELECT {CLIENT_SQL} 'transactions' AS dataset, count(DISTINCT strftime(ts, '%Y%m')) AS months, TRUE AS same
-    FROM events GROUP BY ALL""",
+    f"""SELECT {CLIENT_SQL} 'transactions' AS dataset, count(DISTINCT strftime(ts, '%Y%m')) AS months,
+        count(*) AS rows, 0 AS batches_after, CAST(0 AS BIGINT) AS bytes_after FROM events GROUP BY ALL""",
 )
 def stream_batches(spark, sf_dir):
-    """Months with accepted batches per client; the second delivery adds none."""
+    """Months and rows of accepted batches per client, and what the second delivery added."""
     root = event_files(spark, sf_dir, "stream-batches")
     session = Session(new_root(spark, "stream-batches-work"))
     ingest(spark, root, session)
@@ -159,8 +163,11 @@ def stream_batches(spark, sf_dir):
     ledger = spark.read.parquet(session.ledger)
     months = ledger.groupBy(CLIENT, "dataset").agg(F.count_distinct("batch_id").alias("months"))
     both = after.join(before.withColumnsRenamed({"batches": "batches_before", "bytes": "bytes_before"}), [CLIENT, "dataset"])
-    same = (F.col("batches") == F.col("batches_before")) & (F.col("bytes") == F.col("bytes_before"))
-    return months.join(both, [CLIENT, "dataset"], "left").select(CLIENT, "dataset", "months", same.alias("same"))
+    landed = spark.read.parquet(f"{session.landing}/{TRANSACTIONS}").groupBy(CLIENT).agg(F.count(F.lit(1)).alias("rows"))
+    more = {name: F.col(name) - F.col(f"{name}_before") for name in ("batches", "bytes")}
+    counted = months.join(both, [CLIENT, "dataset"], "left").join(landed, CLIENT, "left")
+    added = [more["batches"].cast("int").alias("batches_after"), more["bytes"].alias("bytes_after")]
+    return counted.select(CLIENT, "dataset", "months", "rows", *added)
 
 
 @query("stream_redelivery", STORE_TPV_SQL.format(client=CLIENT_SQL, where=""))
@@ -245,14 +252,110 @@ def stream_closed(spark, sf_dir):
     return semester_store_tpv(spark.read.parquet(f"{session.landing}/{TRANSACTIONS}"))
 
 
+def _session_files(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """Items, menu, transactions and users of one client, the facts delivered twice."""
+    root = leader_files(spark, sf_dir, label)
+    orders = orders_as_transactions(spark, sf_dir).withColumns(
+        {
+            "payment_method_id": F.lit(1),
+            "voucher_id": F.lit(None).cast("int"),
+            "original_amount": F.col("final_amount"),
+            "discount_applied": F.lit(0.0),
+        }
+    )
+    write_contract_files(transaction_text(monthly(orders)), TRANSACTIONS, root)
+    user_files(spark, sf_dir, root, 6)
+    copy_delivery(spark, root, "again")
+    return root
+
+
+def _session_answer(spark: SparkSession, sf_dir: str, name: str, params=ORDER_PARAMS) -> DataFrame:
+    root = _session_files(spark, sf_dir, f"stream-session-{name}")
+    menu = read_dimension(spark, root, MENU_ITEMS, deduplicate=False)
+    users = read_dimension(spark, root, USERS, deduplicate=False)
+    return run_session(spark, root, new_root(spark, f"stream-session-{name}-work"), menu, users, params)[name]
+
+
 @query(
     "stream_session",
     LEADERS_SQL.format(client="'client_1'", menu="") + "SELECT * FROM leaders",
 )
 def stream_session(spark, sf_dir):
     """T1-T8 from files to the answers of all questions; the item leaders are returned."""
-    root = leader_files(spark, sf_dir, "stream-session")
+    return _session_answer(spark, sf_dir, "q2")
+
+
+@query(
+    "stream_session_q1",
+    """SELECT 'client_1' AS client_id, CAST(o_orderkey AS VARCHAR) AS transaction_id, CAST(c_nationkey AS VARCHAR) AS store_id,
+           o_custkey AS user_id, o_totalprice AS final_amount, o_orderdate AS created_at
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) IN (1996, 1997) AND o_totalprice >= 75""",
+)
+def stream_session_q1(spark, sf_dir):
+    """Q1 of the same session, hours open all day."""
+    found = _session_answer(spark, sf_dir, "q1", ALL_SEMESTERS)
+    return found.select(CLIENT, "transaction_id", "store_id", "user_id", "final_amount", "created_at")
+
+
+@query("stream_session_q3", TPV_SQL.format(client="'client_1' AS client_id,", semesters=""))
+def stream_session_q3(spark, sf_dir):
+    """Q3 of the same session."""
+    found = _session_answer(spark, sf_dir, "q3", ALL_SEMESTERS)
+    return found.withColumn("store_id", F.col("store_id").cast("int"))
+
+
+@query("stream_session_q4", LAST_BUYERS_SQL)
+def stream_session_q4(spark, sf_dir):
+    """Q4 of the same session, birthdates from six deliveries."""
+    found = _session_answer(spark, sf_dir, "q4", ALL_SEMESTERS)
+    return found.withColumn("store_id", F.col("store_id").cast("int"))
+
+
+def _announce(spark: SparkSession, root: str, added: dict[str, int]) -> None:
+    """Each sender's announcement: as many batches as it has sent, and those that are still to come."""
+    sent = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*_[0-9]*.csv")
+    path = F.col("path")
+    keys = [F.regexp_extract(path, f"/{name}=([^/]+)/", 1).alias(name) for name in (CLIENT, "sender")]
+    counts = sent.load(root).filter(~path.contains("_staging")).groupBy(*keys).agg(F.count(F.lit(1)).alias("batches"))
+    more = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in added.items() for x in pair]), F.col(CLIENT)), F.lit(0))
+    lines = counts.select(CLIENT, F.lit(TRANSACTIONS).alias("dataset"), (F.col("batches") + more).cast("string").alias("batches"), "sender")
+    write_announcements(lines, root)
+
+
+@query("stream_completed", STORE_TPV_SQL.format(client=CLIENT_SQL, where="AND user_id % 3 > 0"))
+def stream_completed(spark, sf_dir):
+    """T4: clients whose announced batches have all come are answered, and closed without being named.
+
+    The first client announces a batch that never comes. What arrives later for the others is ignored.
+    """
+    root = event_files(spark, sf_dir, "stream-completed")
+    _announce(spark, root, {"client_0": 1})
     copy_delivery(spark, root, "again")
-    menu = read_dimension(spark, root, MENU_ITEMS)
-    work = new_root(spark, "stream-session-work")
-    return run_session(spark, root, work, menu, None, ORDER_PARAMS)["q2"]
+    menu = spark.createDataFrame([], f"{CLIENT} string, item_id bigint, item_name string")
+    work = new_root(spark, "stream-completed-work")
+    first = run_session(spark, root, work, menu, None, only_complete=True)["q3"]
+    kept = new_root(spark, "stream-completed-first")
+    first.write.parquet(kept)
+    late = events_as_transactions(table(spark, sf_dir, "events"), event_client(), event_store())
+    write_contract_files(transaction_text(late.filter(F.col(CLIENT) != "client_0")), TRANSACTIONS, root, sender="late")
+    after = run_session(spark, root, work, menu, None)["q3"]
+    same = keep_referenced(after, spark.read.parquet(kept), [CLIENT])
+    return same.select("client_id", "year", "semester", "store_id", "tpv")
+
+
+@query(
+    "stream_stages",
+    f"""SELECT {CLIENT_SQL} count(*) AS rows_in, count(*) FILTER (WHERE hour(ts) BETWEEN 6 AND 22 AND year(ts) IN (2024, 2025)) AS in_hours,
+           count(*) FILTER (WHERE hour(ts) BETWEEN 6 AND 22 AND year(ts) IN (2024, 2025) AND value >= 75) AS high_value
+    FROM events GROUP BY ALL""",
+)
+def stream_stages(spark, sf_dir):
+    """Rows in, after the hours and after the amount per client, from a session in two calls, files sent twice."""
+    root, late = _two_deliveries(spark, sf_dir, "stream-stages")
+    copy_delivery(spark, root, "again")
+    menu = spark.createDataFrame([], f"{CLIENT} string, item_id bigint, item_name string")
+    work = new_root(spark, "stream-stages-work")
+    run_session(spark, root, work, menu, None)
+    move_delivery(spark, late, root, "late")
+    stages = run_session(spark, root, work, menu, None).stages
+    return stages.select(CLIENT, "rows_in", "in_hours", "high_value")

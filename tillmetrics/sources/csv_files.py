@@ -26,7 +26,7 @@ from tillmetrics.operators.lookups import last_wins
 from tillmetrics.schemas import CLIENT, DATASETS, MENU_ITEMS, TRANSACTION_ITEMS, TRANSACTIONS, USERS
 
 #: Cannot occur in a text line, so a line read with it stays one field.
-_NO_SEPARATOR = "\u0001"
+NO_SEPARATOR = "\u0001"
 _MONTH_DIGITS = "[0-9]" * 6
 
 #: Delivery order of a row: files by modification time and full path, then position inside the file.
@@ -109,10 +109,13 @@ def read_raw(
 
 
 def split_lines(lines: DataFrame, kind: str) -> DataFrame:
-    """Text columns from a ``line`` column, flagging lines of the wrong length."""
+    """Text columns from a ``line`` column, flagging lines of the wrong length.
+
+    Empty fields are null, as they are for the CSV scan.
+    """
     names = DATASETS[kind].names
     fields = F.split("line", ",")
-    columns = {name: F.get(fields, F.lit(i)) for i, name in enumerate(names)}
+    columns = {name: F.nullif(F.get(fields, F.lit(i)), F.lit("")) for i, name in enumerate(names)}
     return lines.withColumns({**columns, "is_bad_row": F.size(fields) != len(names)})
 
 
@@ -126,7 +129,7 @@ def read_lines(
 ) -> DataFrame:
     """Data lines of any mix of files, headers skipped: ``line``, ``client_id``."""
     schema = T.StructType([T.StructField("line", T.StringType())])
-    return _scan(spark, root, schema, glob, client_id, _NO_SEPARATOR)
+    return _scan(spark, root, schema, glob, client_id, NO_SEPARATOR)
 
 
 def with_dataset_kind(rows: DataFrame, name_column: str | Column = "_metadata.file_name") -> DataFrame:

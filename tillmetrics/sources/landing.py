@@ -41,8 +41,8 @@ def landing_schema(kind: str, partitions: Sequence[str]) -> T.StructType:
 
 
 def _kind_of(rows: DataFrame) -> str:
-    """The monthly dataset that all columns belong to."""
-    given = set(rows.columns) - {CLIENT, FILE_MONTH}
+    """The monthly dataset that all columns belong to, but for those that begin with ``_``."""
+    given = {name for name in rows.columns if not name.startswith("_")} - {CLIENT, FILE_MONTH}
     fitting = [name for name, dataset in DATASETS.items() if dataset.monthly and given <= set(dataset.names)]
     if len(fitting) != 1 or not {CLIENT, "created_at"} <= set(rows.columns):
         raise ValueError(f"columns {rows.columns} are not those of one fact dataset with {CLIENT} and created_at")
@@ -78,8 +78,9 @@ def land(rows: DataFrame, path: str, scope: Scope = EVERYTHING, file_month: Colu
     tasks that read it. Rows without a valid date are kept too, in the folder for a null year. ``file_month`` is
     the month of a row's file where the scope names months, else the month of its date.
     """
+    kind = _kind_of(rows)
     month = F.date_format("created_at", "yyyyMM") if file_month is None else file_month
-    rows = _with_levels(as_typed(rows.withColumn(FILE_MONTH, month), _kind_of(rows)), BY_MONTH)
+    rows = _with_levels(as_typed(rows.withColumn(FILE_MONTH, month), kind), BY_MONTH)
     VersionedSet(rows.sparkSession, path, BY_MONTH).load(rows, scope, keep=KEPT_LOADS)
 
 

@@ -12,8 +12,10 @@ some 200 MB for a million files.
 
 Two ways in, by batch size:
 
-* :func:`land_stream` for files of any size. The stream carries file *names*;
-  accepted files are then read by an ordinary job that splits them over all tasks.
+* :func:`land_stream` for files of any size. The stream carries file *names*; an ordinary job, which splits the
+  files over all tasks, reads each once: it stages the typed rows together with hashes of
+  their lines. Fingerprints are sums over those hashes. Where every file is new, the staged folder
+  becomes the landed one by a rename; else the rows of copies are left out.
 * :func:`stream_messages` for message-sized files (tens of kilobytes). One file is
   one row until it is accepted, which also allows the content fingerprint.
 """
@@ -27,9 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmetrics.functions import batch_fingerprint
-from tillmetrics.operators import drop_closed
+from tillmetrics.operators import drop_closed, union_all
 from tillmetrics.schemas import CLIENT, DATASETS, TRANSACTION_ITEMS, TRANSACTIONS
 from tillmetrics.sources.csv_files import (
+    NO_SEPARATOR,
     csv_options,
     dataset_glob,
     scanned,
@@ -40,6 +43,7 @@ from tillmetrics.sources.csv_files import (
 )
 from tillmetrics.sources.landing import BY_YEAR, landing_schema
 from tillmetrics.sources.landing import land_folder as land
+from tillmetrics.sources.shared_files import SharedFiles
 from tillmetrics.streaming.running import EPOCH, read_epochs, write_epoch
 
 BATCH_KEY = (CLIENT, "sender", "batch_id")
@@ -51,6 +55,8 @@ _CONTRACT_NAME = "^({})$".format(
     "|".join(f"{name}_[0-9]{{6}}[.]csv" if dataset.monthly else f"{name}[.]csv" for name, dataset in DATASETS.items())
 )
 NO_SENDER = "unknown"
+#: Columns of staged rows, beside those of their dataset.
+_FILE, _MARKS = "_file", ("_mark0", "_mark1")
 _FOLDERS = (EPOCH, *BY_YEAR)
 
 MAX_FILES = 10_000
@@ -66,14 +72,18 @@ def _folder_value(path: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(path, f"/{name}=([^/]+)/", 1), F.lit(""))
 
 
-def _batch_columns(path: Column) -> dict[str, Column]:
+def sender_columns(path: Column) -> dict[str, Column]:
+    """Client and sender of a file, from its folders."""
     return {
         CLIENT: _folder_value(path, CLIENT),
         "sender": F.coalesce(_folder_value(path, "sender"), F.lit(NO_SENDER)),
-        "batch_id": F.element_at(F.split(path, "/"), -1),
     }
 
 
+def _batch_columns(path: Column) -> dict[str, Column]:
+    return {**sender_columns(path), "batch_id": F.element_at(F.split(path, "/"), -1)}
+
+
 def announced_files(spark: SparkSession, root: str, max_files: int = MAX_FILES) -> DataFrame:
     """A stream with one row per new file: path, size, dataset and batch key.
 
@@ -100,14 +110,26 @@ def _comparable(path: Column, encoded: bool) -> Column:
     return F.regexp_replace(path, "^([a-z]+):/+", "$1:/")
 
 
-def content_marks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(file, content): a fingerprint of the lines of each file, whatever their order.
+def staged_rows(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
+    """Typed rows of the named files, with their file and two hashes of their line."""
+    reader = csv_options(spark.read, T.StructType([T.StructField("line", T.StringType())]))
+    lines = reader.option("sep", NO_SEPARATOR).option("recursiveFileLookup", True).csv(list(paths))
+    lines = lines.select(
+        "line",
+        _folder_value(F.col("_metadata.file_path"), CLIENT).alias(CLIENT),
+        _comparable(F.col("_metadata.file_path"), True).alias(_FILE),
+        *[F.xxhash64(F.lit(seed), "line").alias(name) for seed, name in enumerate(_MARKS)],
+    )
+    return typed(split_lines(lines, kind).drop("line", "is_bad_row"), kind)
+
+
+def content_marks(staged: DataFrame) -> DataFrame:
+    """(file, content): a fingerprint of the lines of each staged file, whatever their order.
 
-    Files are split over all tasks; each sends one row per file.
+    Reads three columns of the staged rows; each task sends one row per file.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
-    sums = [F.sum(F.xxhash64(F.lit(seed), "value").cast("decimal(38,0)")).cast("string") for seed in (0, 1)]
-    marks = lines.groupBy(_comparable(F.col("_metadata.file_path"), True).alias("file"))
+    sums = [F.sum(F.col(name).cast("decimal(38,0)")).cast("string") for name in _MARKS]
+    marks = staged.groupBy(F.col(_FILE).alias("file"))
     return marks.agg(F.concat_ws("/", F.count(F.lit(1)).cast("string"), *sums).alias("content"))
 
 
@@ -141,7 +163,7 @@ def land_stream(
 
     A micro-batch overwrites its own ``epoch`` folder, so a repeated micro-batch after
     a failure does not repeat rows. Files of closed clients are left out before any of
-    them is read. The accepted batches of each epoch are kept in ``ledger``, and copies
+    them is read, and every other file is read once. The accepted batches of each epoch are kept in ``ledger``, and copies
     of known ones in ``<ledger>-copies``; the driver sees their file names only, at
     most ``max_files`` at a time.
     """
@@ -151,23 +173,37 @@ def land_stream(
 
     schema = T.StructType.fromDDL(LEDGER_SCHEMA)
 
+    files = SharedFiles(spark)
+
     def land_epoch(announced: DataFrame, epoch: int) -> None:
         announced = announced.filter(F.col("dataset").isin(*kinds))
         if closed is not None:
             announced = drop_closed(announced, closed)
-        found = [row["path"] for row in announced.select("path").collect()]
+        found = announced.select("dataset", "path").collect()
         if not found:
             return
-        known = read_epochs(spark, schema, ledger).filter(F.col(EPOCH) < epoch)
-        fresh = fresh_batches(announced, content_marks(spark, found), known)
-        write_epoch(fresh.select(*schema.names), ledger, epoch)
-        batches = spark.read.schema(schema).parquet(f"{ledger}/{EPOCH}={epoch}")
-        write_epoch(announced.join(batches.select("path"), "path", "left_anti"), f"{ledger}-copies", epoch)
-        accepted = batches.select("dataset", "path").collect()
+        staged = {}
         for kind in kinds:
-            paths = [row["path"] for row in accepted if row["dataset"] == kind]
+            paths = [row["path"] for row in found if row["dataset"] == kind]
             if paths:
-                land(read_batch_files(spark, paths, kind), f"{landing}/{kind}/{EPOCH}={epoch}", BY_YEAR)
+                folder = f"{landing}/_staged/{kind}"
+                land(staged_rows(spark, paths, kind), folder, BY_YEAR)
+                staged[kind] = spark.read.schema(_staged_schema(kind)).parquet(folder)
+        marks = union_all(*[content_marks(rows) for rows in staged.values()])
+        known = read_epochs(spark, schema, ledger).filter(F.col(EPOCH) < epoch)
+        write_epoch(fresh_batches(announced, marks, known).select(*schema.names), ledger, epoch)
+        batches = spark.read.schema(schema).parquet(f"{ledger}/{EPOCH}={epoch}")
+        copies = announced.join(batches.select("path"), "path", "left_anti")
+        write_epoch(copies, f"{ledger}-copies", epoch)
+        copied = {row["dataset"] for row in copies.select("dataset").distinct().collect()}
+        for kind, rows in staged.items():
+            target = f"{landing}/{kind}/{EPOCH}={epoch}"
+            if kind in copied:
+                accepted = batches.select(_comparable(F.col("path"), False).alias(_FILE))
+                land(rows.join(accepted, _FILE, "left_semi").drop(_FILE, *_MARKS, "year"), target, BY_YEAR)
+            else:
+                files.delete(target)  # of the same epoch before a failure
+                files.move(f"{landing}/_staged/{kind}", target)
 
     read_epochs(spark, schema, ledger)  # makes the folder
     query = (
@@ -180,6 +216,12 @@ def land_stream(
     query.awaitTermination()
 
 
+def _staged_schema(kind: str) -> T.StructType:
+    extra = [T.StructField(_FILE, T.StringType()), *[T.StructField(name, T.LongType()) for name in _MARKS]]
+    typed_fields = landing_schema(kind, BY_YEAR).fields
+    return T.StructType([*typed_fields[: -len(BY_YEAR)], *extra, *typed_fields[-len(BY_YEAR) :]])
+
+
 def _prepare_landing(spark: SparkSession, landing: str, kind: str) -> None:
     """The folder must exist even when no file of this dataset ever arrives."""
     empty = spark.createDataFrame([], landing_schema(kind, _FOLDERS))

@@ -3,8 +3,10 @@
 A running aggregate emits, per micro-batch, the keys whose totals changed. Each
 micro-batch writes them to its own ``epoch`` folder and overwrites that folder when
 it is repeated after a failure, so the output is exactly-once. Every so many epochs
-the totals so far are written as a snapshot: reading the current totals takes the
-last snapshot and the changes after it, however long the stream has been running.
+the totals so far are written as a snapshot, and a marker that appears at once says that it is complete: reading
+the current totals takes the last marked snapshot and the changes after it. Snapshots and changes
+that later ones cover are removed, but for a few generations that readers may still be
+using, so neither reading nor disk grows with the age of the stream.
 Ranking then is a batch query over the totals (T8), because streams cannot be ranked.
 """
 
@@ -17,8 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tillmetrics.sources.shared_files import SharedFiles
+
 EPOCH = "epoch"
 SNAPSHOT_EVERY = 100
+#: Generations (a snapshot and the changes it was made from) that stay beside the last one, for readers that have begun.
+KEPT_SNAPSHOTS = 3
 
 
 def write_epoch(rows: DataFrame, path: str, epoch: int) -> None:
@@ -49,6 +55,7 @@ def start_totals(
     path: str,
     checkpoint: str,
     snapshot_every: int = SNAPSHOT_EVERY,
+    kept_snapshots: int = KEPT_SNAPSHOTS,
 ) -> StreamingQuery:
     """Start a streaming aggregation over everything available.
 
@@ -62,8 +69,8 @@ def start_totals(
     def write(changed: DataFrame, epoch: int) -> None:
         write_epoch(changed, _changes(path), epoch)
         if (epoch + 1) % snapshot_every == 0:
-            recent = _recent(spark, schema, path, before=epoch)
-            write_epoch(latest_totals(recent, keys), _snapshots(path), epoch)
+            take_snapshot(spark, schema, keys, path, epoch)
+            forget_covered(spark, path, kept_snapshots)
 
     return _start(totals, write, checkpoint, "update")
 
@@ -83,18 +90,48 @@ def _snapshots(path: str) -> str:
     return f"{path}/snapshots"
 
 
-def _recent(
-    spark: SparkSession, schema: T.StructType, path: str, before: int | None = None
-) -> DataFrame:
-    """The last snapshot (older than epoch ``before``, if given) and all changes after it."""
-    snapshots = read_epochs(spark, schema, _snapshots(path))
-    if before is not None:
-        snapshots = snapshots.filter(F.col(EPOCH) < before)
+def _markers(path: str) -> str:
+    return f"{path}/_complete"
+
+
+def snapshot_epochs(spark: SparkSession, path: str) -> list[int]:
+    """Epochs with a complete snapshot, oldest first."""
+    return [int(name) for name in SharedFiles(spark).names(_markers(path)) if name.isdigit()]
+
+
+def take_snapshot(spark: SparkSession, schema: T.StructType, keys: Sequence[str], path: str, epoch: int) -> None:
+    """Write the totals up to an epoch, then mark them as complete; nothing is done for a marked epoch.
+
+    A crash before the mark leaves a folder that nobody reads and that the repeated epoch overwrites.
+    """
+    if epoch not in snapshot_epochs(spark, path):
+        write_epoch(latest_totals(_recent(spark, schema, path), keys), _snapshots(path), epoch)
+        SharedFiles(spark).publish(f"{_markers(path)}/{epoch:012d}", "")
+
+
+def forget_covered(spark: SparkSession, path: str, kept: int = KEPT_SNAPSHOTS) -> None:
+    """Remove all generations but the last one and ``kept`` before it."""
+    files, complete = SharedFiles(spark), snapshot_epochs(spark, path)
+    covered = complete[: -kept - 1]
+    if not covered:
+        return
+    for epoch in covered:  # unmarked first, so that no reader turns to what is being removed
+        files.delete(f"{_markers(path)}/{epoch:012d}")
+    for folder in (_changes(path), _snapshots(path)):
+        for name in files.names(folder):
+            if name.startswith(f"{EPOCH}=") and name[len(EPOCH) + 1 :].isdigit() and int(name[len(EPOCH) + 1 :]) <= covered[-1]:
+                files.delete(f"{folder}/{name}")
+
+
+def _recent(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """The last complete snapshot and all changes after it."""
+    complete = snapshot_epochs(spark, path)
     changes = read_epochs(spark, schema, _changes(path))
-    last = snapshots.agg(F.max(EPOCH)).first()[0]
-    if last is None:
+    if not complete:
         return changes
-    return snapshots.filter(F.col(EPOCH) == last).unionByName(changes.filter(F.col(EPOCH) > last))
+    full = T.StructType([*schema.fields, T.StructField(EPOCH, T.LongType())])
+    last = spark.read.schema(full).option("basePath", _snapshots(path)).parquet(f"{_snapshots(path)}/{EPOCH}={complete[-1]}")
+    return last.unionByName(changes.filter(F.col(EPOCH) > complete[-1]))
 
 
 def finish(*queries: StreamingQuery) -> None:

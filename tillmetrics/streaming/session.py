@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmetrics.operators import drop_closed, keep_referenced
 from tillmetrics.params import Params
 from tillmetrics.plans import (
     buyer_counts,
@@ -24,6 +25,7 @@ from tillmetrics.plans import (
     rank_items,
     semester_store_totals,
     store_volume,
+    transaction_funnel,
     with_birthdays,
 )
 from tillmetrics.plans.buyers import BUYER
@@ -31,7 +33,8 @@ from tillmetrics.plans.items import ITEM_MONTH
 from tillmetrics.plans.stores import SEMESTER_STORE
 from tillmetrics.schemas import CLIENT, TRANSACTION_ITEMS, TRANSACTIONS
 from tillmetrics.sources.results import write_result
-from tillmetrics.streaming.ingest import LEDGER_SCHEMA, MAX_FILES, land_stream, stream_landed
+from tillmetrics.sources.shared_files import SharedFiles
+from tillmetrics.streaming.ingest import LEDGER_SCHEMA, MAX_FILES, land_stream, sender_columns, stream_landed
 from tillmetrics.streaming.running import (
     EPOCH,
     current_totals,
@@ -44,6 +47,18 @@ from tillmetrics.streaming.running import (
 _CLOSED_SCHEMA = T.StructType([T.StructField(CLIENT, T.StringType())])
 
 
+#: Fixed value: name of the files in which senders announce the number of their batches.
+ANNOUNCED = "announced.csv"
+
+
+class Answers(dict):
+    """Answers by name, and in ``stages`` the rows that went into each stage, per client."""
+
+    def __init__(self, answers: dict[str, DataFrame], stages: DataFrame):
+        super().__init__(answers)
+        self.stages = stages
+
+
 @dataclass(frozen=True)
 class Session:
     """Folders of a session, all below one shared working folder."""
@@ -74,10 +89,14 @@ _SHAPING = ("years", "start_hour", "end_hour", "min_amount", "semesters")
 
 
 def hold_params(spark: SparkSession, session: Session, params: Params) -> None:
-    """Remember what shapes the totals of this folder; refuse to mix them with other values."""
-    given = json.dumps({name: getattr(params, name) for name in _SHAPING}, sort_keys=True)
-    spark.createDataFrame([(given,)], "params STRING").write.mode("ignore").parquet(f"{session.work}/params")
-    held = spark.read.schema("params STRING").parquet(f"{session.work}/params").first()["params"]
+    """Remember what shapes the totals of this folder; refuse to mix them with other values.
+
+    The order of years and semesters does not matter. What is remembered appears at once or not at all.
+    """
+    shaping = {name: getattr(params, name) for name in _SHAPING}
+    shaping = {name: sorted(set(v)) if isinstance(v, (tuple, list)) else v for name, v in shaping.items()}
+    given, path, files = json.dumps(shaping, sort_keys=True), f"{session.work}/_params", SharedFiles(spark)
+    held = given if files.publish(path, given) else files.read(path)
     if held != given:
         raise ValueError(f"{session.work} holds totals for {held}, not for {given}; take another folder")
 
@@ -113,6 +132,33 @@ def batch_counts(spark: SparkSession, session: Session) -> DataFrame:
     )
 
 
+def announcements(spark: SparkSession, root: str) -> DataFrame:
+    """What senders say they will have delivered: ``client_id``, ``sender``, ``dataset``, ``expected``.
+
+    A sender's folder may hold ``announced.csv`` with a header line and a line ``dataset,batches`` for each
+    dataset. A sender that sends it again, in another folder of its own, raises the number.
+    """
+    reader = spark.read.schema("dataset STRING, expected BIGINT").option("header", True)
+    lines = reader.option("recursiveFileLookup", True).option("pathGlobFilter", ANNOUNCED).csv(root)
+    path = F.col("_metadata.file_path")
+    keyed = lines.select("dataset", "expected", *[column.alias(name) for name, column in sender_columns(path).items()])
+    return keyed.groupBy(CLIENT, "sender", "dataset").agg(F.max("expected").alias("expected"))
+
+
+def completed_clients(spark: SparkSession, root: str, session: Session) -> list[str]:
+    """T4: clients of whom every announced batch of every sender is in the ledger, and who are not closed.
+
+    The ledger is the state of this: one row per accepted batch, copies not counted. A client without
+    announcements is never complete by itself.
+    """
+    ledger = spark.read.schema(f"{LEDGER_SCHEMA}, {EPOCH} BIGINT").parquet(session.ledger)
+    arrived = ledger.groupBy(CLIENT, "sender", "dataset").agg(F.count(F.lit(1)).alias("arrived"))
+    announced = drop_closed(announcements(spark, root), closed_clients(spark, session))
+    compared = announced.join(arrived, [CLIENT, "sender", "dataset"], "left")
+    whole = compared.groupBy(CLIENT).agg(F.bool_and(F.coalesce("arrived", F.lit(0)) >= F.col("expected")).alias("whole"))
+    return [row[CLIENT] for row in whole.filter("whole").select(CLIENT).collect()]
+
+
 def _landed(spark: SparkSession, session: Session, kind: str, max_files: int) -> DataFrame:
     return stream_landed(spark, session.landing, kind, max_files)
 
@@ -122,8 +168,9 @@ def aggregate(
 ) -> dict[str, DataFrame]:
     """Bring the running results up to date with the landing area.
 
-    Returns ``q1`` as rows and ``q2`` to ``q4`` as current totals. Landing must be at
-    rest, as it is after :func:`ingest`.
+    Returns ``q1`` as rows, ``q2`` to ``q4`` as current totals, and ``stages``, the stage counters per client
+    (D5). These are running totals like the others, so a repeated micro-batch is not counted
+    again. Landing must be at rest, as it is after :func:`ingest`.
     """
     transactions = _landed(spark, session, TRANSACTIONS, max_files)
     items = _landed(spark, session, TRANSACTION_ITEMS, max_files)
@@ -133,8 +180,9 @@ def aggregate(
         "q2": (item_month_totals(items, params), ITEM_MONTH),
         "q3": (semester_store_totals(transactions, params), SEMESTER_STORE),
         "q4": (buyer_counts(transactions, params), BUYER),
+        "stages": (transaction_funnel(transactions, params), (CLIENT,)),
     }
-    # The four streams run side by side, so one does not wait for another's last tasks.
+    # The streams run side by side, so one does not wait for another's last tasks.
     queries = [start_append(found, session.output("q1"), session.checkpoint("q1"))]
     for name, (running, keys) in totals.items():
         queries.append(start_totals(running, keys, session.output(name), session.checkpoint(name)))
@@ -173,19 +221,29 @@ def run_session(
     out: str | None = None,
     close: DataFrame | None = None,
     max_files: int = MAX_FILES,
-) -> dict[str, DataFrame]:
+    only_complete: bool = False,
+) -> Answers:
     """Process everything available below ``root`` and answer the questions.
 
-    ``out`` also writes the result sets. ``close`` names the clients that are complete
-    after this call.
+    ``out`` also writes the result sets, and the stage counters as ``stages``. ``close`` names clients that are
+    complete after this call; those whose announcements are fulfilled (see :func:`completed_clients`) are
+    complete without being named. ``only_complete`` answers for such clients alone.
     """
     session = Session(work)
     hold_params(spark, session, params)
     ingest(spark, root, session, max_files)
-    answers = final_answers(aggregate(spark, session, params, max_files), menu_items, users, params)
+    complete = completed_clients(spark, root, session)
+    current = aggregate(spark, session, params, max_files)
+    answers = Answers(final_answers(current, menu_items, users, params), current["stages"])
+    if only_complete:
+        done = spark.createDataFrame([(c,) for c in complete], _CLOSED_SCHEMA)
+        kept = {name: keep_referenced(answer, done, [CLIENT]) for name, answer in answers.items()}
+        answers = Answers(kept, keep_referenced(answers.stages, done, [CLIENT]))
     if out:
-        for name, answer in answers.items():
+        for name, answer in [*answers.items(), ("stages", answers.stages)]:
             write_result(answer, name, out)
+    if complete:
+        close_clients(spark.createDataFrame([(c,) for c in complete], _CLOSED_SCHEMA), session)
     if close is not None:
         close_clients(close, session)
     return answers
