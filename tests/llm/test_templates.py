@@ -77,3 +77,14 @@ def test_lines_of_digits_go(spark):
 def test_plain_lines_that_share_a_beginning_stay(spark):
     rows = [(k, f"in the {words(k, 8)}\n{words(500 + k, 30)}") for k in range(40)]
     assert dropped(spark, rows) == dict(rows)
+
+
+def test_columns_with_the_operators_names_pass(spark):
+    line = words(1, 8)
+    rows = documents(spark, [(k, lines_of(10 + k, 4) + "\n" + line) for k in range(12)])
+    odd = rows.selectExpr("*", "9 AS lines_dropped", "'a' AS __a", "'g' AS __gone", "'r' AS row", "1 AS gone", "2 AS __b")
+    got = line_templates.dedup_lines(odd).collect()
+    assert {r["lines_dropped"] for r in got} == {1} and {(r["__a"], r["__gone"], r["row"], r["gone"], r["__b"]) for r in got} == {("a", "g", "r", 1, 2)}
+    kept = line_templates.drop_lines(spark, odd, "")
+    assert kept.columns == odd.columns
+    assert {(r["lines_dropped"], r["__a"], r["row"], r["n_chars"] == len(r["text"])) for r in kept.collect()} == {(9, "a", "r", True)}

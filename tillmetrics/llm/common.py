@@ -143,9 +143,12 @@ class Words:
             out[k] ^= U(xxhash.xxh3_64_intdigest(rest))
         return out
 
-    def shingles(self, size: int) -> Iterator[np.ndarray]:
-        """Per text: hashes of its ``size``-word shingles in order (fewer words: one of them all)."""
-        word = self.hashes()
+    def shingles(self, size: int, word: np.ndarray | None = None) -> Iterator[np.ndarray]:
+        """Per text: hashes of its ``size``-word shingles in order (fewer words: one of them all).
+
+        ``word``: the words' hashes, where they are known already.
+        """
+        word = self.hashes() if word is None else word
         many = max(0, len(word) - size + 1)
         rolled = np.zeros(many, np.uint64)
         for k in range(size):

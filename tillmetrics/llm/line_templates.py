@@ -22,15 +22,17 @@ are left to document dedup. Texts are near copies if most of ``SKETCH`` least ha
 word shingles agree, or by a chain of such; each text is compared with the first text that shares
 two of them. A passage alone makes texts alike only if it is most of what they hold.
 
-Every step is an aggregation with a part on the map side or a join. No leaf, template
+Texts are split into words twice: once for the hashes of all lines and the sketch of each text, which are stored,
+and once for the tokens of the lines in leaves that enough documents reach. Every
+step is an aggregation with a part on the map side or a join. No leaf, template
 or document is gathered in one place: fixed tokens follow from counts by (leaf, place,
 token), and whether a line goes depends on its template alone.
 
 Defined results: text null or empty: no lines, returned as it is. Blank lines stay. Equal
 rows get equal results; rows with null or repeated doc_id are treated like all others.
 A text whose last line with a word goes keeps its blank rest; the pipeline stage drops the
-row. An empty table gives no rows. Other columns are passed on by the stage, and not read;
-names starting with ``__`` are taken by the operator.
+row. An empty table gives no rows. Other columns, whatever their names, are passed on and not read; a column
+``lines_dropped`` is replaced by the operator's, and passed on by the stage.
 """
 
 from __future__ import annotations
@@ -55,8 +57,10 @@ SHINGLE = 5
 SKETCH = 24
 
 KEY = ["__a", "__b"]
-LINES = "__a long, __b long, line_no int, n int, leaf long, line long, exact long, tokens array<long>"
-BANDS = "__a long, band long, sketch binary"
+PARTS = "__a long, __b long, line_no int, n int, leaf long, line long, exact long, bands array<long>, sketch binary"
+TOKENS = "__a long, leaf long, line long, exact long, tokens array<long>"
+#: Bytes of text that a task works on at a time.
+SLICE_BYTES = 1 << 20
 VARIABLE = U(0x5DEECE66D1CE4E5B)
 PLACE = U(0x9E3779B97F4A7C15)
 FACTORS = mixed(np.arange(1, SKETCH + 1, dtype=np.uint64)) | U(1)
@@ -72,72 +76,75 @@ def keyed(documents: DataFrame) -> DataFrame:
     return documents.withColumns({"__a": F.xxhash64("text"), "__b": F.xxhash64(F.lit(1), "text")})
 
 
-def _lines(with_tokens: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in sliced(batch, "text"):
-                at = part.schema.get_field_index
-                words = Words(part.column(at("text")), lower=False)
-                if not len(words.start):
-                    continue
-                token = words.hashes()
-                digit = np.concatenate([[0], np.cumsum((words.data >= 48) & (words.data <= 57))])
-                varies = digit[words.end] > digit[words.start]
-                whole = token.copy()
-                token[varies] = VARIABLE
-                breaks = np.flatnonzero(words.data == 10)
-                row = np.repeat(np.arange(len(part)), np.diff(words.first))
-                line_no = np.searchsorted(breaks, words.start) - np.searchsorted(breaks, words.bounds[row])
-                new = np.ones(len(row), dtype=bool)
-                new[1:] = (row[1:] != row[:-1]) | (line_no[1:] != line_no[:-1])
-                first = np.flatnonzero(new)
-                count = np.diff(np.append(first, len(row)))
-                place = np.arange(len(row)) - np.repeat(first, count)
-                leaf = mixed(count.astype(np.uint64) + PLACE)
-                for k in range(LEAD):
-                    deep = count > k
-                    leaf[deep] = mixed(leaf[deep] ^ token[first[deep] + k])
-                steps = place.astype(np.uint64) * PLACE
-                # Without digits in the line, ``exact`` is the same as ``line``.
-                line, exact = (mixed(np.add.reduceat(mixed(t + steps), first) ^ leaf) for t in (token, whole))
-                of = pa.array(row[first])
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.append(first, len(row)) if with_tokens else np.zeros(len(first) + 1), pa.int32()),
-                    pa.array(token.view(np.int64) if with_tokens else []).cast(pa.int64()),
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(at("__a")).take(of), part.column(at("__b")).take(of),
-                        pa.array(line_no[first], pa.int32()), pa.array(count, pa.int32()), pa.array(leaf.view(np.int64)), pa.array(line.view(np.int64)),
-                        pa.array(exact.view(np.int64)), lists,
-                    ],
-                    names=[c.split()[0] for c in LINES.split(", ")],
-                )
-
-    return run
-
-
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _Lines:
+    """Lines with a word, of a run of texts: place in the text, number of tokens, leaf, and hashes of the tokens."""
+
+    def __init__(self, texts: pa.Array):
+        self.words = words = Words(texts, lower=False)
+        self.whole = words.hashes()
+        token = self.whole.copy()
+        digit = np.concatenate([[0], np.cumsum((words.data >= 48) & (words.data <= 57), dtype=np.int32)])
+        token[digit[words.end] > digit[words.start]] = VARIABLE
+        breaks = np.flatnonzero(words.data == 10)
+        row = np.repeat(np.arange(len(texts)), np.diff(words.first))
+        line_no = np.searchsorted(breaks, words.start) - np.searchsorted(breaks, words.bounds[:-1])[row]
+        new = np.ones(len(row), dtype=bool)
+        new[1:] = (row[1:] != row[:-1]) | (line_no[1:] != line_no[:-1])
+        self.first = first = np.flatnonzero(new)
+        self.bounds = np.append(first, len(row))
+        self.count = count = np.diff(self.bounds)
+        self.row, self.line_no = row[first], line_no[first]
+        leaf = mixed(count.astype(np.uint64) + PLACE)
+        for k in range(LEAD):
+            deep = count > k
+            leaf[deep] = mixed(leaf[deep] ^ token[first[deep] + k])
+        steps = (np.arange(len(row)) - np.repeat(first, count)).astype(np.uint64) * PLACE
+        # Without digits in the line, ``exact`` is the same as ``line``.
+        self.line, self.exact = (mixed(np.add.reduceat(mixed(t + steps), first) ^ leaf) for t in (token, self.whole))
+        self.leaf, self.token = leaf, token
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each line; that of a text's first line has the sketch of the text as well."""
     pair = np.arange(SKETCH // 2, dtype=np.uint64)
     for batch in batches:
-        for part in sliced(batch, "text"):
-            at = part.schema.get_field_index
-            rows, keys, sketches = [], [], []
-            for k, shingles in enumerate(Words(part.column(at("text")), lower=False).shingles(SHINGLE)):
-                if len(shingles):
-                    least = np.array([(shingles * f).min() for f in FACTORS])
-                    rows.append(k)
-                    keys.append(mixed(mixed(least[::2] + pair) ^ least[1::2]).view(np.int64))
-                    # The low bits: the high ones of a least hash are mostly zero.
-                    sketches.append((mixed(least) & U(0xFFFF)).astype("<u2").tobytes())
-            if rows:
+        for part in sliced(batch, "text", SLICE_BYTES):
+            lines = _Lines(part.column("text"))
+            if not len(lines.first):
+                continue
+            shingles = [s for s in lines.words.shingles(SHINGLE, lines.whole) if len(s)]
+            starts = np.cumsum([0, *map(len, shingles[:-1])])
+            shingles = np.concatenate(shingles)
+            least = np.stack([np.minimum.reduceat(shingles * f, starts) for f in FACTORS], axis=1)
+            keys = mixed(mixed(least[:, ::2] + pair) ^ least[:, 1::2]).view(np.int64)
+            # The low bits: the high ones of a least hash are mostly zero.
+            sketches = (mixed(least) & U(0xFFFF)).astype("<u2")
+            heads = np.flatnonzero(np.diff(lines.row, prepend=-1))  # one for each text with a word
+            at = np.full(len(lines.row), -1)
+            at[heads] = np.arange(len(heads))
+            of, at = pa.array(lines.row), pa.array(at, mask=at < 0)
+            bands = pa.ListArray.from_arrays(np.arange(len(heads) + 1, dtype=np.int32) * len(pair), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("__a").take(of), part.column("__b").take(of), pa.array(lines.line_no, pa.int32()),
+                    pa.array(lines.count, pa.int32()), *(pa.array(x.view(np.int64)) for x in (lines.leaf, lines.line, lines.exact)),
+                    bands.take(at), pa.array([s.tobytes() for s in sketches], pa.binary()).take(at),
+                ],
+                names=[c.split()[0] for c in PARTS.split(", ")],
+            )
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each line with its tokens."""
+    for batch in batches:
+        for part in sliced(batch, "text", SLICE_BYTES):
+            lines = _Lines(part.column("text"))
+            if len(lines.first):
+                tokens = pa.ListArray.from_arrays(pa.array(lines.bounds, pa.int32()), pa.array(lines.token.view(np.int64)))
+                hashes = (pa.array(x.view(np.int64)) for x in (lines.leaf, lines.line, lines.exact))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(at("__a")).take(pa.array(np.repeat(rows, len(pair)))), pa.array(np.concatenate(keys)),
-                        pa.array([x for x in sketches for _ in pair], pa.binary()),
-                    ],
-                    names=[c.split()[0] for c in BANDS.split(", ")],
-                )
+                    [part.column("__a").take(pa.array(lines.row)), *hashes, tokens], names=[c.split()[0] for c in TOKENS.split(", ")]
+                )
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,9 +155,10 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(alike))
 
 
-def near_copies(texts: DataFrame) -> DataFrame:
+def near_copies(parts: DataFrame) -> DataFrame:
     """(__a, of): texts that are near copies of others, and one text for each such group."""
-    bands = written(texts.mapInArrow(_bands, BANDS).groupBy("band", "__a").agg(F.first("sketch").alias("sketch")))
+    sketches = parts.where("sketch is not null").select("__a", "bands", "sketch").dropDuplicates(["__a"])
+    bands = written(sketches.select("__a", F.explode("bands").alias("band"), "sketch"))
     first = bands.groupBy("band").agg(F.min(F.struct("__a", "sketch")).alias("first"), F.count("*").alias("n")).where("n > 1")
     first = written(first.select("band", F.col("first.__a").alias("b"), F.col("first.sketch").alias("other")))
     pairs = bands.join(first, "band").where("__a <> b").select("__a", "b", "sketch", "other")
@@ -158,12 +166,12 @@ def near_copies(texts: DataFrame) -> DataFrame:
     return groups.where("id <> component").select(F.col("id").alias("__a"), F.col("component").alias("of"))
 
 
-def boilerplate_lines(texts: DataFrame) -> DataFrame:
+def boilerplate_lines(texts: DataFrame, parts: DataFrame) -> DataFrame:
     """(line): hashes of the lines, with or without their digits, that are boilerplate."""
-    holders = texts.mapInArrow(_lines(False), LINES).select("leaf", "n", "__a").distinct()
+    holders = parts.select("leaf", "n", "__a").distinct()
     busy = holders.groupBy("leaf", "n").count().where(F.col("count") >= enough(F.col("n"))).select("leaf")
-    lines = texts.mapInArrow(_lines(True), LINES).join(written(busy), "leaf")
-    lines = lines.groupBy("leaf", "line", "exact", "__a").agg(F.first("tokens").alias("tokens")).join(written(near_copies(texts)), "__a", "left")
+    lines = texts.mapInArrow(_tokens, TOKENS).join(written(busy), "leaf")
+    lines = lines.groupBy("leaf", "line", "exact", "__a").agg(F.first("tokens").alias("tokens")).join(written(near_copies(parts)), "__a", "left")
     lines = lines.select("leaf", "line", "exact", F.coalesce("of", "__a").alias("body"), "tokens")
     lines = written(lines.groupBy("leaf", "line", "exact", "body").agg(F.first("tokens").alias("tokens")))
 
@@ -184,7 +192,8 @@ def boilerplate_lines(texts: DataFrame) -> DataFrame:
     recurring = ahead.select("body", *places).distinct().groupBy(*places).count().where(many)
     able = ahead.select("line", *places).distinct().join(recurring, places).select("leaf", "line")
     able = able.union(lines.where(n - LEAD <= spare).select("leaf", "line")).distinct()
-    lines = written(lines.join(able, ["leaf", "line"]))
+    # A common line has a row for each document; as a table beside it, ``able`` lets AQE split such a key.
+    lines = written(lines.join(written(able), ["leaf", "line"]))
 
     placed = lines.select("body", "leaf", n.alias("n"), F.posexplode("tokens").alias("place", "token")).distinct()
     fixed = placed.groupBy(*places).count().where(many)
@@ -213,17 +222,27 @@ def boilerplate_lines(texts: DataFrame) -> DataFrame:
     return templates.join(boilerplate, "template").select("line").union(whole).distinct()
 
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
-    """All rows and columns, with ``text`` without its boilerplate lines and ``lines_dropped``."""
-    source = keyed(documents)
+def _cleaned(documents: DataFrame) -> DataFrame:
+    """(row, text, gone): the rows as they are, their texts without boilerplate lines, and how many these are."""
+    source = keyed(documents.select(F.struct("*").alias("row"), "text"))
     texts = source.select("text", *KEY)
-    lines = texts.mapInArrow(_lines(False), LINES).withColumn("line", F.explode(F.array_distinct(F.array("line", "exact"))))
-    dropped = lines.join(written(boilerplate_lines(texts)), "line").groupBy(*KEY).agg(F.collect_set("line_no").alias("__gone"))
+    parts = written(texts.mapInArrow(_parts, PARTS))
+    lines = parts.select(*KEY, "line_no", F.explode(F.array_distinct(F.array("line", "exact"))).alias("line"))
+    dropped = lines.join(written(boilerplate_lines(texts, parts)), "line").groupBy(*KEY).agg(F.collect_set("line_no").alias("gone"))
     joined = source.join(written(dropped), KEY, "left")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return joined.withColumns(
-        {"text": F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left), "lines_dropped": F.coalesce(F.size("__gone"), F.lit(0))}
-    ).drop("__gone", *KEY)
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)
+    return joined.select("row", text.alias("text"), F.coalesce(F.size("gone"), F.lit(0)).alias("gone"))
+
+
+def _columns(documents: DataFrame, changed: dict[str, Column]) -> list[Column]:
+    return [changed.get(name, F.col("row").getField(name)).alias(name) for name in documents.columns]
+
+
+def dedup_lines(documents: DataFrame) -> DataFrame:
+    """All rows and columns, with ``text`` without its boilerplate lines and ``lines_dropped``."""
+    columns = [c for c, name in zip(_columns(documents, {"text": F.col("text")}), documents.columns) if name != "lines_dropped"]
+    return _cleaned(documents).select(*columns, F.col("gone").alias("lines_dropped"))
 
 
 @query("op7_line_templates")
@@ -234,10 +253,10 @@ def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage of the pipeline: texts without boilerplate lines; rows of which nothing is left go."""
-    rows = dedup_lines(docs)
-    gone = (F.col("lines_dropped") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    rows = rows.where(~F.coalesce(gone, F.lit(False)))
+    rows = _cleaned(docs)
+    empty = (F.col("gone") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, length).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("gone") > 0, length).otherwise(F.col("row").getField("n_chars"))
+    return rows.where(~F.coalesce(empty, F.lit(False))).select(*_columns(docs, changed))
