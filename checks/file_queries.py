@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.batch_queries import LEADERS_SQL, TPV_SQL
-from checks.files import item_text, menu_text, new_root, time_text, transaction_text, write_contract_files
+from checks.files import copy_delivery, item_text, menu_text, new_root, time_text, transaction_text, write_contract_files
 from checks.registry import query
 from checks.tables import (
     ALL_SEMESTERS,
@@ -19,6 +19,7 @@ from checks.tables import (
     part_as_menu,
     table,
 )
+from tillmetrics.__main__ import load
 from tillmetrics.plans import high_value_transactions, monthly_item_leaders, semester_store_tpv, top_buyers_per_store
 from tillmetrics.schemas import CLIENT, MENU_ITEMS, TRANSACTION_ITEMS, TRANSACTIONS, USERS
 from tillmetrics.sources import (
@@ -281,6 +282,20 @@ def landed_replaced(spark, sf_dir):
     return tpv.withColumn("store_id", F.col("store_id").cast("int"))
 
 
+@query(
+    "csv_redelivered",
+    f"""SELECT {EVENT_CLIENT_SQL} AS client_id, CAST(year(ts) AS INTEGER) AS year, 1 AS semester,
+           CAST(user_id % 10 AS VARCHAR) AS store_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS tpv
+    FROM events WHERE hour(ts) BETWEEN 6 AND 22 AND year(ts) IN (2024, 2025) AND month(ts) <= 6 AND value > 0 GROUP BY ALL""",
+)
+def csv_redelivered(spark, sf_dir):
+    """T2 in a batch run, Q3: every file twice, the copies in another folder of their sender."""
+    root = event_files(spark, sf_dir, "csv-redelivered")
+    copy_delivery(spark, root, "again")
+    transactions, *_ = load(spark, root, landing=new_root(spark, "csv-redelivered-landing"), with_users=False)
+    return semester_store_tpv(transactions)
+
+
 def user_files(spark: SparkSession, sf_dir: str, root: str, deliveries: int) -> None:
     """Users of all customers, delivered several times under one file name, from a sender folder each.
 

@@ -15,7 +15,7 @@ from tillmetrics.plans import all_results, transaction_funnel, yearly_best_month
 from tillmetrics.schemas import TRANSACTIONS
 from tillmetrics.sources import read_dataset
 from tillmetrics.sources.shared_files import SharedFiles
-from tillmetrics.streaming import Session, current_totals, finish, start_totals, stream_messages
+from tillmetrics.streaming import Session, current_totals, finish, read_session, start_totals, stream_messages
 from tillmetrics.streaming import running
 
 
@@ -113,6 +113,33 @@ def test_staged_rows_are_published_by_a_rename(spark, folder):
     assert {"_file", "_mark0"} <= set(spark.read.parquet(f"{landing}/{TRANSACTIONS}").columns)
 
 
+def test_landed_epochs_are_compacted(spark, folder, monkeypatch):
+    root, work = data.write_clients(folder("in"), "client_1"), folder("work")
+    session = Session(work)
+    check(session_answers(spark, root, work, max_files=1, compact_epochs=2))
+    assert epochs(spark, f"{session.landing}/{TRANSACTIONS}") == []
+    ids = rows(read_session(spark, session, TRANSACTIONS), "transaction_id")
+    assert len(ids) == 26
+    extra = [data.transaction("extra", 1, "10", "100", "2024-02-01 10:00:00")]
+    write_lines(f"{root}/client_id=client_1/transactions_202402.csv", data.TRANSACTION_HEADER, extra)
+    # The archive counts the epoch, then the driver is lost before the epoch is removed.
+    remove = SharedFiles.delete
+
+    def lost(self, path):
+        if "epoch=" in path and self.exists(path):
+            raise RuntimeError("driver lost")
+        remove(self, path)
+
+    monkeypatch.setattr(SharedFiles, "delete", lost)
+    with pytest.raises(Exception):
+        session_answers(spark, root, work, compact_epochs=1)
+    monkeypatch.undo()
+    assert len(rows(read_session(spark, session, TRANSACTIONS), "transaction_id")) == 27
+    answers = session_answers(spark, root, work, compact_epochs=1)
+    assert answers["q1"].filter("transaction_id = 'extra'").count() == 1
+    assert len(rows(read_session(spark, session, TRANSACTIONS), "transaction_id")) == 27
+
+
 def test_parameters_in_another_order_are_the_same(spark, folder):
     root, work = data.write_clients(folder("in"), "client_1"), folder("work")
     session_answers(spark, root, work, params=Params(years=(2024, 2025)))

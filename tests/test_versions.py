@@ -140,3 +140,13 @@ def test_missing_and_empty_answers_are_compared(spark, folder, fmt):
     empty = folder("empty")
     src.write_result(src.read_result(spark, spark.createDataFrame([], "client_id string, year int, semester int, store_id string, tpv double").schema, "q3", out, fmt).limit(0), "q3", empty, fmt, whole=True)
     assert [tuple(r)[3:] for r in verdicts(spark, empty, ["a", "b"], queries, fmt).collect()] == [(0, 0, 0, True)]
+
+
+def test_files_delivered_twice_count_once_in_a_batch_run(spark, folder):
+    root, out = data.write_clients(folder("in"), "client_1"), folder("out")
+    data.write_client(f"{root}/client_id=client_1/again")
+    check(run(spark, root, out))
+    extra = [data.transaction("extra", 1, "10", "100", "2024-03-01 10:00:00")]
+    write_lines(f"{root}/client_id=client_1/other/transactions_202406.csv", data.TRANSACTION_HEADER, extra)
+    ids = [r["transaction_id"] for r in run(spark, root, out)["q1"].collect()]
+    assert ids.count("extra") == 1 and ids.count("open") == 1

@@ -31,6 +31,7 @@ from tillmetrics.sources import (
     write_result,
 )
 from tillmetrics.sources.landing import FILE_MONTH
+from tillmetrics.sources.redelivery import has_repeated_names, with_origin
 from tillmetrics.sources.shared_files import SharedFiles
 from tillmetrics.streaming import run_session
 
@@ -46,7 +47,7 @@ def load(
     """Inputs of :func:`tillmetrics.plans.all_results`, fact data by way of ``landing`` if given.
 
     What is loaded replaces the landed rows of the same client and the same months of files, of all
-    clients and months where these are not given.
+    clients and months where these are not given. Files that were delivered twice count once.
     """
     facts = []
     for kind in (TRANSACTIONS, TRANSACTION_ITEMS):
@@ -55,8 +56,10 @@ def load(
             scope = {CLIENT: [client_id]} if client_id is not None else {}
             if months is not None:
                 scope[FILE_MONTH] = [str(month) for month in months]
-            land(rows, f"{landing}/{kind}", scope, delivered_month())
-            wanted = {"file_months": scope.get(FILE_MONTH), "clients": scope.get(CLIENT)}
+            # Most inputs hold every file once; the rows of the others keep their origin.
+            repeated = has_repeated_names(spark, root, kind, scope.get(FILE_MONTH))
+            land(with_origin(rows) if repeated else rows, f"{landing}/{kind}", scope, delivered_month())
+            wanted = {"file_months": scope.get(FILE_MONTH), "clients": scope.get(CLIENT), "once": repeated}
             rows = read_landed(spark, f"{landing}/{kind}", kind, params.years, **wanted)
         facts.append(rows)
     menu = read_dimension(spark, root, MENU_ITEMS, client_id=client_id, deduplicate=False)

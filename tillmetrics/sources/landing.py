@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmetrics.schemas import CLIENT, DATASETS
+from tillmetrics.sources.redelivery import origin_fields, without_copies
 from tillmetrics.sources.versions import EVERYTHING, Scope, VersionedSet
 
 #: Month of the delivered file, as in its name. Rows of one file may have dates of other months.
@@ -35,7 +36,7 @@ _PARTS = {"year": F.year, "month": F.month}
 
 def landing_schema(kind: str, partitions: Sequence[str]) -> T.StructType:
     """Typed columns of a dataset followed by its folder levels."""
-    levels = {CLIENT: T.StringType(), FILE_MONTH: T.StringType(), "epoch": T.LongType()}
+    levels = {CLIENT: T.StringType(), FILE_MONTH: T.StringType(), "epoch": T.LongType(), "through": T.StringType()}
     folders = [T.StructField(name, levels.get(name, T.IntegerType())) for name in partitions]
     return T.StructType([*DATASETS[kind].typed_schema.fields, *folders])
 
@@ -92,13 +93,20 @@ def read_landed(
     months: Iterable[int] | None = None,
     file_months: Iterable[str] | None = None,
     clients: Iterable[str] | None = None,
+    once: bool = False,
 ) -> DataFrame:
     """Typed rows again; ``years``, ``months`` and the others skip whole folders.
 
     The folder filter comes on top of the timestamp predicates of the plans, it
-    never replaces them.
+    never replaces them. ``once`` leaves out files that were delivered before, for copies landed
+    with the origin of their rows (see ``redelivery``).
     """
-    rows = VersionedSet(spark, path, BY_MONTH).read(landing_schema(kind, BY_MONTH))
+    schema = landing_schema(kind, BY_MONTH)
+    if once:
+        schema = T.StructType([*T.StructType.fromDDL(origin_fields()).fields, *schema.fields])
+    rows = VersionedSet(spark, path, BY_MONTH).read(schema)
+    if once:
+        rows = without_copies(rows)
     for name, wanted in (("year", years), ("month", months), (FILE_MONTH, file_months), (CLIENT, clients)):
         if wanted is not None:
             rows = rows.filter(F.col(name).isin(*wanted))

@@ -19,14 +19,29 @@ from tillmetrics.streaming.running import (
     start_totals,
     write_epoch,
 )
-from tillmetrics.streaming.session import Session, batch_counts, close_clients, closed_clients, run_session
+from tillmetrics.streaming.session import (
+    Answers,
+    Session,
+    announcements,
+    batch_counts,
+    close_clients,
+    closed_clients,
+    compact_landing,
+    completed_clients,
+    read_session,
+    run_session,
+)
 
 __all__ = [
+    "Answers",
     "Session",
     "announced_files",
+    "announcements",
     "batch_counts",
     "close_clients",
     "closed_clients",
+    "compact_landing",
+    "completed_clients",
     "current_totals",
     "finish",
     "fresh_batches",
@@ -35,6 +50,7 @@ __all__ = [
     "observed",
     "read_batch_files",
     "read_epochs",
+    "read_session",
     "run_session",
     "start_append",
     "start_totals",

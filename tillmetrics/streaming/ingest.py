@@ -57,7 +57,7 @@ _CONTRACT_NAME = "^({})$".format(
 NO_SENDER = "unknown"
 #: Columns of staged rows, beside those of their dataset.
 _FILE, _MARKS = "_file", ("_mark0", "_mark1")
-_FOLDERS = (EPOCH, *BY_YEAR)
+FOLDERS = (EPOCH, *BY_YEAR)
 
 MAX_FILES = 10_000
 
@@ -224,13 +224,13 @@ def _staged_schema(kind: str) -> T.StructType:
 
 def _prepare_landing(spark: SparkSession, landing: str, kind: str) -> None:
     """The folder must exist even when no file of this dataset ever arrives."""
-    empty = spark.createDataFrame([], landing_schema(kind, _FOLDERS))
-    empty.write.mode("ignore").partitionBy(*_FOLDERS).parquet(f"{landing}/{kind}")
+    empty = spark.createDataFrame([], landing_schema(kind, FOLDERS))
+    empty.write.mode("ignore").partitionBy(*FOLDERS).parquet(f"{landing}/{kind}")
 
 
 def stream_landed(spark: SparkSession, landing: str, kind: str, max_files: int = MAX_FILES) -> DataFrame:
     """Typed rows of the landing area as a stream, in parquet files."""
-    reader = spark.readStream.schema(landing_schema(kind, _FOLDERS)).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(landing_schema(kind, FOLDERS)).option("maxFilesPerTrigger", max_files)
     reader = reader.option("maxFileAge", MAX_FILE_AGE)
     return reader.parquet(f"{landing}/{kind}").drop(EPOCH, "year")
 

@@ -32,9 +32,11 @@ from tillmetrics.plans.buyers import BUYER
 from tillmetrics.plans.items import ITEM_MONTH
 from tillmetrics.plans.stores import SEMESTER_STORE
 from tillmetrics.schemas import CLIENT, TRANSACTION_ITEMS, TRANSACTIONS
+from tillmetrics.sources.landing import landing_schema
 from tillmetrics.sources.results import write_result
 from tillmetrics.sources.shared_files import SharedFiles
-from tillmetrics.streaming.ingest import LEDGER_SCHEMA, MAX_FILES, land_stream, sender_columns, stream_landed
+from tillmetrics.sources.versions import VersionedSet
+from tillmetrics.streaming.ingest import FOLDERS, LEDGER_SCHEMA, MAX_FILES, land_stream, sender_columns, stream_landed
 from tillmetrics.streaming.running import (
     EPOCH,
     current_totals,
@@ -47,6 +49,9 @@ from tillmetrics.streaming.running import (
 _CLOSED_SCHEMA = T.StructType([T.StructField(CLIENT, T.StringType())])
 
 
+#: Landed epochs that make a compaction worth while, and folder levels of what it leaves.
+COMPACT_EPOCHS = 100
+_ARCHIVED = ("through", CLIENT, "year")
 #: Fixed value: name of the files in which senders announce the number of their batches.
 ANNOUNCED = "announced.csv"
 
@@ -159,6 +164,48 @@ def completed_clients(spark: SparkSession, root: str, session: Session) -> list[
     return [row[CLIENT] for row in whole.filter("whole").select(CLIENT).collect()]
 
 
+def _archive(spark: SparkSession, session: Session, kind: str) -> VersionedSet:
+    return VersionedSet(spark, f"{session.work}/archive/{kind}", _ARCHIVED)
+
+
+def _archived(spark: SparkSession, session: Session, kind: str) -> int:
+    """The last landed epoch that the archive holds."""
+    _, loads = _archive(spark, session, kind).current()
+    return max([int(value) for load in loads for value in load["scope"]["through"]], default=-1)
+
+
+def compact_landing(spark: SparkSession, session: Session, epochs: int = COMPACT_EPOCHS) -> None:
+    """Move landed epochs that all totals have taken in to an archive of fewer, larger files.
+
+    Only at rest, after :func:`aggregate`. Nothing is done for fewer than so many epochs. Epochs leave the landing area once
+    the archive counts them; those that a crash has left there are removed first.
+    """
+    files = SharedFiles(spark)
+    for kind in (TRANSACTIONS, TRANSACTION_ITEMS):
+        done = _archived(spark, session, kind)
+        landed = [int(name.split("=")[1]) for name in files.names(f"{session.landing}/{kind}") if name.startswith(f"{EPOCH}=")]
+        waiting = [epoch for epoch in landed if epoch > done]
+        if len(waiting) >= epochs:
+            rows = _landed_rows(spark, session, kind).filter(F.col(EPOCH) > done).drop(EPOCH)
+            rows = rows.withColumn("through", F.lit(max(waiting)).cast("string")).hint("rebalance", CLIENT, "year")
+            _archive(spark, session, kind).load(rows, {"through": [str(max(waiting))]})
+            done = max(waiting)
+        for epoch in landed:
+            if epoch <= done:
+                files.delete(f"{session.landing}/{kind}/{EPOCH}={epoch}")
+
+
+def _landed_rows(spark: SparkSession, session: Session, kind: str) -> DataFrame:
+    return spark.read.schema(landing_schema(kind, FOLDERS)).parquet(f"{session.landing}/{kind}")
+
+
+def read_session(spark: SparkSession, session: Session, kind: str) -> DataFrame:
+    """All accepted rows of a dataset, archived or not."""
+    fresh = _landed_rows(spark, session, kind).filter(F.col(EPOCH) > _archived(spark, session, kind)).drop(EPOCH)
+    archived = _archive(spark, session, kind).read(landing_schema(kind, _ARCHIVED)).drop("through")
+    return archived.unionByName(fresh).drop("year")
+
+
 def _landed(spark: SparkSession, session: Session, kind: str, max_files: int) -> DataFrame:
     return stream_landed(spark, session.landing, kind, max_files)
 
@@ -222,6 +269,7 @@ def run_session(
     close: DataFrame | None = None,
     max_files: int = MAX_FILES,
     only_complete: bool = False,
+    compact_epochs: int = COMPACT_EPOCHS,
 ) -> Answers:
     """Process everything available below ``root`` and answer the questions.
 
@@ -242,6 +290,7 @@ def run_session(
     if out:
         for name, answer in [*answers.items(), ("stages", answers.stages)]:
             write_result(answer, name, out)
+    compact_landing(spark, session, compact_epochs)
     if complete:
         close_clients(spark.createDataFrame([(c,) for c in complete], _CLOSED_SCHEMA), session)
     if close is not None:
