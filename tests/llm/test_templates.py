@@ -1,6 +1,8 @@
 """Which documents count as unlike, and how many of them a line needs."""
 
+import math
 import random
+from collections import defaultdict
 
 from tests.llm.helpers import documents
 from tillmetrics.llm import line_templates
@@ -88,3 +90,87 @@ def test_columns_with_the_operators_names_pass(spark):
     kept = line_templates.drop_lines(spark, odd, "")
     assert kept.columns == odd.columns
     assert {(r["lines_dropped"], r["__a"], r["row"], r["n_chars"] == len(r["text"])) for r in kept.collect()} == {(9, "a", "r", True)}
+
+
+# --- the whole tree by plain loops ---------------------------------------------------------------
+
+
+VARIABLE = "<*>"
+
+
+def enough(tokens):
+    return max(line_templates.LEAST_LONG, min(line_templates.LEAST_BODIES, -(-line_templates.EVIDENCE // tokens)))
+
+
+def plainly(texts):
+    """{text: its rest}, for texts none of which is a near copy of another."""
+    lead, least_fixed, least_plain = line_templates.LEAD, line_templates.LEAST_FIXED, line_templates.LEAST_PLAIN
+    parsed = {}
+    for text in texts:
+        lines = []
+        for number, line in enumerate(text.split("\n")):
+            exact = tuple(line.split())
+            masked = tuple(VARIABLE if any(c in "0123456789" for c in t) else t for t in exact)
+            if exact:
+                lines.append((number, (len(exact), masked[:lead]), masked, exact))
+        parsed[text] = lines
+
+    def bodies(rows):
+        """How many texts there are for each key."""
+        found = defaultdict(set)
+        for key, text in rows:
+            found[key].add(text)
+        return {key: len(held) for key, held in found.items()}
+
+    in_leaf = bodies((leaf, text) for text, lines in parsed.items() for _, leaf, _, _ in lines)
+    rows = {(leaf, masked, exact, text) for text, lines in parsed.items() for _, leaf, masked, exact in lines if in_leaf[leaf] >= enough(leaf[0])}
+    gone = {exact for exact, n in bodies((e, t) for _, m, e, t in rows if m != e).items() if n >= enough(len(exact))}
+
+    def ahead(masked):
+        n, plain = len(masked), sum(t != VARIABLE for t in masked)
+        spare = n - max(math.ceil(least_fixed * plain - 1e-9), math.ceil(least_plain * n - 1e-9))
+        return None if n - lead <= spare else list(enumerate(masked[lead : lead + spare + 1]))
+
+    looked_at = {leaf_line: ahead(leaf_line[1]) for leaf_line in {(leaf, masked) for leaf, masked, _, _ in rows}}
+    early = bodies(((leaf, p, t), text) for leaf, m, _, text in rows for p, t in looked_at[leaf, m] or () if t != VARIABLE)
+    able = {
+        (leaf, m) for (leaf, m), places in looked_at.items()
+        if places is None or any(early.get((leaf, p, t), 0) >= enough(len(m)) for p, t in places)
+    }
+    rows = {(leaf, m, text) for leaf, m, _, text in rows if (leaf, m) in able}
+    fixed = bodies(((leaf, p, t), text) for leaf, m, text in rows for p, t in enumerate(m) if t != VARIABLE)
+    templates = defaultdict(set)
+    for leaf, m in able:
+        for least in (1, line_templates.LEAST_BODIES):
+            kept = frozenset((p, t) for p, t in enumerate(m) if fixed.get((leaf, p, t), 0) >= max(least, enough(len(m))))
+            plain = sum(t != VARIABLE for t in m)
+            if len(kept) >= least_fixed * plain - 1e-9 and len(kept) >= least_plain * len(m) - 1e-9:
+                templates[leaf, kept].add(m)
+    for (leaf, kept), lines in templates.items():
+        holders = {text for other, m, text in rows if other == leaf and m in lines}
+        if kept and len(holders) >= enough(len(kept)):
+            gone |= lines
+    return {
+        text: "\n".join(
+            line for number, line in enumerate(text.split("\n"))
+            if not any(number == at and (m in gone or e in gone) for at, _, m, e in lines)
+        )
+        for text, lines in parsed.items()
+    }
+
+
+def test_the_tree_equals_plain_loops(spark):
+    rng, texts = random.Random(8), []
+    shapes = [words(70 + k, rng.choice([3, 6, 9, 14, 25])).split(" ") for k in range(14)]
+    for k in range(90):
+        lines = [words(3000 + 10 * k + j, 12) for j in range(5)]
+        for shape in rng.sample(shapes, 3):
+            line = list(shape)
+            for place in rng.sample(range(len(line)), rng.randrange(1 + len(line) // 3)):
+                line[place] = rng.choice([str(rng.randrange(40)), words(rng.randrange(6), 1), words(100 * k + place, 1)])
+            lines.insert(rng.randrange(len(lines)), " ".join(line))
+        texts.append("\n".join([*lines, "", rng.choice(["  ", "a 1", "2024 2025 5 7", "end of text"])]))
+    want = plainly(texts)
+    got = dropped(spark, list(enumerate(texts)))
+    assert [got[k] for k in range(90)] == [want[t] for t in texts]
+    assert 60 < sum(want[t] != t for t in texts) < 91 and sum(w.count("\n") for w in want.values()) > 400
