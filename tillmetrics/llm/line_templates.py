@@ -223,8 +223,9 @@ def boilerplate_lines(texts: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def _cleaned(documents: DataFrame) -> DataFrame:
-    """(row, text, gone): the rows as they are, their texts without boilerplate lines, and how many these are."""
-    source = keyed(documents.select(F.struct("*").alias("row"), "text"))
+    """(row, text, gone): the other columns, the texts without boilerplate lines, and how many lines these were."""
+    others = [F.col(name) for name in documents.columns if name != "text"]
+    source = keyed(documents.select(F.struct(F.lit(0).alias("text"), *others).alias("row"), "text"))
     texts = source.select("text", *KEY)
     parts = written(texts.mapInArrow(_parts, PARTS))
     lines = parts.select(*KEY, "line_no", F.explode(F.array_distinct(F.array("line", "exact"))).alias("line"))
