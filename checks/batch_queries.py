@@ -557,7 +557,8 @@ def diff_sample_pairs_query(spark, sf_dir):
 
 USER_BAGS_SQL = """
     WITH n AS (SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, CAST(user_id % 50 AS VARCHAR) AS client_id, count(*) AS n FROM events GROUP BY ALL),
-    clients AS (SELECT client_id, CAST(sum(n) AS BIGINT) AS held FROM n GROUP BY ALL),
+    clients AS (SELECT CAST(r.range AS VARCHAR) AS client_id, CAST(coalesce(sum(n), 0) AS BIGINT) AS held
+                FROM range(50) r LEFT JOIN n ON client_id = CAST(r.range AS VARCHAR) GROUP BY r.range),
     pairs AS (SELECT a.client_id AS left_client, b.client_id AS right_client, a.held AS left_rows, b.held AS right_rows
               FROM clients a JOIN clients b ON CAST(a.client_id AS INTEGER) < CAST(b.client_id AS INTEGER)),
     shared AS (SELECT a.client_id AS left_client, b.client_id AS right_client, CAST(sum(least(a.n, b.n)) AS BIGINT) AS both_hold

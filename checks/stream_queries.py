@@ -29,7 +29,7 @@ from checks.tables import (
     table,
 )
 from tillmetrics.functions import in_hours
-from tillmetrics.operators import keep_referenced
+from tillmetrics.operators import keep_referenced, union_all
 from tillmetrics.plans import (
     buyer_counts,
     high_value_transactions,
@@ -269,11 +269,11 @@ def _session_files(spark: SparkSession, sf_dir: str, label: str) -> str:
     return root
 
 
-def _session_answer(spark: SparkSession, sf_dir: str, name: str, params=ORDER_PARAMS) -> DataFrame:
-    root = _session_files(spark, sf_dir, f"stream-session-{name}")
+def _session_answers(spark: SparkSession, sf_dir: str, label: str, params) -> dict[str, DataFrame]:
+    root = _session_files(spark, sf_dir, label)
     menu = read_dimension(spark, root, MENU_ITEMS, deduplicate=False)
     users = read_dimension(spark, root, USERS, deduplicate=False)
-    return run_session(spark, root, new_root(spark, f"stream-session-{name}-work"), menu, users, params)[name]
+    return run_session(spark, root, new_root(spark, f"{label}-work"), menu, users, params)
 
 
 @query(
@@ -282,33 +282,30 @@ def _session_answer(spark: SparkSession, sf_dir: str, name: str, params=ORDER_PA
 )
 def stream_session(spark, sf_dir):
     """T1-T8 from files to the answers of all questions; the item leaders are returned."""
-    return _session_answer(spark, sf_dir, "q2")
+    return _session_answers(spark, sf_dir, "stream-session", ORDER_PARAMS)["q2"]
 
 
 @query(
-    "stream_session_q1",
-    """SELECT 'client_1' AS client_id, CAST(o_orderkey AS VARCHAR) AS transaction_id, CAST(c_nationkey AS VARCHAR) AS store_id,
-           o_custkey AS user_id, o_totalprice AS final_amount, o_orderdate AS created_at
-    FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) IN (1996, 1997) AND o_totalprice >= 75""",
+    "stream_session_answers",
+    f"""SELECT 'q1' AS question, c_nationkey AS store_id, o_custkey AS user_id, CAST(o_orderkey AS VARCHAR) AS detail, o_totalprice AS value
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) IN (1996, 1997) AND o_totalprice >= 75
+    UNION ALL SELECT 'q3', store_id, NULL, year || '-' || semester, tpv FROM ({TPV_SQL.format(client="", semesters="")})
+    UNION ALL SELECT 'q4', store_id, user_id, CAST(birthday AS VARCHAR), CAST("count" AS DOUBLE) FROM ({LAST_BUYERS_SQL})""",
 )
-def stream_session_q1(spark, sf_dir):
-    """Q1 of the same session, hours open all day."""
-    found = _session_answer(spark, sf_dir, "q1", ALL_SEMESTERS)
-    return found.select(CLIENT, "transaction_id", "store_id", "user_id", "final_amount", "created_at")
-
-
-@query("stream_session_q3", TPV_SQL.format(client="'client_1' AS client_id,", semesters=""))
-def stream_session_q3(spark, sf_dir):
-    """Q3 of the same session."""
-    found = _session_answer(spark, sf_dir, "q3", ALL_SEMESTERS)
-    return found.withColumn("store_id", F.col("store_id").cast("int"))
-
-
-@query("stream_session_q4", LAST_BUYERS_SQL)
-def stream_session_q4(spark, sf_dir):
-    """Q4 of the same session, birthdates from six deliveries."""
-    found = _session_answer(spark, sf_dir, "q4", ALL_SEMESTERS)
-    return found.withColumn("store_id", F.col("store_id").cast("int"))
+def stream_session_answers(spark, sf_dir):
+    """Q1, Q3 and Q4 of one session; hours open all day, birthdates from six deliveries."""
+    found = _session_answers(spark, sf_dir, "stream-session-answers", ALL_SEMESTERS)
+    store, nobody = F.col("store_id").cast("int").alias("store_id"), F.lit(None).cast("bigint").alias("user_id")
+    details = {
+        "q1": ("user_id", F.col("transaction_id"), F.col("final_amount")),
+        "q3": (nobody, F.concat_ws("-", "year", "semester"), F.col("tpv")),
+        "q4": ("user_id", F.col("birthday").cast("string"), F.col("count").cast("double")),
+    }
+    rows = [
+        found[name].select(F.lit(name).alias("question"), store, user, detail.alias("detail"), value.alias("value"))
+        for name, (user, detail, value) in details.items()
+    ]
+    return union_all(*rows)
 
 
 def _announce(spark: SparkSession, root: str, added: dict[str, int]) -> None:
