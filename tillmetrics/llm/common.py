@@ -6,6 +6,7 @@ import sys
 import types
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmetrics.sources.shared_files import SharedFiles
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -257,12 +260,32 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return getattr(home, name)
 
 
-def written(df: DataFrame, by: str | None = None) -> DataFrame:
+#: Folders of the tables written inside each of the ``scratch_tables`` that are open.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes inside are removed at the end, but for ``lasting`` ones.
+
+    Whatever is used later has to be written by then: a lazy result that still reads a removed table fails.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for folder in _SCRATCH.pop():
+            SharedFiles(spark).delete(folder)
+
+
+def written(df: DataFrame, by: str | None = None, lasting: bool = False) -> DataFrame:
     """The same rows as a Parquet table in the shared folder.
 
     Unlike ``stored``, its size is known to the planner, which broadcasts it in a join
     only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     folder = shared_folder(df.sparkSession)
+    if _SCRATCH and not lasting:
+        _SCRATCH[-1].append(folder)
     (df.write.partitionBy(by) if by else df.write).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U, Words, components, mixed, query, sliced, table, written
+from .common import U, Words, components, mixed, query, scratch_tables, sliced, table, written
 
 LEAD = 2
 LEAST_BODIES = 10
@@ -227,10 +227,12 @@ def _cleaned(documents: DataFrame) -> DataFrame:
     others = [F.col(name) for name in documents.columns if name != "text"]
     source = keyed(documents.select(F.struct(F.lit(0).alias("text"), *others).alias("row"), "text"))
     texts = source.select("text", *KEY)
-    parts = written(texts.mapInArrow(_parts, PARTS))
-    lines = parts.select(*KEY, "line_no", F.explode(F.array_distinct(F.array("line", "exact"))).alias("line"))
-    dropped = lines.join(written(boilerplate_lines(texts, parts)), "line").groupBy(*KEY).agg(F.collect_set("line_no").alias("gone"))
-    joined = source.join(written(dropped), KEY, "left")
+    with scratch_tables(documents.sparkSession):
+        parts = written(texts.mapInArrow(_parts, PARTS))
+        lines = parts.select(*KEY, "line_no", F.explode(F.array_distinct(F.array("line", "exact"))).alias("line"))
+        found = lines.join(written(boilerplate_lines(texts, parts)), "line")
+        dropped = written(found.groupBy(*KEY).agg(F.collect_set("line_no").alias("gone")), lasting=True)
+    joined = source.join(dropped, KEY, "left")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)
     return joined.select("row", text.alias("text"), F.coalesce(F.size("gone"), F.lit(0)).alias("gone"))
