@@ -54,7 +54,31 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    with shuffles_removed(spark):
+        # The setting holds for what is planned from here on, so the rows are asked for anew.
+        return df.select("*").checkpoint()
+
+
+#: Fixed value: with this setting Spark removes the shuffle files of an execution when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Executions that begin inside give their shuffle files back when they end.
+
+    For tables that are written once and read from storage afterwards. A lost executor is made good while the
+    execution runs, as always.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 # --- words of many texts at once ----------------------------------------------------
@@ -287,5 +311,6 @@ def written(df: DataFrame, by: str | None = None, lasting: bool = False) -> Data
     folder = shared_folder(df.sparkSession)
     if _SCRATCH and not lasting:
         _SCRATCH[-1].append(folder)
-    (df.write.partitionBy(by) if by else df.write).parquet(folder)
+    with shuffles_removed(df.sparkSession):
+        (df.write.partitionBy(by) if by else df.write).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
