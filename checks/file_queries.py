@@ -130,10 +130,10 @@ def csv_months(spark, sf_dir):
     return with_client(rows, "tagged").groupBy(CLIENT, month).agg(F.count(F.lit(1)).alias("orders"))
 
 
-def leader_files(spark: SparkSession, sf_dir: str, label: str) -> str:
-    """Line items and two menu deliveries; the later one holds the right names."""
+def leader_files(spark: SparkSession, sf_dir: str, label: str, again: str | None = None) -> str:
+    """Line items, with ``again`` delivered twice, and two menu deliveries; the later one holds the right names."""
     root = new_root(spark, label)
-    write_contract_files(item_text(monthly(lineitem_as_items(spark, sf_dir))), TRANSACTION_ITEMS, root)
+    write_contract_files(item_text(monthly(lineitem_as_items(spark, sf_dir))), TRANSACTION_ITEMS, root, again=again)
     menu = menu_text(part_as_menu(spark, sf_dir))
     outdated = menu.withColumn("item_name", F.concat(F.lit("old "), F.col("item_name")))
     both = outdated.withColumn("_delivery", F.lit(0)).union(menu.withColumn("_delivery", F.lit(1)))

@@ -15,6 +15,7 @@ from tillmetrics.session import new_work_dir
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MONTH = "file_month"
+DELIVERY = "delivery"
 
 
 def time_text(ts: Column) -> Column:
@@ -38,21 +39,36 @@ def _files(spark: SparkSession, path: str) -> list:
 
 
 def write_contract_files(
-    rows: DataFrame, kind: str, root: str, header: bool = True, sender: str = "part", single_line: bool = False
+    rows: DataFrame,
+    kind: str,
+    root: str,
+    header: bool = True,
+    sender: str = "part",
+    single_line: bool = False,
+    again: str | None = None,
 ) -> None:
-    """Write text rows that carry ``client_id`` and, for monthly datasets, ``file_month``."""
+    """Write text rows that carry ``client_id`` and, for monthly datasets, ``file_month``.
+
+    With ``again`` the task that writes a file also writes a copy of it, as :func:`copy_delivery` leaves it.
+    """
     spark = rows.sparkSession
     keys = [CLIENT, MONTH] if MONTH in rows.columns else [CLIENT]
     staging = f"{root}/_staging-{kind}-{sender}"
+    if again:
+        rows = rows.withColumn(DELIVERY, F.explode(F.lit(["first", again])))
+        keys.append(DELIVERY)
     writer = rows.write.partitionBy(*keys).mode("error").option("header", header)
     if single_line:  # the line already is the row
         writer.option("sep", "\u0001").option("quote", "").csv(staging)
     else:
         writer.csv(staging)
-    for number, file in enumerate(_files(spark, staging)):
+    numbers: dict[tuple, int] = {}
+    for file in _files(spark, staging):
         folder = dict(part.split("=") for part in file.toString().split("/") if "=" in part)
+        copied = folder.pop(DELIVERY, "first") != "first"
+        number = numbers.setdefault((*folder.values(), file.getName()), len(numbers))  # a copy has that of its file
         month = f"_{folder[MONTH]}" if MONTH in folder else ""
-        target = f"{root}/{CLIENT}={folder[CLIENT]}/sender={sender}{number}"
+        target = f"{root}/{CLIENT}={folder[CLIENT]}/sender={sender}{number}" + (f"/{again}" if copied else "")
         target_path, fs = _file_system(spark, target)
         fs.mkdirs(target_path)
         fs.rename(file, _file_system(spark, f"{target}/{kind}{month}.csv")[0])

@@ -254,7 +254,7 @@ def stream_closed(spark, sf_dir):
 
 def _session_files(spark: SparkSession, sf_dir: str, label: str) -> str:
     """Items, menu, transactions and users of one client, the facts delivered twice."""
-    root = leader_files(spark, sf_dir, label)
+    root = leader_files(spark, sf_dir, label, again="again")
     orders = orders_as_transactions(spark, sf_dir).withColumns(
         {
             "payment_method_id": F.lit(1),
@@ -263,9 +263,8 @@ def _session_files(spark: SparkSession, sf_dir: str, label: str) -> str:
             "discount_applied": F.lit(0.0),
         }
     )
-    write_contract_files(transaction_text(monthly(orders)), TRANSACTIONS, root)
+    write_contract_files(transaction_text(monthly(orders)), TRANSACTIONS, root, again="again")
     user_files(spark, sf_dir, root, 6)
-    copy_delivery(spark, root, "again")
     return root
 
 

@@ -13,9 +13,10 @@ some 200 MB for a million files.
 Two ways in, by batch size:
 
 * :func:`land_stream` for files of any size. The stream carries file *names*; an ordinary job, which splits the
-  files over all tasks, reads each once: it stages the typed rows together with hashes of
-  their lines. Fingerprints are sums over those hashes. Where every file is new, the staged folder
-  becomes the landed one by a rename; else the rows of copies are left out.
+  files over all tasks, stages the typed rows together with hashes of
+  their lines. Fingerprints are sums over those hashes, and the staged folder
+  becomes the landed one by a rename. Where a client, sender and name come again, nothing is staged: the files of that
+  dataset are read for their fingerprints, and those accepted a second time for their rows.
 * :func:`stream_messages` for message-sized files (tens of kilobytes). One file is
   one row until it is accepted, which also allows the content fingerprint.
 """
@@ -110,23 +111,27 @@ def _comparable(path: Column, encoded: bool) -> Column:
     return F.regexp_replace(path, "^([a-z]+):/+", "$1:/")
 
 
-def staged_rows(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
-    """Typed rows of the named files, with their file and two hashes of their line."""
+def _marked_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines of the named files, with their client, their file and two hashes."""
     reader = csv_options(spark.read, T.StructType([T.StructField("line", T.StringType())]))
     lines = reader.option("sep", NO_SEPARATOR).option("recursiveFileLookup", True).csv(list(paths))
-    lines = lines.select(
+    return lines.select(
         "line",
         _folder_value(F.col("_metadata.file_path"), CLIENT).alias(CLIENT),
         _comparable(F.col("_metadata.file_path"), True).alias(_FILE),
         *[F.xxhash64(F.lit(seed), "line").alias(name) for seed, name in enumerate(_MARKS)],
     )
-    return typed(split_lines(lines, kind).drop("line", "is_bad_row"), kind)
+
+
+def staged_rows(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
+    """Typed rows of the named files, with their file and two hashes of their line."""
+    return typed(split_lines(_marked_lines(spark, paths), kind).drop("line", "is_bad_row"), kind)
 
 
 def content_marks(staged: DataFrame) -> DataFrame:
-    """(file, content): a fingerprint of the lines of each staged file, whatever their order.
+    """(file, content): a fingerprint of the lines of each file, whatever their order.
 
-    Reads three columns of the staged rows; each task sends one row per file.
+    Reads three columns of the staged rows or marked lines; each task sends one row per file.
     """
     sums = [F.sum(F.col(name).cast("decimal(38,0)")).cast("string") for name in _MARKS]
     marks = staged.groupBy(F.col(_FILE).alias("file"))
@@ -142,6 +147,14 @@ def fresh_batches(announced: DataFrame, marks: DataFrame, known: DataFrame) -> D
     return once.select(*CONTENT_KEY, "file.*").join(known.select(*CONTENT_KEY), list(CONTENT_KEY), "left_anti")
 
 
+def _repeated_kinds(announced: DataFrame, known: DataFrame) -> set[str]:
+    """Datasets of which some file may be a copy: another one or a known batch has its client, sender and name."""
+    keyed = announced.groupBy("dataset", *BATCH_KEY).agg(F.count(F.lit(1)).alias("files"))
+    seen = keyed.join(known.select(*BATCH_KEY), list(BATCH_KEY), "left_semi")
+    found = union_all(keyed.filter("files > 1").select("dataset"), seen.select("dataset"))
+    return {row["dataset"] for row in found.distinct().collect()}
+
+
 def read_batch_files(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
     """Typed rows of the named files, client taken from the folder name."""
     reader = csv_options(spark.read, DATASETS[kind].scan_schema).option("recursiveFileLookup", True)
@@ -163,7 +176,7 @@ def land_stream(
 
     A micro-batch overwrites its own ``epoch`` folder, so a repeated micro-batch after
     a failure does not repeat rows. Files of closed clients are left out before any of
-    them is read, and every other file is read once. The accepted batches of each epoch are kept in ``ledger``, and copies
+    them is read, and every other file is read once, or twice where names come again. The accepted batches of each epoch are kept in ``ledger``, and copies
     of known ones in ``<ledger>-copies``; the driver sees their file names only, at
     most ``max_files`` at a time.
     """
@@ -182,27 +195,31 @@ def land_stream(
         found = announced.select("dataset", "path").collect()
         if not found:
             return
-        staged = {}
+        paths = {kind: [row["path"] for row in found if row["dataset"] == kind] for kind in kinds}
+        known = read_epochs(spark, schema, ledger).filter(F.col(EPOCH) < epoch)
+        repeated, staged, marked = _repeated_kinds(announced, known), {}, []
         for kind in kinds:
-            paths = [row["path"] for row in found if row["dataset"] == kind]
-            if paths:
+            if kind in repeated:  # what a copy holds is not written
+                marked.append(_marked_lines(spark, paths[kind]))
+            elif paths[kind]:
                 folder = f"{landing}/_staged/{kind}"
-                land(staged_rows(spark, paths, kind), folder, BY_YEAR)
+                land(staged_rows(spark, paths[kind], kind), folder, BY_YEAR)
                 staged[kind] = spark.read.schema(_staged_schema(kind)).parquet(folder)
-        marks = union_all(*[content_marks(rows) for rows in staged.values()])
-        known = read_epochs(spark, schema, ledger).filter(F.col(EPOCH) < epoch)
+                marked.append(staged[kind])
+        marks = union_all(*[content_marks(rows) for rows in marked])
         write_epoch(fresh_batches(announced, marks, known).select(*schema.names), ledger, epoch)
         batches = spark.read.schema(schema).parquet(f"{ledger}/{EPOCH}={epoch}")
         copies = announced.join(batches.select("path"), "path", "left_anti")
         write_epoch(copies, f"{ledger}-copies", epoch)
-        copied = {row["dataset"] for row in copies.select("dataset").distinct().collect()}
-        for kind, rows in staged.items():
+        for kind in kinds:
             target = f"{landing}/{kind}/{EPOCH}={epoch}"
-            if kind in copied:
-                accepted = batches.select(_comparable(F.col("path"), False).alias(_FILE))
-                land(rows.join(accepted, _FILE, "left_semi").drop(_FILE, *_MARKS, "year"), target, BY_YEAR)
-            else:
+            if kind in repeated:
+                accepted = [row["path"] for row in batches.filter(F.col("dataset") == kind).select("path").collect()]
                 files.delete(target)  # of the same epoch before a failure
+                if accepted:
+                    land(staged_rows(spark, accepted, kind).drop(_FILE, *_MARKS), target, BY_YEAR)
+            elif kind in staged:
+                files.delete(target)
                 files.move(f"{landing}/_staged/{kind}", target)
 
     read_epochs(spark, schema, ledger)  # makes the folder
