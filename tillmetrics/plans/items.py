@@ -31,8 +31,8 @@ def item_month_totals(transaction_items: DataFrame, params: Params = Params()) -
 def rank_items(totals: DataFrame, menu_items: DataFrame) -> DataFrame:
     """Both leaders of every month in one aggregation, then their names.
 
-    ``menu_items`` may hold several rows per item when it has an ``arrival`` column: only the items that lead
-    are then looked for, and the last row of each counts.
+    Only the items that lead are looked for in ``menu_items``. It may hold several rows per item when it has an ``arrival``
+    column: the last row of each then counts.
     """
     leaders = totals.groupBy(*MONTH).agg(
         leader_of("sold_count", "item_id").alias("by_count"),
@@ -60,13 +60,20 @@ def rank_items(totals: DataFrame, menu_items: DataFrame) -> DataFrame:
 
 
 def _names_of(menu_items: DataFrame, leaders: DataFrame) -> DataFrame:
-    """One row per item; of several, the last of the items asked for."""
-    if ARRIVAL not in menu_items.columns:
-        return menu_items
+    """The menu rows of items that lead; with an arrival column the last row of each item.
+
+    A menu of any size meets the few leaders while it is read, so no task holds it as a whole.
+    """
     keys = [CLIENT, "item_id"]
-    asked = [leaders.select(CLIENT, F.col(f"{top}_item_id").alias("item_id")) for top in ("top_count", "top_sum")]
-    rows = menu_items.select(*keys, "item_name", ARRIVAL)
-    return last_wins(rows, keys, ARRIVAL, asked=asked[0].unionByName(asked[1])).drop(ARRIVAL)
+    asked = leaders.select(
+        F.col(CLIENT).alias("asking"), F.explode(F.array("top_count_item_id", "top_sum_item_id")).alias("asked_id")
+    )
+    # The null-safe client adds no filter below the totals, so they are worked out once for this join and for the answer.
+    wanted = menu_items[CLIENT].eqNullSafe(asked["asking"]) & (menu_items["item_id"] == asked["asked_id"])
+    rows = menu_items.join(asked, wanted, "left_semi")
+    if ARRIVAL not in menu_items.columns:
+        return rows
+    return last_wins(rows.select(*keys, "item_name", ARRIVAL), keys, ARRIVAL).drop(ARRIVAL)
 
 
 def monthly_item_leaders(
