@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tillmetrics.llm.common import SHUFFLE_CLEANUP, scratch_tables, shuffles_removed, stored, written
+from tillmetrics.llm import common
+from tillmetrics.llm.common import SHUFFLE_CLEANUP, components, scratch_tables, shuffles_removed, stored, written
 
 
 @pytest.mark.parametrize("keep", [stored, written])
@@ -33,3 +34,15 @@ def test_scratch_tables_go_and_lasting_ones_stay(spark):
     assert stays.count() == 3
     with pytest.raises(Exception):
         gone.collect()
+
+
+@pytest.mark.parametrize("most", [100_000, 7])
+def test_few_edges_need_no_rounds(spark, monkeypatch, most):
+    """A chain dealt over many partitions; with few edges a task, the rounds join what tasks have left."""
+    kept = []
+    monkeypatch.setattr(common, "TASK_EDGES", most)
+    monkeypatch.setattr(common, "stored", lambda df: kept.append(df) or stored(df))
+    chain = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(71, 70)], "a long, b long"))
+    got = sorted(map(tuple, components(chain.repartition(13)).collect()))
+    assert got == [(k, 0) for k in range(61)] + [(70, 70), (71, 70)]
+    assert len(kept) == 2 if most > 60 else len(kept) > 2

@@ -241,17 +241,36 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(forest)
 
 
+#: Edges that one task reduces to stars.
+TASK_EDGES = 100_000
+
+
+def _reduced(edges: DataFrame) -> DataFrame:
+    """Stars of the stored edges, in as many tasks as their number asks for."""
+    tasks = 1 + edges.count() // TASK_EDGES
+    return stored(edges.coalesce(tasks).mapInArrow(_local_stars, "a long, b long"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether no id is both a centre and a member, and none has two centres."""
+    ends = (F.struct(F.col(end).alias("id"), F.lit(member).alias("member")) for end, member in (("a", 0), ("b", 1)))
+    ends = edges.select(F.inline(F.array(*ends)))
+    of_id = ends.groupBy("id").agg(F.sum("member").alias("members"), F.count("*").alias("ends"))
+    return of_id.where("members > 0 and ends > 1").count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in ``edges`` (a long, b long): the smallest id it reaches.
 
-    Each partition first reduces its edges to stars. Then large-star and small-star
-    steps alternate: each keeps what is connected and shortens paths, until all hang
+    Each partition first reduces its edges to stars, and then tasks of at most about ``TASK_EDGES`` edges reduce these
+    again, so few edges need no more. What is left is joined by large-star and small-star
+    steps: each keeps what is connected and shortens paths, until all hang
     on their smallest id. Every step is a pre-aggregated minimum per id and a join;
     no list of neighbours is built, and nothing but a count goes to the driver.
     """
     edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
-    edges = stored(edges.mapInArrow(_local_stars, "a long, b long"))
-    while True:
+    edges = _reduced(stored(edges.mapInArrow(_local_stars, "a long, b long")))
+    while not _are_stars(edges):
         # Large star: larger neighbours of an id move to the smallest it knows.
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -262,12 +281,7 @@ def components(edges: DataFrame) -> DataFrame:
         moved = large.join(small_least, "b")
         small = moved.where("a > m").select(F.col("m").alias("a"), F.col("a").alias("b"))
         small = small.union(small_least.select(F.col("m").alias("a"), "b")).distinct()
-        edges = stored(small)
-        # A forest of stars: no id is both a centre and a member, none has two centres.
-        centres = edges.select(F.col("a").alias("b")).distinct()
-        many = edges.groupBy("b").count().where("count > 1").select("b")
-        if not edges.join(centres, "b", "left_semi").select("b").union(many).take(1):
-            break
+        edges = _reduced(stored(small))
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).union(
         edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
     )
